@@ -23,6 +23,7 @@ def _lon(key: str) -> str:
     return f"concat('-', {n} // 100, '.', lpad(cast({n} % 100 as varchar), 2, '0'))"
 
 
+_OFF_TIE = "1e-8"
 _SIGNS = r"regexp_replace({}, '@[A-Za-z0-9]+|[^0-9A-Za-z \t] | \w+: /  / \S+', ' ', 'g')"
 _SPACES = r"[\s\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 _FLAT = r"regexp_replace({}, '[\t\r\n]+', ' ', 'g')"
@@ -126,17 +127,17 @@ def _with(needed: tuple[str, ...], sql: str, **fill: str) -> str:
 
 
 def _measures(counted: str, sentiment: str = "tweet_sentiment") -> str:
-    return f"""cast(count({counted}) as bigint) as count, round(sum({sentiment}), 6) as total_sentiment,
-        round(sum(abs({sentiment})), 6) as absolute_sentiment, round(avg({sentiment}), 6) as mean_sentiment"""
+    return f"""cast(count({counted}) as bigint) as count, round(sum({sentiment}) + {_OFF_TIE}, 6) as total_sentiment,
+        round(sum(abs({sentiment})) + {_OFF_TIE}, 6) as absolute_sentiment, round(avg({sentiment}) + {_OFF_TIE}, 6) as mean_sentiment"""
 
 
 _HOUR = 'cast(hour("timestamp") as integer)'
 _DAY = 'cast(isodow("timestamp") - 1 as integer)'
 _DAY_NAME = 'dayname("timestamp")'
 _LENGTH = "cast(length({}) // 10 * 10 as bigint)"
-_STATE_MEASURES = """cast(count(location) as bigint) as count, round(sum(tweet_sentiment), 6) as total_sentiment,
-    round(sum(abs(tweet_sentiment)), 6) as absolute_sentiment,
-    round(sum(tweet_sentiment) / nullif(count(location), 0), 6) as mean_sentiment"""
+_STATE_MEASURES = f"""cast(count(location) as bigint) as count, round(sum(tweet_sentiment) + {_OFF_TIE}, 6) as total_sentiment,
+    round(sum(abs(tweet_sentiment)) + {_OFF_TIE}, 6) as absolute_sentiment,
+    round(sum(tweet_sentiment) / nullif(count(location), 0) + {_OFF_TIE}, 6) as mean_sentiment"""
 
 _BY_STATE = f"""select region_name as state_name, region_code as state_code, {_STATE_MEASURES}
     from sentiment_located group by region_name, region_code"""
@@ -160,9 +161,9 @@ _BY_LENGTH = f"""select {_LENGTH.format('tweet')} as tweet_length, {_measures('t
 def _length_facet(table: str) -> str:
     """The length facet of one table's texts, with the stored types."""
     return f"""select cast(tweet_length as integer) as tweet_length, cast(count(*) as bigint) as count,
-          cast(round(sum(score), 6) as float) as total_sentiment,
-          cast(round(sum(abs(score)), 6) as float) as absolute_sentiment,
-          cast(round(avg(score), 6) as float) as mean_sentiment
+          cast(round(sum(score) + {_OFF_TIE}, 6) as float) as total_sentiment,
+          cast(round(sum(abs(score)) + {_OFF_TIE}, 6) as float) as absolute_sentiment,
+          cast(round(avg(score) + {_OFF_TIE}, 6) as float) as mean_sentiment
         from (select any_value({_LENGTH.format('text')}) as tweet_length,
                 coalesce(sum(polarity) / nullif(count(polarity), 0), 0.0) as score
               from (select row_id, text, unnest(case when len(tokens) = 0 then [''] else tokens end) as term
@@ -181,8 +182,8 @@ _RAW = f"""select user_id, tweet_id, {_FLAT.format('tweet')} as tweet,
 _MS = """make_timestamp(epoch_us("timestamp") // 1000 * 1000)"""
 _WINDOW_BOUNDS = "make_timestamp(start_us) as window_start, make_timestamp(start_us + 20000000) as window_end"
 _CLOSED = "where start_us + 20000000 <= (select max(epoch_us(ts)) from windowed) - 5000000"
-_MEAN_MAX_MIN = """round(avg(sentiment), 6) as mean_sentiment, round(max(sentiment), 6) as max_sentiment,
-    round(min(sentiment), 6) as min_sentiment"""
+_MEAN_MAX_MIN = f"""round(avg(sentiment) + {_OFF_TIE}, 6) as mean_sentiment, round(max(sentiment) + {_OFF_TIE}, 6) as max_sentiment,
+    round(min(sentiment) + {_OFF_TIE}, 6) as min_sentiment"""
 
 ORACLE_SQL: dict[str, str] = {
     "sentiment_by_state": _with(("sentiment_located",), _BY_STATE),
@@ -273,8 +274,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "stream_window_total": _with(
         ("windowed",),
-        f"""select state, {_WINDOW_BOUNDS}, round(sum(sentiment), 6) as total_sentiment,
-            round(sum(abs(sentiment)), 6) as absolute_sentiment from windowed {_CLOSED} group by state, start_us""",
+        f"""select state, {_WINDOW_BOUNDS}, round(sum(sentiment) + {_OFF_TIE}, 6) as total_sentiment,
+            round(sum(abs(sentiment)) + {_OFF_TIE}, 6) as absolute_sentiment from windowed {_CLOSED} group by state, start_us""",
         ts=_MS,
     ),
     "stream_raw": _with(

@@ -42,8 +42,13 @@ def _naive(column: Column | str) -> Column:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Sums depend on the order of their terms in the last digits, so results are rounded."""
-    return df.select(*[F.round(name, 6).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes])
+    """Results rounded to six places, as the last digits of a sum depend on the order of its terms.
+
+    The offset keeps a value that ends in half a unit of the sixth place from going either way.
+    """
+    return df.select(
+        *[F.round(F.col(name) + 1e-8, 6).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes]
+    )
 
 
 def _tweets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,31 +24,28 @@ class CompiledLexicon:
     terms: int
 
 
-def _slot(term: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(slots)).cast("int")
-
-
 def compile_lexicon(lexicon: DataFrame, max_terms: int = MAX_INLINE_TERMS) -> CompiledLexicon | None:
     """Read a lexicon of at most ``max_terms`` rows; a larger one gives None.
 
     A term given more than once counts with the mean of its polarities.
     """
-    rows = lexicon.select("term", F.col("polarity").cast("double")).limit(max_terms + 1).collect()
+    rows = (
+        lexicon.select("term", F.col("polarity").cast("double"), F.xxhash64("term")).limit(max_terms + 1).collect()
+    )
     if len(rows) > max_terms:
         return None
     given: dict[str, list[float]] = {}
-    for term, value in rows:
+    hashes: dict[str, int] = {}
+    for term, value, digest in rows:
         if term is None or value is None or not -1.0 <= value <= 1.0:
             raise ValueError(f"lexicon row out of range: {term!r}, {value!r}")
         given.setdefault(term, []).append(value)
+        hashes[term] = digest
 
     slots = max(1, len(given) // _TERMS_PER_SLOT)
     table: list[dict[str, float]] = [{} for _ in range(slots)]
-    spark = lexicon.sparkSession
-    if given:
-        placed = spark.createDataFrame([(term,) for term in given], "term string")
-        for term, slot in placed.select("term", _slot(F.col("term"), slots)).collect():
-            table[slot][term] = sum(given[term]) / len(given[term])
+    for term, values in given.items():
+        table[hashes[term] % slots][term] = sum(values) / len(values)
     return CompiledLexicon(slots, json.dumps(table), len(given))
 
 
@@ -61,7 +58,7 @@ def polarity(text: Column | str, lexicon: CompiledLexicon) -> Column:
     table = F.from_json(F.lit(lexicon.table), "array<map<string,double>>")
     known = F.transform(
         sentiment_tokens(text),
-        lambda token: F.try_element_at(F.get(table, _slot(token, lexicon.slots)), token),
+        lambda token: F.try_element_at(F.get(table, F.pmod(F.xxhash64(token), F.lit(lexicon.slots)).cast("int")), token),
     )
     mean = F.aggregate(
         known,

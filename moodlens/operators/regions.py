@@ -83,17 +83,9 @@ def _cell(degrees: Column, cells_per_degree: int) -> Column:
     return F.floor(degrees * cells_per_degree)
 
 
-def region_index(regions: DataFrame, cells_per_degree: int = 1, max_entries: int = MAX_BROADCAST_ENTRIES) -> RegionIndex:
-    """Index a region table. ``cells_per_degree`` is a power of two, so that cell borders are exact.
-
-    Runs one small job over the region table to learn the size of the index.
-    """
-    n = cells_per_degree
-    if n < 1 or n & (n - 1):
-        raise ValueError("cells_per_degree must be a power of two")
-
-    edges = _edges(regions)
-    boxes = regions.groupBy("ordinal").agg(
+def _boxes(regions: DataFrame, n: int) -> DataFrame:
+    """Each region with the range of cells it spans."""
+    return regions.groupBy("ordinal").agg(
         F.min("region_name").alias("region_name"),
         F.min("region_code").alias("region_code"),
         _cell(F.min("lon"), n).alias("west"),
@@ -101,59 +93,66 @@ def region_index(regions: DataFrame, cells_per_degree: int = 1, max_entries: int
         _cell(F.min("lat"), n).alias("south"),
         _cell(F.max("lat"), n).alias("north"),
     )
-    # a ray towards the east meets edges of its own row of cells that do not end west of the point's cell
-    low, high = _cell(F.least("y1", "y2"), n), _cell(F.greatest("y1", "y2"), n)
-    rows = edges.select("*", F.explode(F.sequence(low, high)).alias("cy")).join(
-        boxes.select("ordinal", "west"), "ordinal"
-    )
-    reach = _cell(F.greatest("x1", "x2"), n)
-    per_edge = rows.select((reach - F.col("west") + 1).alias("entries"))
-    per_box = boxes.select(((F.col("east") - F.col("west") + 1) * (F.col("north") - F.col("south") + 1)).alias("entries"))
-    size = per_edge.union(per_box).agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
 
-    reaching = rows.select(
-        "ordinal",
-        "cy",
-        F.explode(F.sequence(F.col("west"), reach)).alias("cx"),
+
+def _entries(regions: DataFrame, n: int) -> DataFrame:
+    """Cells with the regions that reach into them; a border cell has a row per edge to test."""
+    boxes = _boxes(regions, n)
+    edges = _edges(regions).join(boxes, "ordinal")
+    # a ray towards the east meets edges of its own row of cells that do not end west of the point's cell
+    reaching = edges.select(
+        *boxes.columns,
         F.struct("x1", "y1", "x2", "y2").alias("edge"),
         _cell(F.least("x1", "x2"), n).alias("edge_west"),
-    )
-    boxed = boxes.select(
+        _cell(F.greatest("x1", "x2"), n).alias("reach"),
+        F.explode(F.sequence(_cell(F.least("y1", "y2"), n), _cell(F.greatest("y1", "y2"), n))).alias("cy"),
+    ).select(
         "ordinal",
         "region_name",
         "region_code",
-        F.explode(F.sequence("west", "east")).alias("cx"),
-        "south",
-        "north",
-    ).select("ordinal", "region_name", "region_code", "cx", F.explode(F.sequence("south", "north")).alias("cy"))
-
-    # what the middle of a cell belongs to holds for the whole cell when no edge comes near it
+        "cy",
+        "edge",
+        "edge_west",
+        F.explode(F.sequence("west", "reach")).alias("cx"),
+    )
+    # where no edge comes near a cell, what holds for its middle holds for all of it
     middle_x, middle_y = (F.col("cx") + 0.5) / n, (F.col("cy") + 0.5) / n
-    near = F.col("edge").isNotNull() & (F.col("edge_west") <= F.col("cx"))
-    pairs = boxed.join(reaching, ["ordinal", "cx", "cy"], "left")
-    status = pairs.groupBy("ordinal", "cx", "cy").agg(
-        F.bool_or(near).alias("border"),
-        (F.sum(F.when(_crosses(F.col("edge"), middle_x, middle_y), 1).otherwise(0)) % 2 == 1).alias("whole"),
+    cell = Window.partitionBy("ordinal", "cx", "cy")
+    judged = reaching.select(
+        "*",
+        F.bool_or(F.col("edge_west") <= F.col("cx")).over(cell).alias("border"),
+        (F.sum(F.when(_crosses(F.col("edge"), middle_x, middle_y), 1).otherwise(0)).over(cell) % 2 == 1).alias("odd"),
+        F.row_number().over(cell.orderBy("edge")).alias("place"),
     )
-    border = pairs.join(status.where("border"), ["ordinal", "cx", "cy"]).withColumn("whole", F.lit(False))
-    inner = (
-        status.where("whole and not border")
-        .join(boxes.select("ordinal", "region_name", "region_code"), "ordinal")
-        .withColumn("edge", F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>"))
+    return judged.where("border or (odd and place = 1)").select(
+        "cx",
+        "cy",
+        "ordinal",
+        "region_name",
+        "region_code",
+        (~F.col("border")).alias("whole"),
+        F.when(F.col("border"), F.col("edge")).alias("edge"),
     )
-    columns = ["cx", "cy", "ordinal", "region_name", "region_code", "edge", "whole"]
-    entries = border.select(*columns).unionByName(inner.select(*columns))
 
-    if size > max_entries:
-        return RegionIndex(n, checkpointed(entries), None)
 
+def region_index(regions: DataFrame, cells_per_degree: int = 1, max_entries: int = MAX_BROADCAST_ENTRIES) -> RegionIndex:
+    """Index a region table. ``cells_per_degree`` is a power of two, so that cell borders are exact.
+
+    The entries are computed once, into the shared folder, and counted.
+    """
+    n = cells_per_degree
+    if n < 1 or n & (n - 1):
+        raise ValueError("cells_per_degree must be a power of two")
+    entries = checkpointed(_entries(regions, n))
+    if entries.count() > max_entries:
+        return RegionIndex(n, entries, None)
     candidates = entries.groupBy("cx", "cy", "ordinal", "region_name", "region_code", "whole").agg(
         F.collect_list("edge").alias("edges")
     )
     cells = candidates.groupBy("cx", "cy").agg(
         F.sort_array(F.collect_list(F.struct("ordinal", "region_name", "region_code", "whole", "edges"))).alias("candidates")
     )
-    return RegionIndex(n, entries, checkpointed(cells))
+    return RegionIndex(n, entries, cells)
 
 
 def assign_region(df: DataFrame, index: RegionIndex, location: str = "location") -> DataFrame:
