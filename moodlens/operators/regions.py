@@ -209,14 +209,19 @@ def _assign_by_shuffle(df: DataFrame, index: RegionIndex, location: str) -> Data
         .groupBy("_location")
         .agg(F.min(F.struct("ordinal", "region_name", "region_code")).alias("_region"))
     )
+    # rows that cannot match anything are spread over all partitions instead of meeting under one key; the partition of
+    # a hot location is split at run time
+    readable = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col(location))
+    spread = F.concat(F.lit("?"), F.xxhash64(*df.columns).cast("string"))
     return (
         df.withColumns({"lat": latitude(location), "lon": longitude(location)})
-        .join(found, F.col(location) == F.col("_location"), "left")
+        .withColumn("_key", F.coalesce(readable, spread))
+        .join(found, F.col("_key") == F.col("_location"), "left")
         .withColumns(
             {
                 "region_name": F.coalesce("_region.region_name", F.lit(UNKNOWN)),
                 "region_code": F.coalesce("_region.region_code", F.lit(UNKNOWN)),
             }
         )
-        .drop("_location", "_region")
+        .drop("_key", "_location", "_region")
     )

@@ -6,6 +6,7 @@ from moodlens.sources.tweets import (
     parse_users,
     read_raw_tweets,
     read_tweets,
+    read_tweets_if_present,
     read_tweets_tsv,
     read_users,
     rejected_rows,
@@ -21,6 +22,7 @@ __all__ = [
     "parse_users",
     "read_raw_tweets",
     "read_tweets",
+    "read_tweets_if_present",
     "read_tweets_tsv",
     "read_users",
     "rejected_rows",

@@ -110,7 +110,7 @@ def sample_for_replay(tweets: DataFrame, n: int = REPLAY_SIZE) -> DataFrame:
     return tweets.orderBy("tweet_id").limit(n)
 
 
-def read_tweets_or_none(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
+def read_tweets_if_present(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """Like ``read_tweets``, but a store that does not exist yet is empty."""
     try:
         return read_tweets(spark, path, fmt, **options)

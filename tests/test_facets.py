@@ -1,0 +1,141 @@
+"""Facet statistics, the one-pass summary and the historical job."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from moodlens.catalog import fixtures
+from moodlens.operators import (
+    add_sentiment,
+    add_time,
+    facet_summary,
+    region_index,
+    sentiment_by_day_of_week,
+    sentiment_by_hour,
+    sentiment_by_length,
+    sentiment_by_location,
+    sentiment_by_state,
+    split_summary,
+)
+from moodlens.plans import previews, process_tweets, run_historical
+from moodlens.sinks import read_store
+
+SCORED = "tweet string, timestamp timestamp, location string, tweet_sentiment double"
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    rows = [
+        ("x" * 5, datetime(2024, 1, 7, 23, 59), "0.5,0.5", 0.5),
+        ("x" * 9, datetime(2024, 1, 8, 0, 0), "0.5,0.5", -1.0),
+        ("x" * 10, datetime(2024, 1, 8, 0, 30), "90,90", 0.25),
+        (None, None, None, -0.5),
+    ]
+    return spark.createDataFrame(rows, SCORED)
+
+
+@pytest.fixture(scope="module")
+def index(spark):
+    square = [(0, "Square", "SQ", 0, i, x, y) for i, (x, y) in enumerate([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)])]
+    return region_index(
+        spark.createDataFrame(
+            square, "ordinal bigint, region_name string, region_code string, ring_id int, seq int, lon double, lat double"
+        )
+    )
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_by_hour(scored):
+    assert rows(sentiment_by_hour(add_time(scored))) == [
+        (None, 0, -0.5, 0.5, -0.5),  # the null group counts 0 but keeps its sums
+        (0, 2, -0.75, 1.25, -0.375),
+        (23, 1, 0.5, 0.5, 0.5),
+    ]
+
+
+def test_by_day_of_week(scored):
+    assert rows(sentiment_by_day_of_week(add_time(scored))) == [
+        (None, None, 0, -0.5, 0.5, -0.5),
+        ("Monday", 0, 2, -0.75, 1.25, -0.375),
+        ("Sunday", 6, 1, 0.5, 0.5, 0.5),
+    ]
+
+
+def test_by_length(scored):
+    assert rows(sentiment_by_length(scored)) == [
+        (None, 0, -0.5, 0.5, -0.5),
+        (0, 2, -0.5, 1.5, -0.25),
+        (10, 1, 0.25, 0.25, 0.25),
+    ]
+
+
+def test_by_location(scored):
+    assert sorted(rows(sentiment_by_location(scored)), key=str) == [
+        ("0.5,0.5", 2, -0.5, 1.5, -0.25),
+        ("90,90", 1, 0.25, 0.25, 0.25),
+        (None, 0, -0.5, 0.5, -0.5),
+    ]
+
+
+@pytest.mark.parametrize("by_location_first", [False, True])
+def test_by_state(scored, index, by_location_first):
+    assert sorted(rows(sentiment_by_state(scored, index, by_location_first))) == [
+        ("Square", "SQ", 2, -0.5, 1.5, -0.25),
+        ("Unknown", "Unknown", 1, -0.25, 0.75, -0.25),
+    ]
+
+
+def test_state_of_null_locations_only_has_no_mean(scored, index):
+    lost = scored.where("location is null")
+    assert rows(sentiment_by_state(lost, index)) == [("Unknown", "Unknown", 0, -0.5, 0.5, None)]
+
+
+def test_time_parts(scored):
+    timed = add_time(scored).where("tweet_sentiment = 0.5")
+    assert rows(timed.select(*[c for c in timed.columns if c.startswith("timestamp_")])) == [(2024, 1, 7, 23, 6)]
+
+
+def test_summary_equals_the_single_facets(scored, index):
+    split = split_summary(facet_summary(scored, index))
+    timed = add_time(scored)
+    assert sorted(rows(split.by_state)) == sorted(rows(sentiment_by_state(scored, index)))
+    assert rows(split.by_hour) == rows(sentiment_by_hour(timed))
+    assert rows(split.by_day_of_week) == rows(sentiment_by_day_of_week(timed))
+    assert rows(split.by_length) == rows(sentiment_by_length(scored))
+
+
+def test_counts_of_every_facet_add_up(spark, sf_dir):
+    index = region_index(fixtures.regions(spark, sf_dir))
+    tweets = fixtures.tweets(spark, sf_dir)
+    results = process_tweets(tweets, fixtures.lexicon(spark), index)
+    timed = tweets.where("timestamp is not null").count()
+    expected = {"by_state": tweets.count(), "by_hour": timed, "by_day_of_week": timed, "by_length": tweets.count()}
+    assert {name: getattr(results, name).agg(F.sum("count")).first()[0] for name in expected} == expected
+
+
+def test_summary_reads_the_texts_once(spark, sf_dir):
+    index = region_index(fixtures.regions(spark, sf_dir))
+    summary = facet_summary(add_sentiment(fixtures.tweets(spark, sf_dir), fixtures.lexicon(spark)), index)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("text:string") == 1  # in the read schema of one scan
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_historical_job_stores_and_updates(spark, tmp_path, sf_dir):
+    index = region_index(fixtures.regions(spark, sf_dir))
+    tweets = fixtures.tweets(spark, sf_dir)
+    results = run_historical(spark, tweets, fixtures.lexicon(spark), index, str(tmp_path), debug=True)
+    run_historical(spark, tweets.where("user_id = '7'"), fixtures.lexicon(spark), index, str(tmp_path))
+    hours = read_store(spark, f"{tmp_path}/hour_reduced")
+    assert hours.count() == results.by_hour.where("hour is not null").count() == 24
+    assert hours.agg(F.sum("count")).first()[0] < results.by_hour.agg(F.sum("count")).first()[0]
+    assert dict(hours.dtypes) == {
+        "hour": "int", "count": "bigint", "total_sentiment": "float", "absolute_sentiment": "float",
+        "mean_sentiment": "float",
+    }
+    assert read_store(spark, f"{tmp_path}/day_reduced").count() == 7
+    assert {name: shown.count() for name, shown in previews(results).items()}["length"] == 28
