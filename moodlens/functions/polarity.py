@@ -56,17 +56,14 @@ def polarity(text: Column | str, lexicon: CompiledLexicon) -> Column:
     token is looked up in its hash slot, so the cost does not grow with the lexicon.
     """
     table = F.from_json(F.lit(lexicon.table), "array<map<string,double>>")
-    known = F.transform(
+    found = F.transform(
         sentiment_tokens(text),
         lambda token: F.try_element_at(F.get(table, F.pmod(F.xxhash64(token), F.lit(lexicon.slots)).cast("int")), token),
     )
     mean = F.aggregate(
-        known,
+        F.filter(found, lambda value: value.isNotNull()),
         F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n")),
-        lambda acc, value: F.struct(
-            (acc["total"] + F.coalesce(value, F.lit(0.0))).alias("total"),
-            (acc["n"] + F.when(value.isNull(), 0).otherwise(1)).alias("n"),
-        ),
+        lambda acc, value: F.struct((acc["total"] + value).alias("total"), (acc["n"] + 1).alias("n")),
         lambda acc: F.try_divide(acc["total"], acc["n"]),
     )
     return F.coalesce(mean, F.lit(0.0))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +16,8 @@ LENGTH_BUCKET_SIZE = 10
 MAX_TWEET_CHARS = 280
 
 URL_PATTERN = r"(?U)\w+://\S+"
-WHITESPACE_PATTERN = r"(?U)[\s\x1c-\x1f]+"
+# whitespace that is not a single blank already
+WHITESPACE_PATTERN = r"(?U) [\s\x1c-\x1f]+|[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*"
 SENTIMENT_TOKEN_PATTERN = "[a-z]+"
 INDEX_TERM_PATTERN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"
 
@@ -34,13 +38,17 @@ def clean_text(text: Column | str, strip_urls: bool = False) -> Column:
     return F.trim(F.regexp_replace(column, WHITESPACE_PATTERN, " "))
 
 
-def sentiment_tokens(text: Column | str) -> Column:
-    """Lower-case ASCII words of the cleaned text, in order.
+# Cleaning changes the words of a text only where one of these occurs: they start a mention or a spaced-out address, or
+# are signs whose lower case holds an ASCII letter. Other signs and whitespace separate words with or without cleaning.
+_WORDS_NEED_CLEANING = ("@", ": /  / ", "\u212a", "\u0130")
 
-    Collapsing whitespace cannot change a word, so that part of the cleaning is left out.
-    """
-    column = F.regexp_replace(_as_column(text), CLEAN_PATTERN, " ")
-    return F.regexp_extract_all(F.lower(column), F.lit(SENTIMENT_TOKEN_PATTERN), F.lit(0))
+
+def sentiment_tokens(text: Column | str) -> Column:
+    """Lower-case ASCII words of the cleaned text, in order."""
+    column = _as_column(text)
+    needed = reduce(or_, [F.contains(column, F.lit(part)) for part in _WORDS_NEED_CLEANING])
+    cleaned = F.when(needed, F.regexp_replace(column, CLEAN_PATTERN, " ")).otherwise(column)
+    return F.regexp_extract_all(F.lower(cleaned), F.lit(SENTIMENT_TOKEN_PATTERN), F.lit(0))
 
 
 def index_terms(text: Column | str) -> Column:

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from moodlens.functions import clean_text, compile_lexicon, index_terms, length_bucket
+from moodlens.functions import clean_text, compile_lexicon, index_terms, length_bucket, sentiment_tokens
 from moodlens.operators import add_sentiment, term_counts
 from moodlens.operators.sentiment import score_by_join
 from moodlens.schemas import LEXICON
@@ -95,6 +95,15 @@ def test_bad_lexicon_is_refused(spark, row):
         compile_lexicon(spark.createDataFrame([row], LEXICON))
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=ALPHABET + "\u212a\u0130\u0131", max_size=40), min_size=100, max_size=200))
+def test_tokens_are_those_of_the_cleaned_text(spark, texts):
+    texts += ["x w: /  / foo bar", "a. w: /  / foo. b: /  / c d", "K \u212a x\u212ay \u0130 \u0130x", "@ab cd@ef"]
+    df = texts_df(spark, texts)
+    cleaned = values(df, F.regexp_extract_all(F.lower(clean_text("tweet")), F.lit("[a-z]+"), F.lit(0)))
+    assert values(df, sentiment_tokens("tweet")) == cleaned
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from(["good", "Bad", "t7", "t99", "@t7", "x", "the.", "!"]), max_size=12), min_size=50, max_size=80))
 def test_sentiment_inline_joined_and_python_agree(spark, words):
