@@ -25,7 +25,7 @@ from moodlens.operators import (
     term_counts,
 )
 from moodlens.plans import previews, process_tweets, run_live
-from moodlens.session import pin_session, scratch_path
+from moodlens.session import discard, pin_session, scratch_path
 from moodlens.sinks import bulk_load, conform, publish_json, read_loaded, read_store, to_json_values, upsert_parquet, write_tsv
 from moodlens.sources import parse_users, sample_for_replay, split_raw_tweets, tweets_of_user
 from moodlens.sources.tweets import REJECTED
@@ -118,7 +118,7 @@ def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def region_of_tweet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup for indexes too large to be broadcast."""
-    index = region_index(fixtures.regions(spark, sf_dir), max_entries=0)
+    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_entries=0)
     located = assign_region(_tweets(spark, sf_dir).select("tweet_id", "location"), index)
     return located.select("tweet_id", "region_name", "region_code")
 
@@ -159,6 +159,7 @@ def _bulk_loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     write_tsv(_tweets(spark, sf_dir).withColumn("timestamp", F.coalesce(stamp, F.lit("no time"))), exported)
     bulk_load(spark, exported, loaded)
+    discard(spark, exported)
     return read_loaded(spark, loaded)
 
 
@@ -228,6 +229,7 @@ def _streamed(spark: SparkSession, sf_dir: str, measures: Sequence[str] | None)
         measures,
     )
     query.awaitTermination()
+    discard(spark, topic, checkpoint)
     return spark.read.parquet(out)
 
 

@@ -3,8 +3,10 @@
 A region is a set of rings, counted even-odd, so holes and several parts need no special care. Points on an edge are
 outside. Where regions overlap, the lowest ordinal wins.
 
-The globe is cut into grid cells. A cell no edge comes near lies wholly inside or outside a region, so most lookups are
-one equi-join on the cell; only cells on a border carry edges to test.
+The globe is cut into grid cells, and a location meets the regions of its cell in one equi-join. A ray from the location
+towards the east tells inside from outside by the parity of its crossings. A cell keeps the edges that come near it. Of
+the edges further east only their latitudes matter, where each end flips the parity; flips at the same latitude cancel in
+pairs, which leaves next to nothing. A cell that no edge comes near has no edges to test at all.
 """
 
 from __future__ import annotations
@@ -18,22 +20,26 @@ from moodlens.functions.location import latitude, longitude
 from moodlens.session import checkpointed, salted_join
 
 UNKNOWN = "Unknown"
+EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
-# An index with more entries than this is shuffled instead of being broadcast; an entry is about 40 bytes.
+# An index with more entries than this is shuffled instead of being broadcast; an entry is some 40 bytes and two names.
 MAX_BROADCAST_ENTRIES = 1_000_000
+# A cell with more entries than this is cut up further.
+MAX_CELL_ENTRIES = 50_000
+FINEST_CELLS_PER_DEGREE = 1024
 
 
 @dataclass(frozen=True)
 class RegionIndex:
-    """Grid cells with the regions that reach into them.
+    """Grid cells with the regions that reach into them, one row per cell.
 
-    ``entries`` has one row per cell, region and edge to test. ``cells`` holds the same with one row per cell and is
-    there only when it is small enough to be broadcast.
+    A cell holds its candidate regions by ordinal, each with the near edges and the flips of the far ones.
     """
 
     cells_per_degree: int
-    entries: DataFrame
-    cells: DataFrame | None
+    cells: DataFrame
+    entries: int
+    fits_broadcast: bool
 
 
 def _edges(regions: DataFrame) -> DataFrame:
@@ -74,107 +80,103 @@ def _touches(edge: Column, lon: Column, lat: Column) -> Column:
     )
 
 
-def _inside(edges: Column, lon: Column, lat: Column) -> Column:
-    odd = F.aggregate(edges, F.lit(False), lambda acc, edge: acc != _crosses(edge, lon, lat))
-    return odd & ~F.exists(edges, lambda edge: _touches(edge, lon, lat))
+def _inside(edges: Column, flips: Column, lon: Column, lat: Column) -> Column:
+    far = F.size(F.filter(flips, lambda flip: flip <= lat))
+    crossings = F.aggregate(edges, far, lambda n, edge: n + F.when(_crosses(edge, lon, lat), 1).otherwise(0))
+    return (crossings % 2 == 1) & ~F.exists(edges, lambda edge: _touches(edge, lon, lat))
 
 
 def _cell(degrees: Column, cells_per_degree: int) -> Column:
     return F.floor(degrees * cells_per_degree)
 
 
-def _boxes(regions: DataFrame, n: int) -> DataFrame:
-    """Each region with the range of cells it spans."""
-    return regions.groupBy("ordinal").agg(
+def _entries(regions: DataFrame, n: int) -> DataFrame:
+    """Per cell and region a row for each near edge and for each flip."""
+    wests = regions.groupBy("ordinal").agg(
         F.min("region_name").alias("region_name"),
         F.min("region_code").alias("region_code"),
         _cell(F.min("lon"), n).alias("west"),
-        _cell(F.max("lon"), n).alias("east"),
-        _cell(F.min("lat"), n).alias("south"),
-        _cell(F.max("lat"), n).alias("north"),
     )
-
-
-def _entries(regions: DataFrame, n: int) -> DataFrame:
-    """Cells with the regions that reach into them; a border cell has a row per edge to test."""
-    boxes = _boxes(regions, n)
-    edges = _edges(regions).join(boxes, "ordinal")
     # a ray towards the east meets edges of its own row of cells that do not end west of the point's cell
-    reaching = edges.select(
-        *boxes.columns,
-        F.struct("x1", "y1", "x2", "y2").alias("edge"),
-        _cell(F.least("x1", "x2"), n).alias("edge_west"),
-        _cell(F.greatest("x1", "x2"), n).alias("reach"),
+    rows = _edges(regions).select(
+        "*",
+        _cell(F.least("x1", "x2"), n).alias("first"),
+        _cell(F.greatest("x1", "x2"), n).alias("last"),
         F.explode(F.sequence(_cell(F.least("y1", "y2"), n), _cell(F.greatest("y1", "y2"), n))).alias("cy"),
-    ).select(
-        "ordinal",
-        "region_name",
-        "region_code",
-        "cy",
-        "edge",
-        "edge_west",
-        F.explode(F.sequence("west", "reach")).alias("cx"),
     )
-    # where no edge comes near a cell, what holds for its middle holds for all of it
-    middle_x, middle_y = (F.col("cx") + 0.5) / n, (F.col("cy") + 0.5) / n
-    cell = Window.partitionBy("ordinal", "cx", "cy")
-    judged = reaching.select(
-        "*",
-        F.bool_or(F.col("edge_west") <= F.col("cx")).over(cell).alias("border"),
-        (F.sum(F.when(_crosses(F.col("edge"), middle_x, middle_y), 1).otherwise(0)).over(cell) % 2 == 1).alias("odd"),
-        F.row_number().over(cell.orderBy("edge")).alias("place"),
+    region = ["ordinal", "region_name", "region_code"]
+    near = (
+        rows.select("*", F.explode(F.sequence("first", "last")).alias("cx"))
+        .join(wests, "ordinal")
+        .select("cx", "cy", *region, F.struct("x1", "y1", "x2", "y2").alias("edge"), F.lit(None).cast("double").alias("flip"))
     )
-    return judged.where("border or (odd and place = 1)").select(
-        "cx",
-        "cy",
-        "ordinal",
-        "region_name",
-        "region_code",
-        (~F.col("border")).alias("whole"),
-        F.when(F.col("border"), F.col("edge")).alias("edge"),
+    # a flip below the row of cells counts for all of it, one above for none
+    ends = F.array(*[F.greatest(F.col(y), F.col("cy") / n) for y in ("y1", "y2")])
+    flips = (
+        rows.select("ordinal", "cy", "first", F.explode(ends).alias("flip"))
+        .where(F.col("flip") < (F.col("cy") + 1) / n)
+        .join(wests, "ordinal")
+        .where("west < first")
+        .select(*region, "cy", "flip", F.explode(F.sequence(F.col("west"), F.col("first") - 1)).alias("cx"))
+        .groupBy("cx", "cy", *region, "flip")
+        .count()
+        .where("count % 2 = 1")
+        .select("cx", "cy", *region, F.lit(None).cast(EDGE).alias("edge"), "flip")
     )
+    return near.unionByName(flips)
 
 
-def region_index(regions: DataFrame, cells_per_degree: int = 1, max_entries: int = MAX_BROADCAST_ENTRIES) -> RegionIndex:
+def region_index(
+    regions: DataFrame,
+    cells_per_degree: int = 1,
+    max_broadcast_entries: int = MAX_BROADCAST_ENTRIES,
+    max_cell_entries: int = MAX_CELL_ENTRIES,
+) -> RegionIndex:
     """Index a region table. ``cells_per_degree`` is a power of two, so that cell borders are exact.
 
-    The entries are computed once, into the shared folder, and counted.
+    The entries are computed into the shared folder and counted; while one cell holds too many, the grid is made finer.
     """
     n = cells_per_degree
     if n < 1 or n & (n - 1):
         raise ValueError("cells_per_degree must be a power of two")
-    entries = checkpointed(_entries(regions, n))
-    if entries.count() > max_entries:
-        return RegionIndex(n, entries, None)
-    candidates = entries.groupBy("cx", "cy", "ordinal", "region_name", "region_code", "whole").agg(
-        F.collect_list("edge").alias("edges")
+    while True:
+        entries = checkpointed(_entries(regions, n))
+        counts = entries.groupBy("cx", "cy").count()
+        total, largest = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+        if largest <= max_cell_entries:
+            break
+        n *= 2
+        if n > FINEST_CELLS_PER_DEGREE:
+            raise ValueError(f"{largest} edges meet in one cell of the finest grid")
+    candidates = entries.groupBy("cx", "cy", "ordinal", "region_name", "region_code").agg(
+        F.collect_list("edge").alias("edges"), F.collect_list("flip").alias("flips")
     )
     cells = candidates.groupBy("cx", "cy").agg(
-        F.sort_array(F.collect_list(F.struct("ordinal", "region_name", "region_code", "whole", "edges"))).alias("candidates")
+        F.sort_array(F.collect_list(F.struct("ordinal", "region_name", "region_code", "edges", "flips"))).alias("candidates")
     )
-    return RegionIndex(n, entries, cells)
+    return RegionIndex(n, cells, total, total <= max_broadcast_entries)
 
 
 def assign_region(df: DataFrame, index: RegionIndex, location: str = "location") -> DataFrame:
     """Add ``lat``, ``lon``, ``region_name`` and ``region_code``; ``Unknown`` for a location in no region or unreadable.
 
-    With a small index this is a map-side join without any shuffle, for batches and streams alike.
+    With a small index this is a map-side join without any shuffle, for batches and streams alike. A larger one is
+    joined by cell, every cell spread over salted partitions, as one city may hold a third of all rows.
     """
-    if index.cells is None:
-        if df.isStreaming:
-            raise ValueError("the region index is too large to be broadcast to a stream")
-        return _assign_by_shuffle(df, index, location)
     n = index.cells_per_degree
     located = df.withColumns({"lat": latitude(location), "lon": longitude(location)}).withColumns(
         {"cx": _cell(F.col("lon"), n), "cy": _cell(F.col("lat"), n)}
     )
+    if index.fits_broadcast:
+        joined = located.join(F.broadcast(index.cells), ["cx", "cy"], "left")
+    else:
+        joined = salted_join(located, index.cells, ["cx", "cy"], spread_by=df.columns, how="left")
     hits = F.filter(
         "candidates",
-        lambda region: region["whole"] | _inside(region["edges"], F.col("lon"), F.col("lat")),
+        lambda region: _inside(region["edges"], region["flips"], F.col("lon"), F.col("lat")),
     )
     return (
-        located.join(F.broadcast(index.cells), ["cx", "cy"], "left")
-        .withColumn("_region", F.get(hits, F.lit(0)))
+        joined.withColumn("_region", F.get(hits, F.lit(0)))
         .withColumns(
             {
                 "region_name": F.coalesce("_region.region_name", F.lit(UNKNOWN)),
@@ -183,45 +185,3 @@ def assign_region(df: DataFrame, index: RegionIndex, location: str = "location")
         )
         .drop("cx", "cy", "candidates", "_region")
     )
-
-
-def _assign_by_shuffle(df: DataFrame, index: RegionIndex, location: str) -> DataFrame:
-    """The same for an index of any size: distinct locations meet the edges of their cell in a salted join."""
-    n = index.cells_per_degree
-    points = (
-        df.select(F.col(location).alias("_location"))
-        .where(F.col("_location").isNotNull())
-        .distinct()
-        .withColumns({"_lat": latitude("_location"), "_lon": longitude("_location")})
-        .withColumns({"cx": _cell(F.col("_lon"), n), "cy": _cell(F.col("_lat"), n)})
-        .where("cx is not null and cy is not null")
-    )
-    lon, lat, edge = F.col("_lon"), F.col("_lat"), F.col("edge")
-    tested = salted_join(points, index.entries, ["cx", "cy"], spread_by=["_location"]).groupBy("_location", "ordinal").agg(
-        F.min("region_name").alias("region_name"),
-        F.min("region_code").alias("region_code"),
-        F.bool_or("whole").alias("whole"),
-        (F.sum(F.when(_crosses(edge, lon, lat), 1).otherwise(0)) % 2 == 1).alias("odd"),
-        F.coalesce(F.bool_or(_touches(edge, lon, lat)), F.lit(False)).alias("touching"),
-    )
-    found = (
-        tested.where("whole or (odd and not touching)")
-        .groupBy("_location")
-        .agg(F.min(F.struct("ordinal", "region_name", "region_code")).alias("_region"))
-    )
-    # rows that cannot match anything are spread over all partitions instead of meeting under one key; the partition of
-    # a hot location is split at run time
-    readable = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col(location))
-    spread = F.concat(F.lit("?"), F.xxhash64(*df.columns).cast("string"))
-    return (
-        df.withColumns({"lat": latitude(location), "lon": longitude(location)})
-        .withColumn("_key", F.coalesce(readable, spread))
-        .join(found, F.col("_key") == F.col("_location"), "left")
-        .withColumns(
-            {
-                "region_name": F.coalesce("_region.region_name", F.lit(UNKNOWN)),
-                "region_code": F.coalesce("_region.region_code", F.lit(UNKNOWN)),
-            }
-        )
-        .drop("_key", "_location", "_region")
-    )

@@ -19,9 +19,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# One broadcast table may not hold more rows than this.
-MAX_BROADCAST_ROWS = 200_000
-
 
 def build_session(app_name: str = "moodlens", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the library relies on; ``conf`` adds to or overrides them."""
@@ -70,17 +67,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/moodlens-{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch paths that have been read to the end."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder and forget its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], salts: int = 16, how: str = "inner") -> DataFrame:
     """Equi-join that spreads every key of ``left`` over ``salts`` partitions.
 

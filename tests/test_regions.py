@@ -57,10 +57,10 @@ def lookup(spark, index, locations):
     return [row["region_name"] for row in assign_region(df, index).orderBy("id").collect()]
 
 
-@pytest.mark.parametrize("max_entries", [10**6, 0])
+@pytest.mark.parametrize("max_broadcast_entries", [10**6, 0])
 @pytest.mark.parametrize("cells_per_degree", [1, 4])
-def test_fixed_points(spark, max_entries, cells_per_degree):
-    index = region_index(spark.createDataFrame(region_rows(REGIONS), REGION), cells_per_degree, max_entries)
+def test_fixed_points(spark, max_broadcast_entries, cells_per_degree):
+    index = region_index(spark.createDataFrame(region_rows(REGIONS), REGION), cells_per_degree, max_broadcast_entries)
     cases = {
         "0.5,0.5": "Holed",
         "1.5,1.5": "Unknown",  # in the hole
@@ -103,7 +103,7 @@ def test_random_polygons_equal_brute_force(spark, seed):
     assert len(set(expected)) > 3
     table = spark.createDataFrame(region_rows(regions), REGION)
     assert lookup(spark, region_index(table, 2), locations) == expected
-    assert lookup(spark, region_index(table, 1, max_entries=0), locations) == expected
+    assert lookup(spark, region_index(table, 1, max_broadcast_entries=0), locations) == expected
 
 
 def test_cell_size_must_be_exact(spark):
@@ -113,10 +113,25 @@ def test_cell_size_must_be_exact(spark):
 
 def test_inner_cells_carry_no_edges(spark):
     big = {("Big", "B"): [[(0.5, 0.5), (20.5, 0.5), (20.5, 20.5), (0.5, 20.5)]]}
-    entries = region_index(spark.createDataFrame(region_rows(big), REGION)).entries
-    whole = entries.where("whole")
-    assert whole.count() == 19 * 19 and whole.where("edge is not null").count() == 0
-    assert entries.where("not whole").select("cx", "cy").distinct().count() == 21 * 21 - 19 * 19
+    cells = region_index(spark.createDataFrame(region_rows(big), REGION)).cells
+    inner = cells.where("size(candidates[0].edges) = 0")
+    assert inner.count() == 19 * 19 and inner.where("size(candidates[0].flips) <> 1").count() == 0
+    assert cells.count() == 21 * 21
+
+
+def test_crowded_cells_are_cut_up(spark, monkeypatch):
+    teeth = [(i / 64, 0.5 + (i % 2) / 4) for i in range(65)] + [(1.0, 2.0), (0.0, 2.0)]
+    comb = {("Comb", "C"): [teeth]}
+    table = spark.createDataFrame(region_rows(comb), REGION)
+    index = region_index(table, max_cell_entries=20)
+    assert index.cells_per_degree > 2
+    largest = index.cells.selectExpr("max(aggregate(candidates, 0, (n, c) -> n + size(c.edges) + size(c.flips)))").first()[0]
+    assert largest <= 20
+    locations = [f"{0.5 + y / 37},{x / 41}" for x in range(42) for y in range(12)]
+    assert lookup(spark, index, locations) == [brute_force(comb, location) for location in locations]
+    monkeypatch.setattr("moodlens.operators.regions.FINEST_CELLS_PER_DEGREE", 2)
+    with pytest.raises(ValueError):
+        region_index(table, max_cell_entries=0)
 
 
 def test_small_index_needs_no_shuffle_of_the_tweets(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodlens.catalog import fixtures
-from moodlens.operators import region_index
+from moodlens.operators import add_sentiment, region_index
 from moodlens.plans import run_live
 from moodlens.streaming import decode_payload, enrich, event_time, read_value_stream, window_sentiment, write_stream
 
@@ -131,9 +131,18 @@ def test_durable_sinks_need_a_checkpoint(spark, tmp_path):
         write_stream(stream, "parquet", path=str(tmp_path / "out"))
 
 
-def test_oversized_dimensions_are_refused_on_streams(spark, sf_dir, dimensions, tmp_path):
+def test_large_index_on_a_stream(spark, tmp_path, sf_dir, dimensions):
     lexicon, _ = dimensions
+    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_entries=0)
+    batch = [json.dumps({"tweet": "x", "location": f"{24 + i / 4},-119.0", "timestamp_logger": i}) for i in range(60)]
+    out = run_batches(spark, tmp_path, (lexicon, index), [batch], measures=None)
+    expected = enrich(decode_payload(spark.createDataFrame([(m,) for m in batch], "value string")), *dimensions)
+    assert expected.select("state").distinct().count() > 2
+    assert out.count() == 60 and out.exceptAll(expected).count() == 0
+
+
+def test_lexicon_beyond_the_inline_bound_is_refused_on_a_stream(spark, tmp_path, dimensions):
     (tmp_path / "topic").mkdir()
     stream = decode_payload(read_value_stream(spark, "text", str(tmp_path / "topic")))
     with pytest.raises(ValueError):
-        enrich(stream, lexicon, region_index(fixtures.regions(spark, sf_dir), max_entries=0))
+        add_sentiment(stream, dimensions[0], max_inline_terms=3)
