@@ -49,12 +49,10 @@ def score_by_join(tweets: DataFrame, lexicon: DataFrame, text: str = "tweet", ou
         .groupBy("_digest")
         .agg((F.sum(F.col("polarity") * F.col("n")) / F.sum("n")).alias("_score"))
     )
-    # texts without a digest are spread over all partitions; the partition of a text with many copies is split at run
-    # time
+    # texts without a digest are spread over all partitions; many copies of one text are spread by the salts
     key = F.coalesce("_digest", F.concat(F.lit("?"), F.xxhash64(*tweets.columns).cast("string")))
     return (
-        keyed.withColumn("_digest", key)
-        .join(scores, "_digest", "left")
+        salted_join(keyed.withColumn("_digest", key), scores, ["_digest"], spread_by=tweets.columns, salts=4, how="left")
         .withColumn(output, F.coalesce("_score", F.lit(0.0)))
-        .drop("_digest", "_score")
+        .select(*tweets.columns, output)
     )

@@ -84,7 +84,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: lis
     """Equi-join that spreads every key of ``left`` over ``salts`` partitions.
 
     ``right`` is repeated once per salt, so it should be the smaller side. The salt is a hash of ``spread_by``,
-    so a task that is run again after an executor loss salts its rows the same way.
+    so a task that is run again after an executor loss salts its rows the same way. Both sides are exchanged for this
+    join alone, so a partition that is still too large is split at run time as well.
     """
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -1,0 +1,82 @@
+"""Hot keys: a third or more of all rows share a user, a text or a location."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from moodlens.catalog import fixtures
+from moodlens.operators import assign_region, join_users_tweets, region_index
+from moodlens.operators.sentiment import score_by_join
+
+ROWS = 40_000
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which this little data counts as large."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def tweets(spark):
+    hot = F.col("id") % 2 == 0
+    return spark.range(ROWS).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 997)).alias("user_id"),
+        F.col("id").cast("string").alias("tweet_id"),
+        F.when(hot, "the best tweet").otherwise(F.concat(F.lit("of the "), F.col("id").cast("string"))).alias("tweet"),
+        F.lit("2024-01-01T00:00:00").alias("timestamp"),
+        F.when(hot, "27.5,-119.0").otherwise(F.concat_ws(",", 24 + F.col("id") % 26, -125 + F.col("id") % 59)).alias("location"),
+    )
+
+
+def final_plan(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def largest_task(rows):
+    return max(Counter(row["task"] for row in rows).values())
+
+
+@pytest.mark.parametrize("salts", [None, 8])
+def test_hot_user_is_split(spark, small_partitions, tweets, salts):
+    users = spark.range(997).select(F.concat(F.lit("u"), "id").alias("user_id")).union(
+        spark.createDataFrame([("hot",)], "user_id string")
+    ).select("user_id", F.lit(1.5).alias("latitude"), F.lit(2.5).alias("longitude"))
+    rows, plan = final_plan(join_users_tweets(users, tweets.drop("location"), salts))
+    assert len(rows) == ROWS and len({row["tweet_id"] for row in rows}) == ROWS
+    assert salts or "skew=true" in plan
+
+
+def test_copies_of_a_hot_text_are_split(spark, small_partitions, tweets):
+    scored = score_by_join(tweets, fixtures.lexicon(spark)).withColumn("task", F.spark_partition_id())
+    rows = scored.select("tweet", "tweet_sentiment", "task").collect()
+    assert len(rows) == ROWS
+    hot = [row for row in rows if row["tweet"] == "the best tweet"]
+    assert {row["tweet_sentiment"] for row in hot} == {0.5}
+    assert largest_task(hot) < 0.6 * len(hot)
+
+
+def test_hot_location_is_spread(spark, small_partitions, tweets, sf_dir):
+    regions = fixtures.regions(spark, sf_dir)
+    columns = ["tweet_id", "user_id", "region_name"]
+    shuffled = assign_region(tweets, region_index(regions, max_broadcast_entries=0)).select(*columns)
+    broadcast = assign_region(tweets, region_index(regions)).select(*columns)
+    rows, plan = final_plan(shuffled.withColumn("task", F.spark_partition_id()))
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert sorted(row[:3] for row in rows) == sorted(map(tuple, broadcast.collect()))
+    hot = [row for row in rows if row["user_id"] == "hot"]
+    assert len({row["region_name"] for row in rows}) > 2 and largest_task(hot) < 0.6 * len(hot)
