@@ -1,7 +1,7 @@
 """Writers: keyed result stores, delimited and JSON exports, bulk load."""
 
 from moodlens.sinks.files import bulk_load, publish_json, read_loaded, to_json_values, write_tsv
-from moodlens.sinks.store import conform, create_targets, read_store, upsert_parquet
+from moodlens.sinks.store import conform, create_targets, read_store, upsert_connector, upsert_parquet
 
 __all__ = [
     "bulk_load",
@@ -11,6 +11,7 @@ __all__ = [
     "read_loaded",
     "read_store",
     "to_json_values",
+    "upsert_connector",
     "upsert_parquet",
     "write_tsv",
 ]

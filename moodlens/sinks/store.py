@@ -93,3 +93,11 @@ def upsert_parquet(df: DataFrame, path: str, key: str) -> None:
     else:
         rows = merged(spark.read.parquet(_version_path(path, current)), df, key)
     rows.write.parquet(_version_path(path, taken + 1))
+
+
+def upsert_connector(df: DataFrame, fmt: str, key: str, key_option: str = "es.mapping.id", **options: str) -> None:
+    """The same through a connector whose store knows row ids, such as a document store's.
+
+    ``options`` name the store and its resource, and the operation where the connector wants it spelt out.
+    """
+    df.write.format(fmt).mode("append").option(key_option, key).options(**options).save()

@@ -3,7 +3,7 @@
 import pytest
 
 from moodlens.schemas import RESULT_TARGETS
-from moodlens.sinks import conform, create_targets, read_store, upsert_parquet
+from moodlens.sinks import conform, create_targets, read_store, upsert_connector, upsert_parquet
 
 SCHEMA = "hour int, count bigint, mean_sentiment float"
 
@@ -62,3 +62,11 @@ def test_targets_are_typed_and_kept(spark, tmp_path):
     create_targets(spark, str(tmp_path))
     row = read_store(spark, f"{tmp_path}/hour_reduced").first()
     assert row["count"] == 5 and row["mean_sentiment"] == pytest.approx(0.2) and row["mean_sentiment"] != 0.2
+
+
+def test_connector_gets_its_options(spark, tmp_path):
+    rows = frame(spark, (1, 1, 0.5))
+    with pytest.raises(Exception, match="(?i)no_such_store"):
+        upsert_connector(rows, "no_such_store", "hour", **{"es.resource": "hour_reduced"})
+    upsert_connector(rows, "parquet", "hour", path=str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
