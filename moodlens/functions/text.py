@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 # What cleaning replaces by a space, and the size of a length bucket. The three branches are a mention,
 # a sign followed by a space, and a spaced-out address. The POSIX class matches the same characters as 0-9A-Za-z but
 # several times faster in the JVM; (?U:...) makes \w and \S cover Unicode.
-CLEAN_PATTERN = r"@\p{Alnum}+|[^\p{Alnum} \t] |(?U: \w+: /  / \S+)"
+MENTION_OR_SIGN = r"@\p{Alnum}+|[^\p{Alnum} \t] "
+SPACED_ADDRESS = r"(?U: \w+: /  / \S+)"
+ADDRESS_MARK = ": /  / "
 LENGTH_BUCKET_SIZE = 10
 MAX_TWEET_CHARS = 280
 
@@ -26,6 +28,14 @@ def _as_column(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _without_signs(column: Column) -> Column:
+    # looking for an address after every blank is slow, and texts that hold one are rare
+    return F.when(
+        F.contains(column, F.lit(ADDRESS_MARK)),
+        F.regexp_replace(column, f"{MENTION_OR_SIGN}|{SPACED_ADDRESS}", " "),
+    ).otherwise(F.regexp_replace(column, MENTION_OR_SIGN, " "))
+
+
 def clean_text(text: Column | str, strip_urls: bool = False) -> Column:
     """Drop mentions and punctuation before a space, then collapse whitespace.
 
@@ -34,20 +44,20 @@ def clean_text(text: Column | str, strip_urls: bool = False) -> Column:
     column = _as_column(text)
     if strip_urls:
         column = F.regexp_replace(column, URL_PATTERN, " ")
-    column = F.regexp_replace(column, CLEAN_PATTERN, " ")
+    column = _without_signs(column)
     return F.trim(F.regexp_replace(column, WHITESPACE_PATTERN, " "))
 
 
 # Cleaning changes the words of a text only where one of these occurs: they start a mention or a spaced-out address, or
 # are signs whose lower case holds an ASCII letter. Other signs and whitespace separate words with or without cleaning.
-_WORDS_NEED_CLEANING = ("@", ": /  / ", "\u212a", "\u0130")
+_WORDS_NEED_CLEANING = ("@", ADDRESS_MARK, "\u212a", "\u0130")
 
 
 def sentiment_tokens(text: Column | str) -> Column:
     """Lower-case ASCII words of the cleaned text, in order."""
     column = _as_column(text)
     needed = reduce(or_, [F.contains(column, F.lit(part)) for part in _WORDS_NEED_CLEANING])
-    cleaned = F.when(needed, F.regexp_replace(column, CLEAN_PATTERN, " ")).otherwise(column)
+    cleaned = F.when(needed, _without_signs(column)).otherwise(column)
     return F.regexp_extract_all(F.lower(cleaned), F.lit(SENTIMENT_TOKEN_PATTERN), F.lit(0))
 
 
