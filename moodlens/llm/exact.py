@@ -155,7 +155,7 @@ def exact_groups(docs: DataFrame, smallest: bool = True, trie_bytes: int = TRIE_
     """
     owners = checkpointed(trie_owners(docs, smallest, trie_bytes))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(lowered(F.col("text")), 256).alias("text_sha256"))
-    joined = join_hot(rows, owners, "text_sha256", "group_size", "doc_id")
+    joined = join_hot(rows, owners, ["text_sha256"], "group_size", "doc_id")
     twins = Window.partitionBy("doc_id", "text_sha256").orderBy("doc_id")
     return joined.select(
         "doc_id",

@@ -15,6 +15,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: A key holding at least one part in so many of all rows is hot; there are at most so many of them.
 HOT_SHARE = 1000
+#: Numbers of 64 bits in the table of ``maybe_in``.
+BLOOM_WORDS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,24 +51,37 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, spread_by: str) -> DataFrame:
-    """Left join on ``key`` (unique in ``right``) in which no hot key meets in one task.
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], weight: str, spread_by: str) -> DataFrame:
+    """Left join on ``keys`` (unique in ``right``) in which no hot key meets in one task.
 
     ``weight`` of a right row is the number of left rows it meets. The keys holding a thousandth of the weight or more are at most
     a thousand, so they are broadcast; the rows they match take part in the shuffled join under lanes made from ``spread_by``, where
     they match nothing and are spread.
     """
-    values = [c for c in right.columns if c != key]
+    values = [c for c in right.columns if c not in keys]
     total = right.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) * HOT_SHARE >= F.lit(total)
-    hot = right.filter(is_hot).select(F.col(key), *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_is_hot"))
+    hot = right.filter(is_hot).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_is_hot"))
     cold = right.filter(~is_hot).withColumn("_lane", F.lit(0).cast("long"))
     lane = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(spread_by), F.lit(1 << 30)) + 1).otherwise(F.lit(0)).cast("long")
-    joined = left.join(F.broadcast(hot), key, "left").withColumn("_lane", lane).join(cold, [key, "_lane"], "left")
+    joined = left.join(F.broadcast(hot), keys, "left").withColumn("_lane", lane).join(cold, [*keys, "_lane"], "left")
     merged = [F.when(F.col("_is_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in values]
     return joined.select(*left.columns, *merged)
 
 
+def maybe_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The rows of ``left`` whose ``key`` may be in ``right``: all that are, and some that are not.
+
+    The keys of ``right`` set bits in a table of ``BLOOM_WORDS`` numbers, whatever their number, and that table is broadcast. It only
+    spares a following join rows; when it fills up, it spares fewer.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(BLOOM_WORDS * 64))
+    bits = right.select(place.alias("_p")).groupBy(F.floor(F.col("_p") / 64).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_p % 64 as int))")).alias("_bits"))
+    probed = left.withColumn("_at", place).withColumn("_word", F.floor(F.col("_at") / 64))
+    found = probed.join(F.broadcast(bits), "_word").filter(F.expr("(shiftrightunsigned(_bits, cast(_at % 64 as int)) & 1L) = 1L"))
+    return found.select(*left.columns)
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows: int, rows_per_task: int = 100_000) -> DataFrame:
     """Add ``name``, the rank from 0 of a row among the rows of its ``keys``, by lots drawn from ``order``.
 
