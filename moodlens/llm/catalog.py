@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from moodlens.llm.classifier import classify_quality
 from moodlens.llm.exact import exact_groups
+from moodlens.llm.extraction import extract_main_text
+from moodlens.llm.licences import scan_licences
 from moodlens.llm.mixing import mix
 from moodlens.llm.packing import pack
 from moodlens.llm.quality import quality_report
@@ -17,6 +21,10 @@ from moodlens.llm.substrings import substring_dedup
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -25,6 +33,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths; source, language and the hundreds of the id stand for folders."""
+    folder = F.floor(F.col("doc_id") / 100).cast("string")
+    return scan_licences(table(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang", folder, F.col("doc_id").cast("string")))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -47,7 +65,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_simhash_near_dedup, op3_substring_dedup, op6_best_fit_packing, op7_exact_dedup, op8_source_mixing, op9_quality_rules, op10_secret_scan)
+    for f in (
+        op1_main_text,
+        op2_simhash_near_dedup,
+        op3_substring_dedup,
+        op4_licence_scan,
+        op5_quality_classifier,
+        op6_best_fit_packing,
+        op7_exact_dedup,
+        op8_source_mixing,
+        op9_quality_rules,
+        op10_secret_scan,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
