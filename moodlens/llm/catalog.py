@@ -1,4 +1,4 @@
-"""The registered queries of the operators, with production parameters over whole tables, and their SQL where there is any."""
+"""The registered queries of the operators, with production parameters over whole tables."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from moodlens.llm.exact import exact_groups
 from moodlens.llm.extraction import extract_main_text
 from moodlens.llm.licences import scan_licences
 from moodlens.llm.mixing import mix
+from moodlens.llm.oracle import ORACLE_SQL
 from moodlens.llm.packing import pack
 from moodlens.llm.quality import quality_report
 from moodlens.llm.secret_scan import find_secrets
@@ -18,6 +19,8 @@ from moodlens.llm.shared import table
 from moodlens.llm.simhash import near_groups
 from moodlens.llm.substrings import substring_dedup
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -78,5 +81,3 @@ QUERIES = {
         op10_secret_scan,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -20,7 +20,7 @@ FIT_ROWS = 8000
 #: Buckets of the hashed features, passes of the fit, and the decay of its weights.
 BUCKETS, PASSES, DECAY = 1 << 13, 300, 1e-4
 #: Score from which a document is kept.
-KEEP = 0.5
+KEEP = 0.15
 
 
 def votes(text: Column) -> dict[str, Column]:
@@ -30,16 +30,17 @@ def votes(text: Column) -> dict[str, Column]:
     letters = F.regexp_count(text, F.lit(r"\p{L}+"))
     capitals = F.regexp_count(text, F.lit(r"\p{Lu}\p{Lu}+"))
     vote = lambda bad, good: F.when(bad, -1).when(good, 1).otherwise(0)
+    repeats = F.size(F.array_distinct(words_of(text))) < 0.25 * words
     stops = per_word(r"[\p{L}][.,;:?](?=\s|$)")
     return {
         "symbols": vote(per_word(r"[#*$%&|<>^~=]") > 0.3, F.lit(False)),
         "shouting": vote(capitals > 0.5 * F.greatest(letters, F.lit(1)), F.lit(False)),
         "exclamations": vote(per_word("!") > 0.3, F.lit(False)),
         "separators": vote(per_word(r"(?<=\s)[^\p{L}\p{N}\s]+(?=\s)") > 0.2, F.lit(False)),
-        "endings": vote(per_word(r"[^\p{L}\p{N}\s.,;:?)\"'](?=\s|$)") > 0.4, per_word(r"[^\p{L}\p{N}\s.,;:?)\"'](?=\s|$)") < 0.05),
-        "sentences": vote(F.lit(False), (stops > 0.03) & (stops < 0.5)),
-        "repetition": vote(F.size(F.array_distinct(words_of(text))) < 0.25 * words, F.lit(False)),
-        "letters": vote(letters < 0.5 * words, letters > 0.9 * words),
+        "endings": vote(per_word(r"[^\p{L}\p{N}\s.,;:?)\"'](?=\s|$)") > 0.4, F.lit(False)),
+        "sentences": vote(F.lit(False), (stops > 0.03) & (stops < 0.5) & ~repeats),
+        "repetition": vote(repeats, F.lit(False)),
+        "letters": vote(letters < 0.5 * words, F.lit(False)),
     }
 
 
