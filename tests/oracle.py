@@ -39,7 +39,7 @@ def compare(df, con, sql):
         return f"columns {sorted(df.columns)} <> {sorted(names)}"
     kinds = {
         "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
-        "timestamp_ntz": "TIMESTAMP",
+        "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
     }
     for name, kind in df.dtypes:
         if kinds.get(kind) != expected_types[name]:

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as contract
+from moodlens.catalog.oracle import ORACLE_SQL
+from moodlens.catalog.queries import QUERIES
 from oracle import compare, connect
 
 
@@ -12,12 +14,13 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.items() <= contract.queries().items() and ORACLE_SQL.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, sf_dir, con, name):
-    assert compare(contract.queries()[name](spark, sf_dir), con, contract.oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, sf_dir), con, ORACLE_SQL[name]) is None
 
 
 def test_entry(spark):
