@@ -82,9 +82,7 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn(
         "doc_id", F.col("event_id") * 7919 % documents.select(F.count("*")).scalar()
     )
-    # the exchange a join of two large tables needs anyway; small tables get the parallelism of one
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = documents.select("doc_id", "text").repartition(partitions, "doc_id")
+    texts = documents.select("doc_id", "text")
     event = F.col("event_id")
     location = F.concat_ws(",", _latitude(event), _longitude(event))
     return events.join(texts, "doc_id").select(

@@ -1,4 +1,4 @@
-"""Sentiment polarity as one stateless expression over a small lexicon."""
+"""Sentiment polarity as one stateless expression over a lexicon."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.functions.text import sentiment_tokens
+from moodlens.functions.text import SENTIMENT_TOKEN_PATTERN, sentiment_tokens
 
-# A lexicon beyond this size is joined instead of being written into the expression.
-MAX_INLINE_TERMS = 50_000
+#: Bytes that the terms of a lexicon may take inside the expression, some two million terms. It bounds what the driver and
+#: every task hold; a larger lexicon is joined.
+MAX_INLINE_BYTES = 64 << 20
+_BYTES_PER_ENTRY = 24
 _TERMS_PER_SLOT = 2
 
 
@@ -24,29 +26,35 @@ class CompiledLexicon:
     terms: int
 
 
-def compile_lexicon(lexicon: DataFrame, max_terms: int = MAX_INLINE_TERMS) -> CompiledLexicon | None:
-    """Read a lexicon of at most ``max_terms`` rows; a larger one gives None.
+def usable_terms(lexicon: DataFrame) -> DataFrame:
+    """``term`` in lower case, each once, with the mean of its polarities. Needs ``check_lexicon``."""
+    return lexicon.groupBy(F.lower("term").alias("term")).agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
 
-    A term given more than once counts with the mean of its polarities.
+
+def check_lexicon(lexicon: DataFrame) -> int:
+    """The bytes the terms take as an expression, from one pass; a row that is no use is an error at any size.
+
+    That is a row without term or polarity, with a polarity outside [-1, 1], or with a term that no token can equal.
     """
-    rows = (
-        lexicon.select("term", F.col("polarity").cast("double"), F.xxhash64("term")).limit(max_terms + 1).collect()
-    )
-    if len(rows) > max_terms:
-        return None
-    given: dict[str, list[float]] = {}
-    hashes: dict[str, int] = {}
-    for term, value, digest in rows:
-        if term is None or value is None or not -1.0 <= value <= 1.0:
-            raise ValueError(f"lexicon row out of range: {term!r}, {value!r}")
-        given.setdefault(term, []).append(value)
-        hashes[term] = digest
+    term, value = F.lower("term"), F.col("polarity").cast("double")
+    fits = term.rlike(f"^(?:{SENTIMENT_TOKEN_PATTERN})$") & value.between(-1.0, 1.0)
+    wrong = F.when(~F.coalesce(fits, F.lit(False)), F.struct(F.col("term"), value.alias("polarity")))
+    size, first, n = lexicon.agg(F.sum(F.octet_length(term) + _BYTES_PER_ENTRY), F.first(wrong, ignorenulls=True), F.count(wrong)).first()
+    if n:
+        raise ValueError(f"{n} lexicon rows are out of range, such as {first['term']!r}, {first['polarity']!r}")
+    return size or 0
+
 
-    slots = max(1, len(given) // _TERMS_PER_SLOT)
+def compile_lexicon(lexicon: DataFrame, max_bytes: int = MAX_INLINE_BYTES) -> CompiledLexicon | None:
+    """Make a lexicon of at most ``max_bytes`` part of an expression; a larger one gives None."""
+    if check_lexicon(lexicon) > max_bytes:
+        return None
+    rows = usable_terms(lexicon).select("term", "polarity", F.xxhash64("term")).collect()
+    slots = max(1, len(rows) // _TERMS_PER_SLOT)
     table: list[dict[str, float]] = [{} for _ in range(slots)]
-    for term, values in given.items():
-        table[hashes[term] % slots][term] = sum(values) / len(values)
-    return CompiledLexicon(slots, json.dumps(table), len(given))
+    for term, value, digest in rows:
+        table[digest % slots][term] = value
+    return CompiledLexicon(slots, json.dumps(table), len(rows))
 
 
 def polarity(text: Column | str, lexicon: CompiledLexicon) -> Column:

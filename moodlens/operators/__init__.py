@@ -13,7 +13,7 @@ from moodlens.operators.facets import (
     split_summary,
 )
 from moodlens.operators.joins import join_users_tweets
-from moodlens.operators.regions import RegionIndex, assign_region, region_index
+from moodlens.operators.regions import RegionIndex, assign_region, read_index, region_index, write_index
 from moodlens.operators.sentiment import add_sentiment
 from moodlens.operators.terms import term_counts
 
@@ -26,6 +26,7 @@ __all__ = [
     "facet_stats",
     "facet_summary",
     "join_users_tweets",
+    "read_index",
     "region_index",
     "sentiment_by_day_of_week",
     "sentiment_by_hour",
@@ -34,4 +35,5 @@ __all__ = [
     "sentiment_by_state",
     "split_summary",
     "term_counts",
+    "write_index",
 ]

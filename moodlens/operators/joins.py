@@ -15,7 +15,7 @@ def join_users_tweets(users: DataFrame, tweets: DataFrame, salts: int | None = N
     partition is split at run time; ``salts`` spreads every user up front instead, for clusters without that.
     """
     if salts:
-        joined = salted_join(tweets, users, ["user_id"], spread_by=["tweet_id"], salts=salts)
+        joined = salted_join(tweets, users, ["user_id"], salts=salts)
     else:
         joined = users.join(tweets, "user_id")
     tweet_columns = [name for name in tweets.columns if name != "user_id"]

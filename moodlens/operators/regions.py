@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodlens.functions.location import latitude, longitude
@@ -90,6 +90,19 @@ def _cell(degrees: Column, cells_per_degree: int) -> Column:
     return F.floor(degrees * cells_per_degree)
 
 
+def _odd_spans(west: Column, firsts: Column) -> Column:
+    """The spans of cells that an odd number of flips at one latitude concern.
+
+    A flip concerns the cells from ``west`` up to the one before its edge. With the edges from the east to the west, their number
+    is odd after the first, even after the second, and so on, so every other gap between neighbours is a span.
+    """
+    gaps = F.transform(
+        firsts,
+        lambda first, k: F.struct(F.coalesce(F.get(firsts, k + 1), west).alias("from"), (first - 1).alias("to"), (k % 2).alias("even")),
+    )
+    return F.filter(gaps, lambda gap: (gap["even"] == 0) & (gap["from"] <= gap["to"]))
+
+
 def _entries(regions: DataFrame, n: int) -> DataFrame:
     """Per cell and region a row for each near edge and for each flip."""
     wests = regions.groupBy("ordinal").agg(
@@ -117,11 +130,10 @@ def _entries(regions: DataFrame, n: int) -> DataFrame:
         .where(F.col("flip") < (F.col("cy") + 1) / n)
         .join(wests, "ordinal")
         .where("west < first")
-        .select(*region, "cy", "flip", F.explode(F.sequence(F.col("west"), F.col("first") - 1)).alias("cx"))
-        .groupBy("cx", "cy", *region, "flip")
-        .count()
-        .where("count % 2 = 1")
-        .select("cx", "cy", *region, F.lit(None).cast(EDGE).alias("edge"), "flip")
+        .groupBy(*region, "cy", "flip")
+        .agg(F.min("west").alias("west"), F.sort_array(F.collect_list("first"), asc=False).alias("firsts"))
+        .select(*region, "cy", "flip", F.explode(_odd_spans(F.col("west"), F.col("firsts"))).alias("span"))
+        .select(F.explode(F.sequence("span.from", "span.to")).alias("cx"), "cy", *region, F.lit(None).cast(EDGE).alias("edge"), "flip")
     )
     return near.unionByName(flips)
 
@@ -134,7 +146,9 @@ def region_index(
 ) -> RegionIndex:
     """Index a region table. ``cells_per_degree`` is a power of two, so that cell borders are exact.
 
-    The entries are computed into the shared folder and counted; while one cell holds too many, the grid is made finer.
+    The entries are computed into the shared folder and counted; while one cell holds too many, the grid is made finer, down to a
+    thousandth of a degree. Edges that still crowd one cell are all kept there. The cells are computed once and kept too, so the
+    micro-batches of a stream read them as they are.
     """
     n = cells_per_degree
     if n < 1 or n & (n - 1):
@@ -143,25 +157,38 @@ def region_index(
         entries = checkpointed(_entries(regions, n))
         counts = entries.groupBy("cx", "cy").count()
         total, largest = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
-        if largest <= max_cell_entries:
+        if largest <= max_cell_entries or n >= FINEST_CELLS_PER_DEGREE:
             break
         n *= 2
-        if n > FINEST_CELLS_PER_DEGREE:
-            raise ValueError(f"{largest} edges meet in one cell of the finest grid")
     candidates = entries.groupBy("cx", "cy", "ordinal", "region_name", "region_code").agg(
         F.collect_list("edge").alias("edges"), F.collect_list("flip").alias("flips")
     )
     cells = candidates.groupBy("cx", "cy").agg(
         F.sort_array(F.collect_list(F.struct("ordinal", "region_name", "region_code", "edges", "flips"))).alias("candidates")
     )
-    return RegionIndex(n, cells, total, total <= max_broadcast_entries)
+    return RegionIndex(n, checkpointed(cells), total, total <= max_broadcast_entries)
+
+
+def write_index(index: RegionIndex, path: str, mode: str = "errorifexists") -> None:
+    """Keep an index as a table, for ``read_index``."""
+    about = {"cells_per_degree": F.lit(index.cells_per_degree), "entries": F.lit(index.entries)}
+    index.cells.withColumns(about).write.mode(mode).parquet(path)
+
+
+def read_index(spark: SparkSession, path: str, max_broadcast_entries: int = MAX_BROADCAST_ENTRIES) -> RegionIndex:
+    """An index that ``write_index`` has kept; nothing is computed again."""
+    kept = spark.read.parquet(path)
+    about = kept.select("cells_per_degree", "entries").first()
+    n, entries = (about["cells_per_degree"], about["entries"]) if about else (1, 0)
+    return RegionIndex(n, kept.drop("cells_per_degree", "entries"), entries, entries <= max_broadcast_entries)
 
 
 def assign_region(df: DataFrame, index: RegionIndex, location: str = "location") -> DataFrame:
     """Add ``lat``, ``lon``, ``region_name`` and ``region_code``; ``Unknown`` for a location in no region or unreadable.
 
     With a small index this is a map-side join without any shuffle, for batches and streams alike. A larger one is
-    joined by cell, every cell spread over salted partitions, as one city may hold a third of all rows.
+    joined by cell, every cell spread over salted partitions, as one city may hold a third of all rows; unreadable locations are
+    spread over all of them.
     """
     n = index.cells_per_degree
     located = df.withColumns({"lat": latitude(location), "lon": longitude(location)}).withColumns(
@@ -170,7 +197,7 @@ def assign_region(df: DataFrame, index: RegionIndex, location: str = "location")
     if index.fits_broadcast:
         joined = located.join(F.broadcast(index.cells), ["cx", "cy"], "left")
     else:
-        joined = salted_join(located, index.cells, ["cx", "cy"], spread_by=df.columns, how="left")
+        joined = salted_join(located, index.cells, ["cx", "cy"], how="left")
     hits = F.filter(
         "candidates",
         lambda region: _inside(region["edges"], region["flips"], F.col("lon"), F.col("lat")),

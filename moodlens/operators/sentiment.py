@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.functions.polarity import MAX_INLINE_TERMS, compile_lexicon, polarity
+from moodlens.functions.polarity import MAX_INLINE_BYTES, check_lexicon, compile_lexicon, polarity, usable_terms
 from moodlens.functions.text import sentiment_tokens
-from moodlens.session import salted_join
+from moodlens.session import checkpointed, salted_join
 
 
 def add_sentiment(
@@ -15,44 +15,39 @@ def add_sentiment(
     lexicon: DataFrame,
     text: str = "tweet",
     output: str = "tweet_sentiment",
-    max_inline_terms: int = MAX_INLINE_TERMS,
+    max_inline_bytes: int = MAX_INLINE_BYTES,
 ) -> DataFrame:
     """Add the mean polarity of each text's known terms as a double; 0.0 for none and for a null text.
 
-    A lexicon of up to ``max_inline_terms`` rows becomes part of the expression: no shuffle, and fit for streams. A
-    larger one is joined (batch only).
+    The lexicon becomes part of the expression: no shuffle, and fit for streams. Only one whose terms take more than
+    ``max_inline_bytes`` is joined (batch only). Both ways refuse the same lexicon rows.
     """
-    compiled = compile_lexicon(lexicon, max_inline_terms)
+    compiled = compile_lexicon(lexicon, max_inline_bytes)
     if compiled is not None:
         return tweets.withColumn(output, polarity(text, compiled))
     if tweets.isStreaming:
-        raise ValueError(f"a stream needs a lexicon of at most {max_inline_terms} terms")
+        raise ValueError(f"the terms of a stream's lexicon may take {max_inline_bytes} bytes")
     return score_by_join(tweets, lexicon, text, output)
 
 
 def score_by_join(tweets: DataFrame, lexicon: DataFrame, text: str = "tweet", output: str = "tweet_sentiment") -> DataFrame:
     """The same score through a join with a lexicon of any size.
 
-    Only digests of the texts and their terms are shuffled, never the texts. Equal texts meet in one group, which
-    leaves their mean as it is. A frequent term is spread over salted partitions.
+    Digests of the texts and their terms are shuffled for the join with the lexicon, in which a frequent term is spread over
+    salted partitions. The scores come back by digest: there the rows of ``tweets``, texts included, are shuffled once.
     """
-    terms = lexicon.groupBy("term").agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
+    check_lexicon(lexicon)
     keyed = tweets.withColumn("_digest", F.sha2(F.col(text).cast("binary"), 256))
     counted = (
-        keyed.where(F.col(text).isNotNull())
-        .select("_digest", F.explode(sentiment_tokens(text)).alias("term"))
-        .groupBy("_digest", "term")
-        .agg(F.count("*").alias("n"))
+        keyed.select("_digest", F.explode(sentiment_tokens(text)).alias("term")).groupBy("_digest", "term").agg(F.count("*").alias("n"))
     )
     scores = (
-        salted_join(counted, terms, ["term"], spread_by=["_digest"])
+        salted_join(counted, usable_terms(lexicon), ["term"])
         .groupBy("_digest")
         .agg((F.sum(F.col("polarity") * F.col("n")) / F.sum("n")).alias("_score"))
     )
-    # texts without a digest are spread over all partitions; many copies of one text are spread by the salts
-    key = F.coalesce("_digest", F.concat(F.lit("?"), F.xxhash64(*tweets.columns).cast("string")))
     return (
-        salted_join(keyed.withColumn("_digest", key), scores, ["_digest"], spread_by=tweets.columns, salts=4, how="left")
+        salted_join(keyed, checkpointed(scores), ["_digest"], salts=4, how="left")
         .withColumn(output, F.coalesce("_score", F.lit(0.0)))
         .select(*tweets.columns, output)
     )

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # splits the partitions of a hot user, text or location at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keeps the state of a stream on disk instead of the executors' heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -80,13 +85,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], salts: int = 16, how: str = "inner") -> DataFrame:
-    """Equi-join that spreads every key of ``left`` over ``salts`` partitions.
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], salts: int = 16, how: str = "inner") -> DataFrame:
+    """Equi-join that spreads every key of ``left`` evenly over ``salts`` partitions, copies of one row too.
 
-    ``right`` is repeated once per salt, so it should be the smaller side. The salt is a hash of ``spread_by``,
-    so a task that is run again after an executor loss salts its rows the same way. Both sides are exchanged for this
-    join alone, so a partition that is still too large is split at run time as well.
+    ``right`` is repeated once per salt, so it should be the smaller side. The salt goes round with the number of the row in its
+    task, so it does not matter whether rows differ. Rows of ``left`` with a null in ``on`` match nothing; each takes a lane of its
+    own, where no row of ``right`` is. A task that runs again reads the same rows and salts them the same way, as its input is a scan,
+    a checkpoint or the output of an earlier exchange that Spark repeats as a whole when its order is not certain. Both sides are
+    exchanged for this join alone, so a partition that is still too large is split at run time as well.
     """
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # streams have no row numbers, but seeded draws
+    number = F.floor(F.rand(7) * (1 << 40)) if left.isStreaming else F.monotonically_increasing_id()
+    unmatched = reduce(or_, [F.col(name).isNull() for name in on])
+    salt = F.when(unmatched, F.lit(salts) + F.pmod(F.xxhash64(number), F.lit(1 << 30))).otherwise(F.pmod(number, F.lit(salts)))
+    salted_left = left.withColumn("_salt", salt.cast("long"))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodlens.schemas import REGION
@@ -15,19 +15,37 @@ CODE_ATTRIBUTE = "State_Code"
 def load_regions(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """Regions as one row per ring vertex, from a table of that form or from GeoJSON features (``fmt="geojson"``)."""
     if fmt == "geojson":
-        return regions_from_geojson(spark.read.text(path))
+        return regions_from_geojson(_numbered_lines(spark.read.text(path)), ordinal=F.col("ordinal"))
     return spark.read.format(fmt).schema(REGION).options(**options).load(path)
 
 
-def regions_from_geojson(lines: DataFrame, name: str = NAME_ATTRIBUTE, code: str = CODE_ATTRIBUTE) -> DataFrame:
-    """Polygon and multipolygon features, one per line; a feature's line order is its ordinal."""
+def _numbered_lines(lines: DataFrame) -> DataFrame:
+    """Lines with an ordinal that rises by file name, then by place in the file, however Spark packs files into tasks.
+
+    A file part is known by its file and offset. Parts are ranked; within one, the row number in the task rises. Only the list of
+    parts is sorted in one task.
+    """
+    part = {"_file": F.col("_metadata.file_path"), "_from": F.col("_metadata.file_block_start")}
+    placed = lines.select("value", *[c.alias(n) for n, c in part.items()]).withColumn("_row", F.monotonically_increasing_id())
+    parts = placed.select(*part).distinct().withColumn("_part", F.row_number().over(Window.orderBy("_file", "_from")).cast("long"))
+    # the lower 33 bits of the id number the rows of a task
+    ordinal = F.shiftleft("_part", 33) + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(parts), [*part]).select("value", ordinal.alias("ordinal"))
+
+
+def regions_from_geojson(
+    lines: DataFrame, name: str = NAME_ATTRIBUTE, code: str = CODE_ATTRIBUTE, ordinal: Column | None = None
+) -> DataFrame:
+    """Polygon and multipolygon features, one per line in ``value``.
+
+    ``ordinal`` tells their order; without it they are numbered as they come.
+    """
     feature = F.from_json(
         "value",
         f"properties struct<`{name}`: string, `{code}`: string>, geometry struct<type: string, coordinates: string>",
     )
     features = (
-        lines.withColumn("ordinal", F.monotonically_increasing_id())
-        .select("ordinal", feature.alias("feature"))
+        lines.select((F.monotonically_increasing_id() if ordinal is None else ordinal).alias("ordinal"), feature.alias("feature"))
         .select(
             "ordinal",
             F.col(f"feature.properties.{name}").alias("region_name"),

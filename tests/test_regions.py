@@ -1,12 +1,14 @@
 """Region lookup against a brute-force test with exact fractions."""
 
+import json
 import random
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from moodlens.operators import assign_region, region_index
+from moodlens.operators import assign_region, read_index, region_index, write_index
+from moodlens.operators.regions import _entries
 from moodlens.schemas import REGION
 from moodlens.sources.regions import load_regions, regions_from_geojson
 
@@ -130,8 +132,43 @@ def test_crowded_cells_are_cut_up(spark, monkeypatch):
     locations = [f"{0.5 + y / 37},{x / 41}" for x in range(42) for y in range(12)]
     assert lookup(spark, index, locations) == [brute_force(comb, location) for location in locations]
     monkeypatch.setattr("moodlens.operators.regions.FINEST_CELLS_PER_DEGREE", 2)
-    with pytest.raises(ValueError):
-        region_index(table, max_cell_entries=0)
+    crowded = region_index(table, max_cell_entries=0)
+    assert crowded.cells_per_degree == 2
+    assert lookup(spark, crowded, locations) == [brute_force(comb, location) for location in locations]
+
+
+def test_wide_ring_has_few_flips(spark):
+    """Flips are kept as spans: their number follows the edges, not the cells between them and the western border."""
+    steps = 250
+    top = [(-60 + 120 * i / steps, 10.0 + (i % 2) / 3) for i in range(steps + 1)]
+    wide = {("Wide", "W"): [top + [(60.0, 0.0), (-60.0, 0.0)]]}
+    entries = _entries(spark.createDataFrame(region_rows(wide), REGION), 4)
+    edges, flips = entries.where("edge is not null").count(), entries.where("flip is not null").count()
+    assert flips <= 12 * edges
+
+
+def test_kept_index_reads_back(spark, tmp_path):
+    index = region_index(spark.createDataFrame(region_rows(REGIONS), REGION))
+    write_index(index, str(tmp_path / "index"))
+    again = read_index(spark, str(tmp_path / "index"))
+    assert (again.cells_per_degree, again.entries, again.fits_broadcast) == (index.cells_per_degree, index.entries, True)
+    locations = [f"{y / 3},{x / 3}" for x in range(-9, 60) for y in range(-9, 60)]
+    assert lookup(spark, again, locations) == lookup(spark, index, locations)
+
+
+def test_region_order_follows_the_file_names(spark, tmp_path):
+    """A feature of the first file wins an overlap, though Spark reads the larger file first."""
+
+    def feature(name, pad):
+        ring = [[0, 0], [0, 10], [10, 10], [10, 0], [0, 0]]
+        return json.dumps({"type": "Feature", "properties": {"State_Name": name, "State_Code": name, "pad": "x" * pad}, "geometry": {"type": "Polygon", "coordinates": [ring]}})
+
+    (tmp_path / "a.json").write_text(feature("A", 0) + "\n" + feature("C", 0))
+    (tmp_path / "b.json").write_text(feature("B", 5000))
+    loaded = load_regions(spark, str(tmp_path), "geojson")
+    names = [r[0] for r in loaded.groupBy("ordinal").agg(F.first("region_name")).orderBy("ordinal").select(F.col("first(region_name)")).collect()]
+    assert names == ["A", "C", "B"]
+    assert lookup(spark, region_index(loaded), ["5,5"]) == ["A"]
 
 
 def test_small_index_needs_no_shuffle_of_the_tweets(spark):

@@ -145,4 +145,4 @@ def test_lexicon_beyond_the_inline_bound_is_refused_on_a_stream(spark, tmp_path,
     (tmp_path / "topic").mkdir()
     stream = decode_payload(read_value_stream(spark, "text", str(tmp_path / "topic")))
     with pytest.raises(ValueError):
-        add_sentiment(stream, dimensions[0], max_inline_terms=3)
+        add_sentiment(stream, dimensions[0], max_inline_bytes=3)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from moodlens.functions import clean_text, compile_lexicon, index_terms, length_bucket, sentiment_tokens
+from moodlens.functions import clean_text, index_terms, length_bucket, sentiment_tokens
 from moodlens.operators import add_sentiment, term_counts
 from moodlens.operators.sentiment import score_by_join
 from moodlens.schemas import LEXICON
@@ -23,8 +23,41 @@ def values(df, column):
     return [row[0] for row in df.orderBy("id").select(column).collect()]
 
 
-def python_clean(text):
-    return " ".join(re.sub(r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t]) | (\w+: /  / \S+)", " ", text).split())
+def _is_ascii_alnum(sign):
+    return sign.isascii() and sign.isalnum()
+
+
+def _address_end(text, at):
+    """Where a spaced-out address that starts with the blank at ``at`` ends; ``at`` if there is none."""
+    word = at + 1
+    while word < len(text) and (text[word].isalnum() or text[word] == "_"):
+        word += 1
+    rest = word + len(": /  / ")
+    if word == at + 1 or text[word:rest] != ": /  / ":
+        return at
+    end = rest
+    while end < len(text) and not text[end].isspace():
+        end += 1
+    return end if end > rest else at
+
+
+def scan_clean(text):
+    """The rules of cleaning, sign by sign: mentions, signs before a blank and spaced-out addresses become one blank."""
+    kept, at = [], 0
+    while at < len(text):
+        sign, end = text[at], at
+        if sign == "@":
+            end = at + 1
+            while end < len(text) and _is_ascii_alnum(text[end]):
+                end += 1
+            end = at if end == at + 1 else end
+        if end == at and not _is_ascii_alnum(sign) and sign not in " \t" and text[at + 1 : at + 2] == " ":
+            end = at + 2
+        if end == at and sign == " ":
+            end = _address_end(text, at)
+        kept.append(sign if end == at else " ")
+        at = max(end, at + 1)
+    return " ".join("".join(kept).split())
 
 
 @pytest.mark.parametrize(
@@ -48,9 +81,9 @@ def test_clean_can_drop_urls(spark):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet=ALPHABET, max_size=60) | st.text(max_size=30), min_size=100, max_size=200))
-def test_clean_equals_python(spark, texts):
+def test_clean_equals_scanner(spark, texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
-    assert values(texts_df(spark, texts), clean_text("tweet")) == [python_clean(t) for t in texts]
+    assert values(texts_df(spark, texts), clean_text("tweet")) == [scan_clean(t) for t in texts]
 
 
 def test_length_bucket(spark):
@@ -72,7 +105,7 @@ LEXICON_ROWS = [("good", 0.5), ("bad", -0.75), ("fine", 0.25), ("fine", 0.75)]
 
 
 def python_score(text, polarity):
-    found = [polarity[t] for t in re.findall("[a-z]+", python_clean(text).lower()) if t in polarity] if text else []
+    found = [polarity[t] for t in re.findall("[a-z]+", scan_clean(text).lower()) if t in polarity] if text else []
     return sum(found) / len(found) if found else 0.0
 
 
@@ -89,10 +122,19 @@ def test_empty_lexicon(spark):
     assert values(scored, "tweet_sentiment") == [0.0]
 
 
-@pytest.mark.parametrize("row", [("good", 1.5), ("good", None), (None, 0.5)])
-def test_bad_lexicon_is_refused(spark, row):
-    with pytest.raises(ValueError):
-        compile_lexicon(spark.createDataFrame([row], LEXICON))
+@pytest.mark.parametrize("row", [("good", 1.5), ("good", None), (None, 0.5), ("don't", 0.5), ("olé", 0.5)])
+def test_bad_lexicon_is_refused_at_any_size(spark, row):
+    lexicon = spark.createDataFrame([("fine", 0.5), row], LEXICON)
+    for max_bytes in (1 << 20, 1):
+        with pytest.raises(ValueError):
+            add_sentiment(texts_df(spark, ["fine"]), lexicon, max_inline_bytes=max_bytes)
+
+
+def test_lexicon_terms_match_in_any_case(spark):
+    lexicon = spark.createDataFrame([("Good", 0.5), ("GOOD", 1.0)], LEXICON)
+    df = texts_df(spark, ["good day"])
+    for max_bytes in (1 << 20, 1):
+        assert values(add_sentiment(df, lexicon, max_inline_bytes=max_bytes), "tweet_sentiment") == [0.75]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -123,7 +165,7 @@ def test_large_lexicon_is_joined(spark):
     )
     df = texts_df(spark, ["wb wcd", "wzz", "wejj wa wa"])
     inline = add_sentiment(df, lexicon)
-    joined = add_sentiment(df, lexicon, max_inline_terms=100)
+    joined = add_sentiment(df, lexicon, max_inline_bytes=100)
     assert "Join" not in inline._jdf.queryExecution().executedPlan().toString()
     assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
     assert values(inline, "tweet_sentiment") == values(joined, "tweet_sentiment") != [0.0] * 3
