@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodlens.functions.text import sentiment_tokens
 from moodlens.schemas import LEXICON
 from moodlens.sinks.files import to_json_values
+from moodlens.sources.regions import CODE_ATTRIBUTE, NAME_ATTRIBUTE
 
 # Terms that are frequent in the documents. The polarities are eighths, so sums of them are exact.
 LEXICON_ROWS = (
@@ -118,3 +120,30 @@ def tweet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream message of each tweet, with the tweet's time as its ingest time."""
     return to_json_values(tweets(spark, sf_dir), F.col("timestamp"))
+
+
+def document_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents as a term. The polarities are eighths made from length and first letter."""
+    words = table(spark, sf_dir, "documents").select(F.explode(sentiment_tokens("text")).alias("term")).distinct()
+    return words.select("term", (((F.length("term") * 7 + F.ascii("term")) % 17 - 8) / 8).alias("polarity"))
+
+
+def write_region_files(spark: SparkSession, sf_dir: str, path: str, files: int = 3) -> None:
+    """The regions as GeoJSON features, dealt to several files in the order of their ordinals."""
+    rings = regions(spark, sf_dir).groupBy("ordinal", "region_name", "region_code", "ring_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("seq", "lon", "lat"))), lambda v: F.array(v["lon"], v["lat"])).alias("ring")
+    )
+    features = rings.groupBy("ordinal", "region_name", "region_code").agg(
+        F.array_sort(F.collect_list(F.struct("ring_id", "ring"))).alias("rings")
+    )
+    parts = F.transform("rings", lambda r: r["ring"])
+
+    def feature(kind: str, coordinates: Column) -> Column:
+        properties = F.struct(F.col("region_name").alias(NAME_ATTRIBUTE), F.col("region_code").alias(CODE_ATTRIBUTE))
+        geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geometry.alias("geometry")))
+
+    separate = F.exists("rings", lambda r: r["ring_id"] == 2)
+    value = F.when(separate, feature("MultiPolygon", F.transform(parts, lambda p: F.array(p)))).otherwise(feature("Polygon", parts))
+    lines = features.select("ordinal", value.alias("value")).repartitionByRange(files, "ordinal").sortWithinPartitions("ordinal")
+    lines.select("value").write.text(path)

@@ -25,6 +25,7 @@ def _lon(key: str) -> str:
 
 _OFF_TIE = "1e-8"
 _SIGNS = r"regexp_replace({}, '@[A-Za-z0-9]+|[^0-9A-Za-z \t] | \w+: /  / \S+', ' ', 'g')"
+# The pattern of cleaning, which must equal that of moodlens.functions.text, and white space by code point.
 _SPACES = r"[\s\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 _FLAT = r"regexp_replace({}, '[\t\r\n]+', ' ', 'g')"
 
@@ -50,6 +51,14 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
               select doc_id, unnest(regexp_extract_all(lower({_clean('text')}), '[a-z]+')) as term from documents) t
             join lexicon using (term) group by doc_id""",
     ),
+    "words": (
+        (),
+        f"""select doc_id, unnest(regexp_extract_all(lower({_clean('text')}), '[a-z]+')) as term from documents""",
+    ),
+    "word_scores": (
+        ("words",),
+        """select doc_id, sum(((length(term) * 7 + ascii(term)) % 17 - 8) / 8.0) / count(*) as score from words group by doc_id""",
+    ),
     "scored": (
         ("tweets", "scores"),
         """select t.*, coalesce(s.score, 0.0) as tweet_sentiment
@@ -217,7 +226,59 @@ ORACLE_SQL: dict[str, str] = {
         "select t.tweet_id, l.region_name, l.region_code from tweets t join located l on l.location = t.location",
     ),
     "facet_summary": _with(("sentiment_located",), _SUMMARY),
-    "facet_previews": _with(("scored",), f"{_BY_LENGTH} order by tweet_length limit 28"),
+    "facet_previews": _with(
+        ("sentiment_located",),
+        f"""select * exclude (place) from (
+              select *, row_number() over (partition by facet order by coalesce(hour, day_number, tweet_length) nulls first) as place
+              from ({_SUMMARY}))
+            where place <= case facet when 'state' then 51 when 'hour' then 24 when 'day' then 20 else 28 end""",
+    ),
+    "tweet_sentiment_large_lexicon": _with(
+        ("tweets", "word_scores"),
+        "select t.tweet_id, coalesce(s.score, 0.0) as tweet_sentiment from tweets t left join word_scores s on s.doc_id = t.doc_id",
+    ),
+    "stored_tweets": _with(("tweets",), 'select user_id, tweet_id, tweet, "timestamp", location from tweets'),
+    "stored_tweets_of_user": _with(
+        ("tweets",), """select user_id, tweet_id, tweet, "timestamp", location from tweets where user_id = '7'"""
+    ),
+    "regions_loaded": _with(
+        ("vertices",),
+        """select cast(ordinal as bigint) as rank, region_name, region_code,
+                  cast(case ring_id when 2 then 1 else ring_id end as integer) as ring_id, cast(seq as integer) as seq, lon, lat from vertices""",
+    ),
+    "region_lookup_geojson": _with(("located",), "select location, lat, lon, region_name, region_code from located"),
+    "historical_stores": _with(
+        ("sentiment_located",),
+        f"""select facet || '_reduced' as store,
+                coalesce(state_name, cast(hour as varchar), day_name, cast(tweet_length as varchar)) as key, count,
+                round(cast(total_sentiment as float), 3) as total_sentiment, round(cast(absolute_sentiment as float), 3) as absolute_sentiment,
+                round(cast(mean_sentiment as float), 3) as mean_sentiment
+            from ({_SUMMARY})""",
+    ),
+    "feed_export": _with(
+        ("tweets",),
+        f"""select u.user_id, u.latitude, u.longitude, t.tweet_id, {_FLAT.format('t.tweet')} as tweet,
+            coalesce(strftime(t."timestamp", '%Y-%m-%dT%H:%M:%S'), '') as "timestamp",
+            concat(cast(u.latitude as varchar), ',', cast(u.longitude as varchar)) as location
+            from ({_USERS}) u join tweets t on t.user_id = u.user_id where t.location <> 'n/a'""",
+    ),
+    "feed_rejects": _with(
+        ("tweets",), f"{_RAW}, 'field count' as rejected_because from tweets where location = 'n/a'"
+    ),
+    "replay_topic": _with(
+        ("tweets",),
+        """select user_id, tweet_id, tweet, location, '1706745600000' as timestamp_logger
+           from tweets order by tweet_id limit 100""",
+    ),
+    "stream_malformed": _with(("tweets",), "select concat('{broken ', tweet_id) as value from tweets where location = 'n/a'"),
+    "stream_late_rows": _with(
+        ("windowed",),
+        f"""select state, {_WINDOW_BOUNDS}, {_MEAN_MAX_MIN} from windowed
+            where epoch_ms(ts) >= (select (min(epoch_ms(ts)) + max(epoch_ms(ts))) // 2 from windowed)
+              and start_us + 20000000 <= (select max(epoch_us(ts)) from windowed) - 5000000
+            group by state, start_us""",
+        ts=_MS,
+    ),
     "user_tweet_join": _with(
         ("tweets",),
         f"""select u.user_id, u.latitude, u.longitude, t.tweet_id, t.tweet, t."timestamp",
@@ -231,12 +292,12 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "tsv_ingest_valid": _with(
         ("tweets",),
-        f"""select user_id, tweet_id, {_FLAT.format('tweet')} as tweet, "timestamp", location
+        """select user_id, tweet_id, tweet, "timestamp", location
             from tweets where "timestamp" is not null""",
     ),
     "tsv_ingest_rejected": _with(
         ("tweets",),
-        f"""select user_id, tweet_id, {_FLAT.format('tweet')} as tweet, 'no time' as timestamp_text, location,
+        """select user_id, tweet_id, tweet, 'no time' as timestamp_text, location,
             'timestamp' as rejected_because from tweets where "timestamp" is null""",
     ),
     "facet_store_conform": _with(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodlens.catalog import fixtures
@@ -16,6 +17,7 @@ from moodlens.operators import (
     assign_region,
     facet_summary,
     join_users_tweets,
+    read_index,
     region_index,
     sentiment_by_day_of_week,
     sentiment_by_hour,
@@ -23,13 +25,16 @@ from moodlens.operators import (
     sentiment_by_location,
     sentiment_by_state,
     term_counts,
+    write_index,
 )
-from moodlens.plans import previews, process_tweets, run_live
+from moodlens.plans import prepare_feed, previews, process_tweets, replay_once, run_historical, run_live
+from moodlens.schemas import RESULT_KEYS
 from moodlens.session import discard, pin_session, scratch_path
 from moodlens.sinks import bulk_load, conform, publish_json, read_loaded, read_store, to_json_values, upsert_parquet, write_tsv
-from moodlens.sources import parse_users, sample_for_replay, split_raw_tweets, tweets_of_user
+from moodlens.sinks.files import unescaped
+from moodlens.sources import load_regions, parse_users, read_tweets, sample_for_replay, split_raw_tweets, tweets_of_user
 from moodlens.sources.tweets import REJECTED
-from moodlens.streaming import decode_payload, enrich, event_time, read_value_stream, window_sentiment
+from moodlens.streaming import decode_payload, enrich, event_time, malformed, read_value_stream, window_sentiment, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,8 +134,81 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facet_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = process_tweets(_tweets(spark, sf_dir), fixtures.lexicon(spark), _index(spark, sf_dir))
-    shown = previews(results)["length"]
-    return _rounded(shown)
+    shown = [preview.select(F.lit(name).alias("facet"), "*") for name, preview in previews(results).items()]
+    return _rounded(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shown))
+
+
+def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = add_sentiment(_tweets(spark, sf_dir), fixtures.document_lexicon(spark, sf_dir))
+    return scored.select("tweet_id", "tweet_sentiment")
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tweets")
+    _tweets(spark, sf_dir).write.parquet(path)
+    return read_tweets(spark, path)
+
+
+def stored_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).withColumn("timestamp", _naive("timestamp"))
+
+
+def stored_tweets_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tweets_of_user(_stored(spark, sf_dir), USER).withColumn("timestamp", _naive("timestamp"))
+
+
+def _loaded_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(pin_session(spark), "regions")
+    fixtures.write_region_files(spark, sf_dir, path)
+    return load_regions(spark, path, "geojson")
+
+
+def regions_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vertices with the rank of their region; regions are few, so one task ranks them."""
+    loaded = _loaded_regions(spark, sf_dir)
+    rank = Window.partitionBy(F.lit(0)).orderBy("ordinal")
+    ranks = loaded.select("ordinal").distinct().select("ordinal", (F.row_number().over(rank) - 1).cast("bigint").alias("rank"))
+    return loaded.join(ranks, "ordinal").drop("ordinal")
+
+
+def region_lookup_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup with an index made from GeoJSON files, kept as a table and read back."""
+    path = scratch_path(spark, "index")
+    write_index(region_index(_loaded_regions(spark, sf_dir)), path)
+    return assign_region(_tweets(spark, sf_dir).select("location").distinct(), read_index(spark, path))
+
+
+def historical_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stores and the tables of unkeyed groups after the historical job has run twice."""
+    path = scratch_path(spark, "results")
+    for _ in range(2):
+        run_historical(spark, _tweets(spark, sf_dir), fixtures.lexicon(spark), _index(spark, sf_dir), path)
+    parts = []
+    for target, key in RESULT_KEYS.items():
+        kept = read_store(spark, f"{path}/{target}").unionByName(spark.read.parquet(f"{path}/{target}_unkeyed"))
+        measures = [F.round(F.col(m), 3).alias(m) for m in ("total_sentiment", "absolute_sentiment", "mean_sentiment")]
+        parts.append(kept.select(F.lit(target).alias("store"), F.col(key).cast("string").alias("key"), "count", *measures))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _feed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of the export and the rejects of the feed job."""
+    users, raw, feed = (scratch_path(pin_session(spark), name) for name in ("users", "raw", "feed"))
+    fixtures.user_lines(spark, sf_dir).write.text(users)
+    fixtures.tweet_lines(spark, sf_dir).write.text(raw)
+    prepare_feed(spark, users, raw, feed, f"{feed}_rejects")
+    discard(spark, users, raw)
+    return feed, f"{feed}_rejects"
+
+
+def feed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exported = spark.read.option("sep", "\t").option("header", True).option("escape", '"').csv(_feed(spark, sf_dir)[0])
+    typed = {"latitude": F.col("latitude").cast("double"), "longitude": F.col("longitude").cast("double")}
+    return exported.withColumns({**typed, "tweet": unescaped(F.col("tweet")), "timestamp": F.coalesce("timestamp", F.lit(""))})
+
+
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_feed(spark, sf_dir)[1])
 
 
 def user_tweet_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +236,7 @@ def _bulk_loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     exported, loaded = scratch_path(spark, "tsv"), scratch_path(spark, "loaded")
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     write_tsv(_tweets(spark, sf_dir).withColumn("timestamp", F.coalesce(stamp, F.lit("no time"))), exported)
-    bulk_load(spark, exported, loaded)
+    bulk_load(spark, exported, loaded, escapes=True)
     discard(spark, exported)
     return read_loaded(spark, loaded)
 
@@ -204,6 +282,13 @@ def replay_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_payload(sample).select("user_id", "tweet_id", "tweet", "location", "timestamp_logger")
 
 
+def replay_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = scratch_path(pin_session(spark), "topic")
+    replay_once(fixtures.tweets(spark, sf_dir), "text", ingest_time=F.lit("2024-02-01 00:00:00").cast("timestamp"), path=topic)
+    decoded = decode_payload(spark.read.text(topic))
+    return decoded.select("user_id", "tweet_id", "tweet", "location", "timestamp_logger")
+
+
 def _windows(df: DataFrame) -> DataFrame:
     bounds = {"window_start": _naive("window.start"), "window_end": _naive("window.end")}
     return _rounded(df.withColumns(bounds).drop("window"))
@@ -233,6 +318,36 @@ def _streamed(spark: SparkSession, sf_dir: str, measures: Sequence[str] | None)
     return spark.read.parquet(out)
 
 
+def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages nobody can read: those of tweets without a readable location are broken on purpose."""
+    topic, out, checkpoint = (scratch_path(pin_session(spark), name) for name in ("topic", "out", "stream"))
+    tweets = fixtures.tweets(spark, sf_dir)
+    broken = F.when(F.col("location") == "n/a", F.concat(F.lit("{broken "), F.col("tweet_id")))
+    whole = F.to_json(F.struct("user_id", "tweet_id", "tweet", "location"))
+    tweets.select(F.coalesce(broken, whole).alias("value")).write.text(topic)
+    unread = malformed(read_value_stream(spark, "text", topic))
+    write_stream(unread, "parquet", checkpoint, out, {"availableNow": True}).awaitTermination()
+    discard(spark, topic, checkpoint)
+    return spark.read.parquet(out)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the tweets comes first; the earlier half, which is late, after the stream has been stopped and resumed."""
+    topic, out, checkpoint = (scratch_path(pin_session(spark), name) for name in ("topic", "out", "stream"))
+    tweets, index = fixtures.tweets(spark, sf_dir), _index(spark, sf_dir)
+    millis = F.unix_millis("timestamp")
+    bounds = tweets.agg(F.min(millis).alias("a"), F.max(millis).alias("b")).first()
+    if bounds["a"] is not None:
+        middle = (bounds["a"] + bounds["b"]) // 2
+        for half in (millis >= middle, millis < middle):
+            publish_json(tweets.where(half), "text", F.col("timestamp"), topic)
+            messages = read_value_stream(spark, "text", topic)
+            live = run_live(messages, fixtures.lexicon(spark), index, "parquet", checkpoint, out, {"availableNow": True})
+            live.awaitTermination()
+    discard(spark, topic, checkpoint)
+    return _windows(spark.read.parquet(out))
+
+
 def stream_window_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(_streamed(spark, sf_dir, ("mean_sentiment", "max_sentiment", "min_sentiment")))
 
@@ -281,4 +396,15 @@ QUERIES: dict[str, Query] = {
     "stream_window_total": stream_window_total,
     "stream_raw": stream_raw,
     "term_counts": index_term_counts,
+    "tweet_sentiment_large_lexicon": large_lexicon,
+    "stored_tweets": stored_tweets,
+    "stored_tweets_of_user": stored_tweets_of_user,
+    "regions_loaded": regions_loaded,
+    "region_lookup_geojson": region_lookup_geojson,
+    "historical_stores": historical_stores,
+    "feed_export": feed_export,
+    "feed_rejects": feed_rejects,
+    "replay_topic": replay_topic,
+    "stream_malformed": stream_malformed,
+    "stream_late_rows": stream_late_rows,
 }

@@ -10,9 +10,14 @@ from moodlens.sinks.files import publish_json, write_tsv
 from moodlens.sources.tweets import RAW_FIELDS, REJECTED, read_raw_tweets, read_users, sample_for_replay
 
 
-def prepare_feed(spark: SparkSession, users_path: str, tweets_path: str, out_path: str) -> None:
-    """Join the users file with the tweets file and export the result as tab-separated rows."""
-    tweets = read_raw_tweets(spark, tweets_path).where(F.col(REJECTED).isNull()).select(*RAW_FIELDS)
+def prepare_feed(spark: SparkSession, users_path: str, tweets_path: str, out_path: str, rejects_path: str | None = None) -> None:
+    """Join the users file with the tweets file and export the result as tab-separated rows.
+
+    Tweets that do not fit are written to ``rejects_path``, by default beside the export.
+    """
+    raw = read_raw_tweets(spark, tweets_path)
+    raw.where(F.col(REJECTED).isNotNull()).write.parquet(rejects_path or f"{out_path.rstrip('/')}_rejects")
+    tweets = raw.where(F.col(REJECTED).isNull()).select(*RAW_FIELDS)
     write_tsv(join_users_tweets(read_users(spark, users_path), tweets), out_path)
 
 

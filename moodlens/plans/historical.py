@@ -34,11 +34,12 @@ def previews(results: FacetResults) -> dict[str, DataFrame]:
 
 
 def store_results(results: FacetResults, base_path: str) -> None:
-    """Upsert each result into its store. The group of a null key has no id and is not stored."""
+    """Upsert each result into its store. The group of a null key has no id; it replaces the table ``<target>_unkeyed`` beside it."""
     targets = ("state_reduced", "hour_reduced", "day_reduced", "length_reduced")
     for target, result in zip(targets, results):
         key = RESULT_KEYS[target]
         upsert_parquet(conform(result.where(F.col(key).isNotNull()), target), f"{base_path}/{target}", key)
+        conform(result.where(F.col(key).isNull()), target).write.mode("overwrite").parquet(f"{base_path}/{target}_unkeyed")
 
 
 def run_historical(
@@ -48,7 +49,7 @@ def run_historical(
     results = process_tweets(tweets, lexicon, index)
     if debug:
         for name, preview in previews(results).items():
-            print(f"reduced by {name}:")
+            print(f"first {PREVIEW_ROWS[name]} rows by {name}")
             preview.show(PREVIEW_ROWS[name], truncate=False)
     store_results(results, base_path)
     return results

@@ -11,12 +11,32 @@ OUTCOME = "outcome"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+# What stands for a sign that would break a line or a field.
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escaped(column: Column) -> Column:
+    """A text without tabs and line breaks, from which ``unescaped`` makes the text again."""
+    for sign, stands in ESCAPES:
+        column = F.replace(column, F.lit(sign), F.lit(stands))
+    return column
+
+
+def unescaped(column: Column) -> Column:
+    """The text that ``escaped`` was given."""
+
+    def part(piece: Column) -> Column:
+        for sign, stands in ESCAPES[1:]:
+            piece = F.replace(piece, F.lit(stands), F.lit(sign))
+        return piece
+
+    # between two backslashes that stand for one, the others belong to the sign after them
+    return F.array_join(F.transform(F.split(column, r"\\\\", -1), part), "\\")
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tab-separated with header. Line breaks and tabs inside a text become spaces, so a row stays one line."""
-    flat = [
-        F.regexp_replace(name, r"[\t\r\n]+", " ").alias(name) if kind == "string" else F.col(name)
-        for name, kind in df.dtypes
-    ]
+    """Tab-separated with header. Tabs, line breaks and backslashes in a text are escaped, so a row stays one line and nothing is lost."""
+    flat = [escaped(F.col(name)).alias(name) if kind == "string" else F.col(name) for name, kind in df.dtypes]
     writer = df.select(*flat).write.mode(mode).option("sep", "\t").option("header", True).option("escape", '"')
     # the writer trims texts unless told otherwise
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -39,12 +59,15 @@ def publish_json(
     to_json_values(df, ingest_time).write.format(fmt).mode("append").options(**options).save(path)
 
 
-def bulk_load(spark: SparkSession, tsv_path: str, table_path: str, mode: str = "append") -> None:
-    """Load a tab-separated file; rows that do not fit are kept beside the good ones.
+def bulk_load(spark: SparkSession, tsv_path: str, table_path: str, mode: str = "append", escapes: bool = False) -> None:
+    """Load a tab-separated file; rows that do not fit are kept beside the good ones. ``escapes`` undoes those of ``write_tsv``.
 
     The file is read once. ``read_loaded`` gives back either part, and reads only that part.
     """
     ingested = read_tweets_tsv(spark, tsv_path)
+    if escapes:
+        texts = ("user_id", "tweet_id", "tweet", "timestamp_text", "location")
+        ingested = ingested.withColumns({name: unescaped(F.col(name)) for name in texts})
     outcome = F.when(F.col(REJECTED).isNull(), "valid").otherwise("rejected")
     ingested.withColumn(OUTCOME, outcome).write.mode(mode).partitionBy(OUTCOME).parquet(table_path)
 

@@ -61,7 +61,7 @@ def create_targets(spark: SparkSession, base_path: str) -> None:
 def _checked(df: DataFrame, key: str) -> DataFrame:
     """``df`` with one row per key; a missing or a repeated key fails the job that reads it."""
     values = [name for name in df.columns if name != key]
-    grouped = df.groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct("*")).alias("_row"))
+    grouped = df.groupBy(key).agg(F.count("*").alias("_n"), F.max(F.struct("*")).alias("_row"))
 
     def sound(column: Column) -> Column:
         return (

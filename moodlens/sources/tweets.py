@@ -95,13 +95,14 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_users(lines: DataFrame) -> DataFrame:
     """``<user> UT: <lat>,<lon>`` lines in ``value`` as a user table; a line of another form gives nulls."""
-    def part(group: int):
-        return F.when(F.col("value").rlike(USER_LINE), F.regexp_extract("value", USER_LINE, group))
-
-    return lines.select(
-        part(1).alias("user_id"),
-        part(2).try_cast("double").alias("latitude"),
-        part(3).try_cast("double").alias("longitude"),
+    # one pass of the pattern; its groups come back joined by a sign that no part holds
+    parts = F.split(F.regexp_replace("value", USER_LINE, "$1\n$2\n$3"), "\n")
+    known = lines.select(F.when(F.size(parts) == 3, parts).alias("parts"))
+    part = lambda group: F.get("parts", F.lit(group))
+    return known.select(
+        part(0).alias("user_id"),
+        part(1).try_cast("double").alias("latitude"),
+        part(2).try_cast("double").alias("longitude"),
     )
 
 

@@ -1,6 +1,6 @@
 """The live side: message decoding, enrichment, windows and sinks."""
 
-from moodlens.streaming.payload import decode_payload, event_time, read_value_stream
+from moodlens.streaming.payload import decode_payload, event_time, malformed, read_value_stream
 from moodlens.streaming.sink import write_stream
 from moodlens.streaming.windows import MEASURES, enrich, window_sentiment
 
@@ -9,6 +9,7 @@ __all__ = [
     "decode_payload",
     "enrich",
     "event_time",
+    "malformed",
     "read_value_stream",
     "window_sentiment",
     "write_stream",

@@ -22,6 +22,13 @@ def decode_payload(messages: DataFrame) -> DataFrame:
     return messages.select(F.from_json("value", STREAM_PAYLOAD).alias("data")).select("data.*")
 
 
+def malformed(messages: DataFrame) -> DataFrame:
+    """The messages that ``decode_payload`` cannot read, as they came, to be kept in a quarantine."""
+    data = F.from_json("value", STREAM_PAYLOAD)
+    empty = F.forall(F.array(*[data[name] for name in STREAM_PAYLOAD.names]), lambda field: field.isNull())
+    return messages.where(F.col("value").isNull() | empty)
+
+
 def event_time(source: str = "timestamp_logger") -> Column:
     """Event time from the ingest stamp in epoch milliseconds, or from the tweet's own ``timestamp``."""
     if source == "timestamp_logger":

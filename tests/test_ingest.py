@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from moodlens.operators import join_users_tweets
 from moodlens.plans import prepare_feed, replay_once
 from moodlens.sinks import bulk_load, publish_json, read_loaded, write_tsv
+from moodlens.sinks.files import unescaped
 from moodlens.sources import (
     parse_users,
     read_raw_tweets,
@@ -112,6 +113,7 @@ def test_feed_job_feeds_the_bulk_load(spark, tmp_path):
         ("70", "  two  spaces ", "2010-03-03T04:15:26", "37.24,-115.8"),
         ("80", "x", "notTaTtime", "1.5,2.5"),
     ]
+    assert rows(spark.read.parquet(str(tmp_path / "feed_rejects")).select("tweet_id", "rejected_because")) == [("71", "field count")]
 
 
 def test_store_filter_reaches_the_scan(spark, tmp_path):
@@ -153,8 +155,10 @@ def test_publish_passes_the_format_on(spark):
 
 
 def test_tsv_round_trip(spark, tmp_path):
-    texts = [("a\tb\nc",), ('"q" x',), (" pad ",), ("",), (None,), ("back\\slash",)]
+    texts = [("a\tb\nc\r",), ("\\t \\\\n \\\t\\",), ('"q" x',), (" pad ",), ("",), (None,), ("back\\slash",)]
     write_tsv(spark.createDataFrame(texts, "tweet string").withColumn("k", F.lit("k")), str(tmp_path / "out"))
     back = spark.read.option("sep", "\t").option("header", True).option("escape", '"').csv(str(tmp_path / "out"))
     # an empty text and a missing one look the same in the file
-    assert {row["tweet"] for row in back.collect()} == {"a b c", '"q" x', " pad ", None, "back\\slash"}
+    want = {text or None for text, in texts}
+    assert {row["t"] for row in back.select(unescaped(F.col("tweet")).alias("t")).collect()} == want
+    assert all("\t" not in line["value"].removesuffix("\tk").removesuffix("\tk") for line in spark.read.text(str(tmp_path / "out")).collect() if line["value"] != "tweet\tk")
