@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from moodlens.catalog import fixtures
 from moodlens.operators import assign_region, join_users_tweets, region_index
 from moodlens.operators.sentiment import score_by_join
+from moodlens.session import salted_join
 
 ROWS = 40_000
 
@@ -80,3 +81,40 @@ def test_hot_location_is_spread(spark, small_partitions, tweets, sf_dir):
     assert sorted(row[:3] for row in rows) == sorted(map(tuple, broadcast.collect()))
     hot = [row for row in rows if row["user_id"] == "hot"]
     assert len({row["region_name"] for row in rows}) > 2 and largest_task(hot) < 0.6 * len(hot)
+
+
+@pytest.fixture
+def no_adaptive(spark):
+    """No run-time split: only the salts spread the rows."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def per_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+@pytest.mark.parametrize("key", ["hot", None])
+def test_copies_without_an_id_are_spread_evenly(spark, no_adaptive, key):
+    """All rows are equal, and all have one key or none."""
+    left = spark.range(ROWS).select(F.lit(key).cast("string").alias("key"))
+    right = spark.createDataFrame([("hot", 1), ("cold", 2)], "key string, value int")
+    joined = salted_join(left, right, ["key"], salts=16, how="left")
+    tasks = per_task(joined)
+    assert sum(tasks) == ROWS and max(tasks) < 4 * ROWS / 16
+    assert joined.where("value = 1").count() == (ROWS if key else 0)
+
+
+def test_text_alone_and_location_alone_are_spread(spark, no_adaptive, tweets, sf_dir):
+    texts = score_by_join(tweets.select("tweet"), fixtures.lexicon(spark))
+    assert max(per_task(texts.where("tweet = 'the best tweet'"))) < 0.6 * ROWS / 2
+    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_entries=0)
+    places = assign_region(tweets.select("location"), index)
+    assert max(per_task(places.where("location = '27.5,-119.0'"))) < 4 * ROWS / 2 / 16
+    unread = assign_region(spark.range(ROWS).select(F.concat(F.lit("n/a"), F.col("id") % 2).alias("location")), index)
+    assert max(per_task(unread)) < 4 * ROWS / 64

@@ -146,3 +146,12 @@ def test_lexicon_beyond_the_inline_bound_is_refused_on_a_stream(spark, tmp_path,
     stream = decode_payload(read_value_stream(spark, "text", str(tmp_path / "topic")))
     with pytest.raises(ValueError):
         add_sentiment(stream, dimensions[0], max_inline_bytes=3)
+
+
+def test_large_lexicon_on_a_stream(spark, tmp_path, dimensions):
+    """Far more terms than a plan usually holds stay one expression on a stream too."""
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    lexicon = spark.range(60_000).select(F.concat(F.lit("w"), letters).alias("term"), ((F.col("id") % 9 - 4) / 4).alias("polarity"))
+    batch = [json.dumps({"tweet": "wf wbccdd none", "location": "1,2", "timestamp_logger": 1})]
+    out = run_batches(spark, tmp_path, (lexicon, dimensions[1]), [batch], measures=None).collect()
+    assert [row["sentiment"] for row in out] == [((5 % 9 - 4) / 4 + (12233 % 9 - 4) / 4) / 2]
