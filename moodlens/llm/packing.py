@@ -87,53 +87,68 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_i
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths and how many sequences follow each, from the number of pieces of every length.
 
-    Lengths are taken from the longest down. The gap a piece leaves is filled exactly by one available piece, a pair or a triple whose
-    lengths add up to it, as often as the counts allow. Pieces without such a complement are packed by best fit at the end. The work
-    depends on the capacity alone, as pieces of one length are planned together.
+    Pieces are first combined with exact complements, then the rest is packed by best fit. Combinations use up short pieces that best
+    fit could have used, which tells when pieces are few; so triples, or pairs and triples, are left out where that takes fewer
+    sequences. The work depends on the capacity alone, as pieces of one length are planned together.
+    """
+    plans = (_complement_plan(counts, capacity, depth) for depth in (3, 2, 1))
+    return sorted(min(plans, key=lambda plan: sum(plan.values())).items())
+
+
+def _complement_plan(counts: dict[int, int], capacity: int, depth: int) -> dict[tuple[int, ...], int]:
+    """A plan with complements of up to ``depth`` pieces.
+
+    For single lengths, then pairs, then triples, lengths are taken from the longest down: the gap that a piece leaves is looked up
+    among the sums, and what fills it exactly is used as often as the counts allow.
     """
     left = {k: n for k, n in counts.items() if n > 0}
     plan: dict[tuple[int, ...], int] = defaultdict(int)
+    if left.get(capacity):
+        plan[(capacity,)] = left.pop(capacity)
+    sums: dict[int, list[tuple[int, int]]] = {}
 
-    def use(pattern: tuple[int, ...]) -> bool:
+    def use(*pattern: int) -> None:
         need = {k: pattern.count(k) for k in set(pattern)}
         times = min(left.get(k, 0) // n for k, n in need.items())
         if times:
             plan[pattern] += times
             for k, n in need.items():
                 left[k] -= times * n
-        return times > 0
 
-    if left.get(capacity):
-        plan[(capacity,)] = left.pop(capacity)
-    pairs = _sums_of_two(left, capacity)
-    for size in sorted(left, reverse=True):
-        gap = capacity - size
-        if left[size]:
-            use((size, gap) if gap != size else (size, size))
-        for a, b in pairs.get(gap, ()) if left[size] else ():
-            use((size, a, b))
+    def with_single(size: int) -> None:
+        use(size, capacity - size)
+
+    def with_pair(size: int) -> None:
+        for a, b in sums.get(capacity - size, ()):
             if not left[size]:
                 break
-        if left[size]:
-            for a in sorted((k for k in left if left[k] and k < gap), reverse=True):
-                for b, c in pairs.get(gap - a, ()):
-                    if b <= a:
-                        use((size, a, b, c))
-                    if not left[size] or not left[a]:
-                        break
+            use(size, a, b)
+
+    def with_triple(size: int) -> None:
+        for a in sorted(k for k, n in left.items() if n and k < capacity - size):
+            for b, c in sums.get(capacity - size - a, ()):
                 if not left[size]:
+                    return
+                if not left[a]:
                     break
+                use(size, a, b, c)
+
+    for fill in (with_single, with_pair, with_triple)[:depth]:
+        sums = {} if fill is with_single else _sums_of_two({k: n for k, n in left.items() if n}, capacity)
+        for size in sorted(left, reverse=True):
+            if left[size]:
+                fill(size)
     for pattern, times in _best_fit({k: n for k, n in left.items() if n}, capacity):
         plan[pattern] += times
-    return sorted(plan.items())
+    return plan
 
 
 def _sums_of_two(left: dict[int, int], capacity: int) -> dict[int, list[tuple[int, int]]]:
-    """For every sum, the pairs of lengths that make it, the most uneven first."""
+    """For every sum, the pairs of lengths that make it, the most even first."""
     sums: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    sizes = sorted(left, reverse=True)
+    sizes = sorted(left)
     for i, a in enumerate(sizes):
-        for b in sizes[i:]:
+        for b in reversed(sizes[: i + 1]):
             if a + b < capacity:
                 sums[a + b].append((a, b))
     return sums
