@@ -26,6 +26,8 @@ MARKS = frozenset(
 )
 # fixed values: an opening tag of the key ends an open element of the values, up to a stopping one
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+# fixed values: first parts of class names that say what an element has rather than is, and those of an article's own parts
+STATES, OWN = frozenset("has no with without is not".split()), frozenset("article entry post story content".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 TAG = re.compile(
@@ -37,6 +39,19 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?=[\
 KERNEL, LEAST_SHARE, MOST_LINKED = np.array([0.25, 0.5, 0.25]), 0.25, 0.5
 
 
+def _is_marked(names: str, tag: str) -> bool:
+    """Whether a class, id or role says that an element is no content: by the whole name, or by its first or last part."""
+    for name in names.split():
+        first, *_, last = re.split("[-_]+", name) * 2
+        if name in MARKS:
+            return True
+        if tag in HOMES or first in STATES:
+            continue
+        if first in MARKS or (last in MARKS and not (first in OWN and last == "header")):
+            return True
+    return False
+
+
 @dataclass
 class Block:
     """A run of text between block-level tags."""
@@ -85,7 +100,7 @@ class _Page:
         names = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()
         above = self.stack[-1] if self.stack else _Element("", "", True, 0)
         unseen = bool(found) and ("hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
-        marked = names != "  " and tag not in ("html", "body", "main") and not MARKS.isdisjoint(re.split(r"[^a-z]+", names))
+        marked = names != "  " and tag not in ("html", "body", "main") and _is_marked(names, tag)
         page_header = tag == "header" and not above.home
         content = above.content and not (tag in NEVER or page_header or unseen or marked)
         home = above.home
