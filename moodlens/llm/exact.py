@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodlens.llm.shared import fresh, join_hot, lowered
+from moodlens.llm.shared import fresh, join_hot, lowered, sliced
 from moodlens.session import checkpointed
 
 #: Bytes of text a task holds in its trie before it hands on the largest subtree.
-TRIE_BYTES = 48 << 20
+TRIE_BYTES = 24 << 20
 #: Bytes of text in an Arrow batch that a task hands on.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 class RadixTrie:
@@ -100,7 +100,7 @@ def _local_terminals(smallest: bool, trie_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             trie = RadixTrie(smallest)
-            for batch in batches:
+            for batch in sliced(batches):
                 for owner, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     trie.insert(body, owner, 1)
                     while trie.bytes_held() > trie_bytes:
@@ -118,7 +118,7 @@ def _merged_terminals(smallest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             trie, last = RadixTrie(smallest), None
-            for batch in batches:
+            for batch in sliced(batches):
                 for length, digest, body, owner, n in zip(*(c.to_pylist() for c in batch.columns)):
                     if (length, digest) != last:
                         yield from trie.take_all()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from moodlens.llm.shared import ranked
+from moodlens.llm.shared import ranked, sliced
 from moodlens.session import checkpointed
 
 #: Tokens a sequence holds, and the id that ends a document.
@@ -74,7 +74,7 @@ def _cut(tokenizer: str, capacity: int, with_ids: bool):
         encoder = TextEncoder(tokenizer)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.ids(text or "") + END_ID.to_bytes(4, "little")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,13 @@ def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def sliced(batches: Iterator, rows: int = 256) -> Iterator:
+    """The same Arrow rows in short batches, so that a task turns few texts at a time into Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like ``names`` that no column of ``df`` has, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

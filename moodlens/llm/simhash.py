@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.llm.components import connected
-from moodlens.llm.shared import fresh, join_hot, lowered
+from moodlens.llm.shared import fresh, join_hot, lowered, sliced
 from moodlens.session import checkpointed
 
 #: Words of a shingle, seed of its hash, differing bits of linked fingerprints.
@@ -43,7 +43,7 @@ def fingerprint(body: bytes, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints = np.array([fingerprint(x, shingle) for x in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
 
