@@ -155,6 +155,29 @@ def test_nearest_folder_counts(spark):
     }
 
 
+def test_real_licence_files(spark, documents):
+    folder, names = "/usr/share/common-licenses", {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    texts = {name: open(f"{folder}/{name}").read() for name in names}
+    rows = [(k, "Copyright (c) 2019 Someone Else\n\n" + " ".join(t.split()), f"{name}/LICENSE") for k, (name, t) in enumerate(texts.items())]
+    rows += [(100 + k, "some code of no matter.", f"{name}/src/a.py") for k, name in enumerate(names)]
+    docs = make_docs(spark, rows).unionByName(documents.limit(50), allowMissingColumns=True)
+    got = {r["path"]: (r["licence"], r["basis"]) for r in scan_licences(docs, F.col("source")).collect()}
+    for name, licence in names.items():
+        assert got[f"{name}/LICENSE"] == (licence, "file") and got[f"{name}/src/a.py"] == (licence, "inherited")
+
+
+def test_wrapped_and_embedded_headers(spark):
+    words = {
+        "GPL-3.0": "/*\n * This file is part of Foo.\n *\n * Foo is free software: you can redistribute it and/or\n * modify it under the terms of the GNU General Public\n * License as published by the Free Software Foundation,\n * either version 3 of the License, or (at your option)\n * any later version.\n */\nint x;\n",
+        "LGPL-2.1": "# Foo is free software; you can redistribute it and/or modify it\n# under the terms of the GNU Lesser General Public License as\n# published by the Free Software Foundation; either version 2.1\n# of the License.\nx = 1\n",
+        "MIT": "Foo draws maps of all kinds of lands and seas for you. Released under the MIT License. It was written in a long winter by people who like maps, and lands, and seas.",
+        "Apache-2.0": "licensed under the apache license version 2.0 " + "var a b c d e f g " * 100,
+    }
+    docs = make_docs(spark, [(k, "y = 2\n" * 30 + t + "y = 2\n" * 30, f"{k}/{name}") for k, (name, t) in enumerate(words.items())])
+    got = {r["path"].split("/")[1]: (r["licence"], r["basis"]) for r in scan_licences(docs, F.col("source")).collect()}
+    assert got == {name: (name, "header") for name in words}
+
+
 def test_licences_of_odd_rows(odd, empty):
     assert scan_licences(odd, F.col("source")).count() == odd.count()
     assert scan_licences(empty, F.col("source")).count() == 0
