@@ -13,17 +13,28 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 MIN_ASSIGNED = 12
 
-#: Tokens that are tested for randomness: long runs of the letters of usual encodings with a digit among them.
+#: Tokens that are tested for randomness: long runs of the letters of usual encodings.
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
 
 # fixed values: the alphabets of the encodings, from narrow to wide
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {
-    "hex": "0123456789abcdef",
-    "lower36": "0123456789abcdefghijklmnopqrstuvwxyz",
-    "upper36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "alnum62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
-    "base64": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-",
+    "hex": DIGITS + "abcdef",
+    "upper_hex": DIGITS + "ABCDEF",
+    "lower26": LOWER,
+    "upper26": UPPER,
+    "lower32": LOWER + "234567",
+    "base32": UPPER + "234567",
+    "lower36": DIGITS + LOWER,
+    "upper36": DIGITS + UPPER,
+    "letters52": UPPER + LOWER,
+    "alnum62": DIGITS + UPPER + LOWER,
+    "base64": DIGITS + UPPER + LOWER + "+/",
+    "base64url": DIGITS + UPPER + LOWER + "_-",
+    "every66": DIGITS + UPPER + LOWER + "+/_-",
 }
+#: Letters from which what is left of a token without padding and separators is tested.
+MIN_BODY = 16
 # fixed values: usual shares of the letters a to z in written text, in percent
 LETTER_PERCENT = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
 
@@ -79,11 +90,19 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _body(token: Column) -> Column:
+    """The longest part of a token between signs of assignment or padding; hex digits in groups, as in a UUID, without what parts them."""
+    parts = F.transform(F.split(token, "="), lambda p: F.struct(F.char_length(p).alias("n"), p.alias("part")))
+    grouped = "^(?:[0-9a-f]+[-_])+[0-9a-f]+$|^(?:[0-9A-F]+[-_])+[0-9A-F]+$"
+    return _let(F.array_max(parts)["part"], lambda p: F.when(p.rlike(grouped), F.regexp_replace(p, "[-_]", "")).otherwise(p))
+
+
 def _encoding(token: Column) -> Column:
     """The narrowest alphabet that holds every letter of a token."""
-    found = F.lit(ALPHABETS["base64"])
-    for name in ("alnum62", "upper36", "lower36", "hex"):
-        found = F.when(token.rlike(f"^[{ALPHABETS[name]}]+$"), F.lit(ALPHABETS[name])).otherwise(found)
+    *narrow, widest = ALPHABETS.values()
+    found = F.lit(widest)
+    for letters in reversed(narrow):
+        found = F.when(token.rlike(f"^[{letters}]+$"), F.lit(letters)).otherwise(found)
     return found
 
 
@@ -97,7 +116,7 @@ def _text_cost() -> Column:
     """log10 of the share of each base64 letter in ordinary text, as an array by code point (only letters of the alphabets count)."""
     shares = {c: 0.9 * LETTER_PERCENT[ord(c) - ord("a")] / 100 for c in "abcdefghijklmnopqrstuvwxyz"}
     shares |= {c.upper(): 0.05 * LETTER_PERCENT[ord(c) - ord("a")] / 100 for c in "abcdefghijklmnopqrstuvwxyz"}
-    shares |= {c: 0.004 for c in "0123456789"} | {c: 0.002 for c in "+/_=-"}
+    shares |= {c: 0.004 for c in "0123456789"} | {c: 0.002 for c in "+="} | {c: 0.02 for c in "/_-"}
     return F.array(*[F.lit(math.log10(shares.get(chr(k), 1e-4))) for k in range(128)])
 
 
@@ -107,9 +126,13 @@ def evidence(token: Column) -> Column:
     Against randomness: chi-squared of the letter counts over the inferred alphabet (by the cube-root normal approximation), runs above
     and below the middle of the alphabet, and the serial correlation of neighbours; the smallest of the three tails, times three, is
     compared with the level. For it: the likelihood ratio of a uniform draw against letters of text, which grows with the length. By
-    Markov's inequality its inverse bounds the chance that a token of text scores so high.
+    Markov's inequality its inverse bounds the chance that a token of text scores so high. All is counted over the body of the token,
+    without padding and the separators of grouped hex digits.
     """
+    return _let(_body(token), lambda body: F.when(F.char_length(body) >= MIN_BODY, _body_evidence(body)).otherwise(F.lit(-1.0)))
+
 
+def _body_evidence(token: Column) -> Column:
     def by_alphabet(alphabet: Column) -> Column:
         k = F.char_length(alphabet).cast("double")
         n = F.char_length(token).cast("double")
@@ -148,7 +171,7 @@ def evidence(token: Column) -> Column:
         battery = 3 * F.least(chi_p, _let(places, of_places))
         return F.when(battery >= BATTERY_LEVEL, F.least(F.lit(EVIDENCE_LIMIT), F.greatest(F.lit(0.0), _let(_text_cost(), weight)))).otherwise(F.lit(-1.0))
 
-    return F.when(token.rlike("[0-9]"), _let(_encoding(token), by_alphabet)).otherwise(F.lit(-1.0))
+    return _let(_encoding(token), by_alphabet)
 
 
 def discovery_threshold(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> float | None:

@@ -119,6 +119,20 @@ def test_random_keys_are_found_and_text_is_not(spark, documents):
     assert plain.count() <= 0.01 * documents.count()
 
 
+def test_every_encoding_at_every_length(spark):
+    rng = random.Random(8)
+    url, upper = string.ascii_letters + string.digits, string.ascii_uppercase
+    letters = {"upper_hex": "0123456789ABCDEF", "base32": upper + "234567", "letters": string.ascii_letters, "lower": string.ascii_lowercase, "base64": url + "+/", "base64url": url + "-_"}
+    rows = [(f"{name} {n}", "".join(rng.choices(a, k=n)) + "=" * (name == "base64")) for name, a in letters.items() for n in (20, 64, 400, 3000) for _ in range(20)]
+    for form in (str.lower, str.upper):
+        rows += [("uuid", form("-".join("".join(rng.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12)))) for _ in range(20)]
+    plain = ["internationalization", "usr/share/doc/python/examples/readme", "getElementsByTagNameAndClass", "=" * 30, "-" * 30, "-----BEGIN-----------"]
+    frame = spark.createDataFrame(rows + [("plain", p) for p in plain], "kind string, token string").select("kind", secret_scan.evidence(F.col("token")).alias("e"))
+    found = {r["kind"]: (r["share"], r["most"]) for r in frame.groupBy("kind").agg(F.avg((F.col("e") > 2).cast("int")).alias("share"), F.max("e").alias("most")).collect()}
+    assert found.pop("plain")[1] <= 1
+    assert {k: share for k, (share, _) in found.items() if share < 0.9} == {}
+
+
 def test_secrets_of_an_empty_table(empty):
     assert secret_scan.find_secrets(empty).count() == 0
 
