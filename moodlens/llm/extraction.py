@@ -28,6 +28,12 @@ MARKS = frozenset(
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 # fixed values: first parts of class names that say what an element has rather than is, and those of an article's own parts
 STATES, OWN = frozenset("has no with without is not".split()), frozenset("article entry post story content".split())
+# fixed values: parts that names of MARKS are combined with; headings, whose ids are made of their words; ids of sections that are none
+PARTNERS = frozenset(
+    "area articles bar block blocks bottom box button buttons container count fixed form global icon icons inner item items left link links list main message mobile outer"
+    " page panel post posts primary right row secondary section site slot sticky stories template text title top unit wrap wrapper".split()
+)
+HEADINGS, ASIDES = frozenset("h1 h2 h3 h4 h5 h6".split()), frozenset("ad ads advertisement breadcrumb breadcrumbs comments disqus pager pagination respond sidebar toolbar".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 TAG = re.compile(
@@ -39,19 +45,31 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?=[\
 KERNEL, LEAST_SHARE, MOST_LINKED = np.array([0.25, 0.5, 0.25]), 0.25, 0.5
 
 
-def _is_marked(names: str, tag: str) -> bool:
-    """Whether a class, id or role says that an element is no content: by the whole name, or by its first or last part."""
+def _is_marked(names: str, tag: str, known: bool = False) -> bool:
+    """Whether a class, id or role says that an element is no content: by the whole name, or by its first or last part.
+
+    With ``known`` all other parts of the name have to be usual beside those words, as in related-posts, but not in related-work.
+    """
     for name in names.split():
-        first, *_, last = re.split("[-_]+", name) * 2
+        first, *_, last = (parts := re.split("[-_]+", name)) * 2
         if name in MARKS:
             return True
-        if tag in HOMES or first in STATES:
+        if tag in HOMES or first in STATES or (known and not all(p in MARKS or p in PARTNERS or p.isdigit() for p in parts)):
             continue
         if first in MARKS or (last in MARKS and not (first in OWN and last == "header")):
             return True
     return False
 
 
+def _is_aside(tag: str, classes: str, ident: str, inside: bool) -> bool:
+    """Whether class, role or id mark an element as no content. Ids, often slugs of the heading, count by known names only."""
+    if tag in HEADINGS:
+        ident = ""
+    elif tag == "section" and inside:
+        ident = ident if ident in ASIDES else ""
+    return _is_marked(classes, tag, tag == "p" or tag in HEADINGS) or _is_marked(ident, tag, True)
+
+
 @dataclass
 class Block:
     """A run of text between block-level tags."""
@@ -60,6 +78,8 @@ class Block:
     home: int
     text: str
     linked: int
+    #: Numbers of the element of the block and of the one around it.
+    within: tuple[int, ...] = ()
 
 
 @dataclass
@@ -68,6 +88,7 @@ class _Element:
     label: str
     content: bool
     home: int
+    number: int = 0
 
 
 @dataclass
@@ -80,12 +101,13 @@ class _Page:
     linked: int = 0
     links: int = 0
     homes: int = 0
+    elements: int = 0
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             place = [e for e in self.stack if e.tag not in INLINE]
-            self.blocks.append(Block("/".join(e.label for e in place), place[-1].home if place else 0, text, self.linked))
+            self.blocks.append(Block("/".join(e.label for e in place), place[-1].home if place else 0, text, self.linked, tuple(e.number for e in place[-2:])))
         self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
@@ -97,10 +119,11 @@ class _Page:
 
     def open(self, tag: str, attributes: str) -> None:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
-        names = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()
+        classes, ident = f"{found.get('class', '')} {found.get('role', '')}".lower(), found.get("id", "").lower()
+        names = f"{found.get('class', '')} {ident} {found.get('role', '')}".lower()
         above = self.stack[-1] if self.stack else _Element("", "", True, 0)
         unseen = bool(found) and ("hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
-        marked = names != "  " and tag not in ("html", "body", "main") and _is_marked(names, tag)
+        marked = names != "  " and tag not in ("html", "body", "main") and _is_aside(tag, classes, ident, above.home > 0)
         page_header = tag == "header" and not above.home
         content = above.content and not (tag in NEVER or page_header or unseen or marked)
         home = above.home
@@ -109,7 +132,8 @@ class _Page:
             home = self.homes
         first_name = names.split()[0] if names.strip() else ""
         self.links += tag == "a"
-        self.stack.append(_Element(tag, f"{tag}.{first_name}" if first_name else tag, content, home))
+        self.elements += 1
+        self.stack.append(_Element(tag, f"{tag}.{first_name}" if first_name else tag, content, home, self.elements))
 
     def close_above(self, at: int) -> None:
         self.links -= sum(e.tag == "a" for e in self.stack[at:])
@@ -178,7 +202,8 @@ def select_blocks(blocks: list[Block]) -> list[Block]:
 
     Each path sums length, punctuation and number of its blocks. Its text ratio (length per block) and punctuation ratio are fused as a
     product, smoothed along the page, and compared with a share of the mean over all text. Paths whose text is mostly links score
-    nothing. If blocks that pass lie in an article or main element, all its blocks belong to the main text, short ones too.
+    nothing. If blocks that pass lie in an article or main element, all its blocks belong to the main text, short ones too. Elsewhere
+    those between two passing blocks of the same element do, such as lists and tables in a story, if they are not mostly links.
     """
     if not blocks:
         return []
@@ -192,7 +217,15 @@ def select_blocks(blocks: list[Block]) -> list[Block]:
     least = LEAST_SHARE * (scores * sizes).sum() / sizes.sum()
     passed = (smooth >= least) & (scores > 0)
     homes = {b.home for b, ok in zip(blocks, passed) if ok and b.home}
-    return [b for b, ok in zip(blocks, passed) if (b.home in homes if homes else ok)]
+    if homes:
+        return [b for b in blocks if b.home in homes]
+    between, before = passed.copy(), {}
+    for k in np.flatnonzero(passed).tolist():
+        for number in blocks[k].within:
+            if number in before:
+                between[before[number] + 1 : k] = True
+            before[number] = k
+    return [b for b, ok, inner in zip(blocks, passed, between) if ok or (inner and b.linked <= MOST_LINKED * len(b.text))]
 
 
 def main_text(source: str | None) -> str:

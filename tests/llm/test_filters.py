@@ -259,6 +259,24 @@ def test_what_is_around_the_article_goes(around):
     assert main_text(f"<!doctype html><html><head><title>T</title></head><body>{around.format(BODY)}</body></html>") == KEPT
 
 
+@pytest.mark.parametrize("name", ["search-results", "social-history", "related-work", "header-files", "notice"])
+def test_slugs_of_an_article_stay(name):
+    page = f"<body><article><h2 id={name}>Found things</h2>{BODY}<section id={name}><h3>More</h3>{BODY}</section></article></body>"
+    assert main_text(page) == f"Found things\n\n{KEPT}\n\nMore\n\n{KEPT}"
+    assert main_text(f"<body><article>{BODY}<section id=comments><p>Great, thanks.</p></section><div id=related-posts><p>Read this, too.</p></div></article></body>") == KEPT
+
+
+def test_lists_and_tables_of_a_story_without_article():
+    story = "A long story, told by someone; it goes on and on. " * 8
+    items = "".join(f"<li>Item {k}</li>" for k in range(8))
+    cells = "".join(f"<tr><td>Cell {k}</td><td>{k}</td></tr>" for k in range(6))
+    page = f"<body><div class=top><ul><li><a href=/>Home</a><li><a href=/x>News</a></ul></div><div class=story><p>{story}</p><ul>{items}</ul><p>{story}</p><table>{cells}</table><p>{story}</p></div><div class=end><p>Made here</p></div></body>"
+    got = main_text(page).split("\n\n")
+    assert got[0] == story.strip() and got[-1] != "Home"
+    assert [x for x in got if x.startswith("Item")] == [f"Item {k}" for k in range(8)]
+    assert [x for x in got if x.startswith("Cell")] == [f"Cell {k}" for k in range(6)] and "Home" not in got and "News" not in got
+
+
 @pytest.mark.parametrize("source", [None, "", "   ", "<", "<html", "<p", "<!-- open", "<script>x", "<nav>only menu</nav>"])
 def test_pages_without_text(source):
     assert main_text(source) == ""
