@@ -1,4 +1,4 @@
-"""Substring deduplication by factoring documents against an index of reference blocks."""
+"""Substring deduplication: a join of 50-word blocks by hash with their smallest owners, and the union of the hits; no Lempel-Ziv parse."""
 
 from __future__ import annotations
 
