@@ -17,7 +17,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE_SQL])
 def test_query_gives_a_row_for_every_row(spark, sf_dir, name):
-    source = "pages" if name.startswith("op1_") else "documents"
+    source = "pages" if name.startswith("op1_") else "embeddings" if name.startswith("op12_") else "documents"
     rows = spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
     found = QUERIES[name](spark, sf_dir).count()
     assert found >= rows if name.startswith("op6_") else found == rows
