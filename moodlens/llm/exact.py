@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodlens.llm.shared import fresh, join_hot, lowered, sliced
+from moodlens.llm.shared import join_hot, lowered, one_of_each, row_key, sliced
 from moodlens.session import checkpointed
 
 #: Bytes of text a task holds in its trie before it hands on the largest subtree.
@@ -136,8 +136,8 @@ def trie_owners(docs: DataFrame, smallest: bool = True, trie_bytes: int = TRIE_B
     """The texts that two rows or more have, as ``text_sha256``, ``keep_id`` and ``group_size``.
 
     Each split inserts its lower-cased texts into a trie, which leaves one row per distinct text and so takes a hot group apart before
-    the shuffle. Length and content hash deal those rows out; every partition merges them in tries again. Texts are told apart by all
-    their bytes, never by the hash. A trie that outgrows ``trie_bytes`` hands its largest subtree to the shuffle.
+    the shuffle. Length and content hash deal those rows out; every partition merges them in tries again, which tell texts apart by all
+    their bytes. Rows find their group by the SHA-256 of their text. A trie that outgrows ``trie_bytes`` hands its largest subtree to the shuffle.
     """
     bodies = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered(F.col("text")).cast("binary").alias("body"))
     local = bodies.mapInArrow(_local_terminals(smallest, trie_bytes), "body binary, owner long, n long")
@@ -169,11 +169,12 @@ def exact_groups(docs: DataFrame, smallest: bool = True, trie_bytes: int = TRIE_
 
 
 def drop_copies(docs: DataFrame, smallest: bool = True) -> DataFrame:
-    """``docs`` with one row of every group of equal texts, all columns unchanged."""
-    kept = exact_groups(docs, smallest).filter("kept")
-    key, sha = fresh(docs, "_key", "_sha")
-    kept = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("text_sha256").alias(sha))
-    keyed = docs.withColumns(
-        {key: F.coalesce(docs["doc_id"].cast("long").cast("string"), F.lit("")), sha: F.sha2(lowered(docs["text"]), 256)}
-    )
-    return keyed.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
+    """``docs`` with one row of every group of equal texts, all columns unchanged.
+
+    Rows that share both the id that stays and the text are copies of each other; any one of them stays.
+    """
+    owners = checkpointed(trie_owners(docs, smallest))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(lowered(docs["text"]), 256).alias("text_sha256"), row_key(docs).alias("_key"))
+    found = join_hot(keyed, owners, ["text_sha256"], "group_size", "_key")
+    kept = found.filter(F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return one_of_each(docs, checkpointed(kept.groupBy("_key").agg(F.count("*").alias("_n"))))

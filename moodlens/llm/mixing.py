@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodlens.llm.shared import fresh, join_hot, ranked, word_count
+from moodlens.llm.shared import join_hot, ranked, row_key, rows_with, word_count
 from moodlens.session import checkpointed
 
 #: No document is taken more often than this.
@@ -93,10 +93,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
 
     Size is the number of words. Sources, by code point and null last, weigh ``weights`` in turn. Documents of one source and size have
     the same tilted rate, so rates are solved and rounded on counts by source and size; within such a group the extra copies go by
-    lots drawn from the ids. A null or empty text has size 0 and is never taken. Repeated rows count as rows of their own. Other columns
-    are ignored; an empty table gives no rows.
+    lots drawn from the ids, and from the place in the table for null ids. A null or empty text has size 0 and is never taken. Repeated
+    rows count as rows of their own. Other columns are ignored; an empty table gives no rows.
     """
-    sized = checkpointed(docs.select(F.col("doc_id"), "source", word_count(docs["text"]).alias("size")))
+    return _mixed(docs, weights, keyed=False).drop("_key")
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], keyed: bool) -> DataFrame:
+    """``mix`` with the ``row_key`` of id, source and text as ``_key``, if asked for."""
+    key = row_key(docs, "source") if keyed else F.lit(None).cast("string")
+    sized = checkpointed(docs.select(F.col("doc_id"), "source", word_count(docs["text"]).alias("size"), key.alias("_key")))
     sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     turn = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
     places = sources.withColumn("place", F.row_number().over(turn) - 1)
@@ -123,19 +129,29 @@ def _deal(sized: DataFrame, plan: DataFrame) -> DataFrame:
     def named(source: Column, size: Column) -> Column:
         return F.concat(F.when(source.isNull(), F.lit("0")).otherwise(F.lit("1")), size.cast("string"), F.lit(" "), F.coalesce(source, F.lit("")))
 
-    rows = sized.withColumn("_group", named(F.col("source"), F.col("size")))
-    placed = ranked(rows, ["_group"], ["doc_id"], "_rank", rows.count())
+    # the sizes are written, so the number of a row in them is the same for every task that asks
+    rows = sized.withColumn("_group", named(F.col("source"), F.col("size"))).withColumn("_at", F.monotonically_increasing_id())
+    lot = F.when(F.col("doc_id").isNull(), F.xxhash64("_at")).otherwise(F.xxhash64("doc_id"))
+    placed = ranked(rows, ["_group"], ["doc_id", "_at"], "_rank", rows.count(), lot=lot)
     plan = plan.select(named(F.col("_source"), F.col("_size")).alias("_group"), "source_size", "target", "all_copies", "n")
-    dealt = join_hot(placed, plan, ["_group"], "n", "doc_id")
+    dealt = join_hot(placed, plan, ["_group"], "n", "_at")
     base = F.floor(F.col("all_copies") / F.col("n"))
     copies = (base + (F.col("_rank") < F.col("all_copies") - base * F.col("n")).cast("long")).cast("long")
-    return dealt.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return dealt.select("doc_id", "_key", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it, columns unchanged."""
-    key, copies, turn = fresh(docs, "_key", "_copies", "_turn")
-    taken = mix(docs, weights).filter("copies > 0").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("copies").alias(copies))
-    taken = taken.groupBy(key).agg(F.max(copies).alias(copies))
-    keyed = docs.withColumn(key, F.coalesce(docs["doc_id"].cast("string"), F.lit("")))
-    return keyed.join(taken, key).withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
+    """``docs`` with every row as often as the mix takes it, columns unchanged.
+
+    Rows that share id, source and text are copies, so what the mix takes of them is dealt evenly among them, null ids included.
+    """
+    taken = _mixed(docs, weights, keyed=True).groupBy("_key").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_n"))
+    found = rows_with(docs, checkpointed(taken.filter("_copies > 0")), "source")
+    single = found.filter("_n = 1").select("_row", "_copies")
+    # copies are numbered only once they are written, so that a task that runs again numbers them alike
+    twins = checkpointed(found.filter("_n > 1").withColumn("_at", F.monotonically_increasing_id()))
+    numbered = ranked(twins, ["_key"], ["_at"], "_rank", twins.count())
+    base = F.floor(F.col("_copies") / F.col("_n"))
+    shared = numbered.select("_row", (base + (F.col("_rank") < F.col("_copies") - base * F.col("_n")).cast("long")).alias("_copies"))
+    all_rows = single.union(shared.filter("_copies > 0"))
+    return all_rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")

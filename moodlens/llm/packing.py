@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -19,6 +20,9 @@ from moodlens.session import checkpointed
 
 #: Tokens a sequence holds, and the id that ends a document.
 CAPACITY, END_ID = 1024, 2
+#: Texts with a run of so many blanks go to ``tokenizers``, as the matcher of ``tiktoken`` takes stack for every blank.
+BLANK_RUN = 10_000
+_BLANK_RUN = re.compile(r"\s{%d}" % BLANK_RUN)
 # fixed value: how byte-level vocabularies split a text before merging
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -34,15 +38,25 @@ class TextEncoder:
     """Ids of texts as the library ``tokenizers`` gives them for the file at ``path``.
 
     A byte-level vocabulary whose ids rise in the order of its merges is run by ``tiktoken``, which gives the same ids several times
-    faster; any other one by ``tokenizers`` itself.
+    faster; any other one, and every text that ``tiktoken`` cannot split, by ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             self.known = json.load(file)
-        self.encode = self._fast() or self._plain(path)
+        self.path, self.tokenizer, self.fast = path, None, self._fast()
         del self.known
 
+    def encode(self, text: str) -> list[int]:
+        if self.fast and not (len(text) >= BLANK_RUN and _BLANK_RUN.search(text)):
+            try:
+                return self.fast(text)
+            except ValueError:
+                pass  # its matcher ran out of stack
+        if self.tokenizer is None:
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _fast(self):
         model, split = self.known["model"], self.known["pre_tokenizer"]
         simple = model["type"] == "BPE" and not model.get("dropout") and not self.known["normalizer"] and split and split["type"] == "ByteLevel"
@@ -57,11 +71,6 @@ class TextEncoder:
         encoding = tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
         return lambda text: encoding.encode(text, allowed_special="all")
 
-    @staticmethod
-    def _plain(path: str):
-        tokenizer = Tokenizer.from_file(path)
-        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         return np.array(self.encode(text), "<u4").tobytes()

@@ -90,17 +90,43 @@ def maybe_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return found.select(*left.columns)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows: int, rows_per_task: int = 100_000) -> DataFrame:
-    """Add ``name``, the rank from 0 of a row among the rows of its ``keys``, by lots drawn from ``order``.
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows: int, rows_per_task: int = 100_000, lot: Column | None = None) -> DataFrame:
+    """Add ``name``, the rank from 0 of a row among the rows of its ``keys``, by lots drawn from ``order`` or ``lot``.
 
-    The rows of a key are dealt into buckets by a hash of ``order`` and numbered within them; a bucket starts where those before it
-    end. So a key of any size is numbered by many tasks. ``keys`` hold no nulls.
+    The rows of a key are dealt into buckets by a hash and numbered within them; a bucket starts where those before it end. So a key of
+    any size is numbered by many tasks; there are about as many buckets as partitions, and more when the rows ask for it. ``keys`` hold no
+    nulls.
     """
-    buckets = max(1, math.ceil(rows / rows_per_task))
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, math.ceil(rows / rows_per_task), min(partitions, math.ceil(rows / 1000)))
+    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order) if lot is None else lot, F.lit(buckets)))
     sizes = dealt.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     numbered = dealt.withColumn("_place", F.row_number().over(inside) - 1)
     return numbered.join(starts, [*keys, "_bucket"]).withColumn(name, F.col("_start") + F.col("_place")).drop("_bucket", "_start", "_place")
+
+
+def row_key(docs: DataFrame, *more: str) -> Column:
+    """A digest of id, text (A-Z in lower case, null as empty) and the columns ``more``; rows that share it are copies in all of these."""
+    parts = [docs["doc_id"].cast("string"), *[docs[name].cast("string") for name in more]]
+    # a length before each part keeps the parts apart
+    named = [F.when(part.isNull(), F.lit("-")).otherwise(F.concat(F.length(part).cast("string"), F.lit(":"), part)) for part in parts]
+    return F.sha2(F.concat(*named, F.lit("|"), lowered(docs["text"])), 256)
+
+
+def rows_with(docs: DataFrame, keys: DataFrame, *more: str) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is in ``keys``, as the struct ``_row`` beside the columns of ``keys``.
+
+    ``keys`` holds every ``_key`` once, with ``_n``, the number of rows that share it.
+    """
+    row = F.struct(*[docs[name] for name in docs.columns])
+    packed = docs.select(row.alias("_row"), row_key(docs, *more).alias("_key"), F.monotonically_increasing_id().alias("_spread"))
+    return join_hot(packed, keys, ["_key"], "_n", "_spread").drop("_spread").filter("_n is not null")
+
+
+def one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each ``row_key`` in ``keys``, columns unchanged; only rows that have copies are compared with each other."""
+    found = rows_with(docs, keys).select("_row", "_key", "_n")
+    return found.filter("_n = 1").union(found.filter("_n > 1").dropDuplicates(["_key"])).select("_row.*")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.llm.components import connected
-from moodlens.llm.shared import fresh, join_hot, lowered, sliced
+from moodlens.llm.shared import join_hot, lowered, one_of_each, row_key, sliced
 from moodlens.session import checkpointed
 
 #: Words of a shingle, seed of its hash, differing bits of linked fingerprints.
@@ -45,15 +45,16 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             prints = np.array([fingerprint(x, shingle) for x in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))], ["doc_id", "key", "print"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``print``, the fingerprint as a signed number, of every row."""
-    bodies = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered(F.col("text")).cast("binary").alias("body"))
-    return bodies.mapInArrow(_fingerprints(shingle), "doc_id long, print long")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """``doc_id``, ``key`` and ``print``, the fingerprint as a signed number, of every row; the key is null unless asked for."""
+    key = row_key(docs) if keyed else F.lit(None).cast("string")
+    bodies = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered(F.col("text")).cast("binary").alias("body"), key.alias("key"))
+    return bodies.mapInArrow(_fingerprints(shingle), "doc_id long, key string, print long")
 
 
 def tile_links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
@@ -129,19 +130,30 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, t
     are ignored; an empty table gives no rows.
     """
     rows = checkpointed(fingerprints(docs, shingle))
-    prints = checkpointed(rows.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    classes = _classes(rows, radius, tile).select("print", "component_id", "n")
+    found = join_hot(rows, checkpointed(classes), ["print"], "n", "doc_id")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _classes(rows: DataFrame, radius: int, tile: int) -> DataFrame:
+    """For every distinct fingerprint of ``rows`` (doc_id, key, print): n, root, component_id and, of the component's smallest id, least_key."""
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    prints = checkpointed(rows.groupBy("print").agg(F.min(first).alias("least"), F.count("*").alias("n")))
     linked = connected(close_pairs(prints.select("print"), radius, tile))
     roots = linked.select(F.col("root").alias("node"), "root").distinct()
     members = checkpointed(prints.join(linked.union(roots).withColumnRenamed("node", "print"), "print", "left").select("print", "n", "least", F.coalesce("root", "print").alias("root")))
-    groups = members.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
-    classes = join_hot(members, checkpointed(groups), ["root"], "members", "print").select("print", "component_id", "n")
-    found = join_hot(rows, checkpointed(classes), ["print"], "n", "doc_id")
-    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    groups = members.groupBy("root").agg(F.min("least").alias("least"), F.count("*").alias("members"))
+    groups = groups.select("root", F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("least_key"), "members")
+    return join_hot(members.select("print", "n", "root"), checkpointed(groups), ["root"], "members", "print")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with the smallest id of every component, all columns unchanged; rows that repeat that id stay together."""
-    key, kept = fresh(docs, "_key", "_kept")
-    groups = near_groups(docs, shingle, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = groups.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key)).distinct()
-    return docs.withColumn(key, F.coalesce(docs["doc_id"].cast("string"), F.lit(""))).join(ids, key, "left_semi").select(*docs.columns)
+    """``docs`` with one row of every component, all columns unchanged.
+
+    The row with the smallest id stays; null ids come last, and rows that share the id go by a digest of id and text. Of rows that repeat
+    both any one stays.
+    """
+    rows = checkpointed(fingerprints(docs, shingle, keyed=True))
+    kept = _classes(rows, radius, TILE).select(F.col("least_key").alias("key")).distinct()
+    copies = rows.join(kept, "key", "left_semi").groupBy("key").agg(F.count("*").alias("_n"))
+    return one_of_each(docs, checkpointed(copies.withColumnRenamed("key", "_key")))

@@ -73,8 +73,8 @@ def _scan(block: int, gram: int):
                 long = len(words) >= block
                 found.append(np.unique(signatures(_word_hashes(words), block, gram)).view(np.int64) if long else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests), pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "sha", "signs"],
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(digests), pa.array(found, pa.list_(pa.int64()))],
+                ["doc_id", "key", "n_words", "sha", "signs"],
             )
 
     return run
@@ -85,13 +85,14 @@ def _blocks(block: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text, signs in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, key, text, signs in zip(*(c.to_pylist() for c in batch.columns)):
                 hashes = _word_hashes(text.split())
                 if len(hashes) < block:
                     continue
                 at = np.flatnonzero(np.isin(signatures(hashes, block, gram).view(np.int64), np.array(signs, np.int64)))
                 x, y = (_runs(hashes, block, odd)[at].view(np.int64) for odd in ODD)
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(at), pa.int64()), pa.array(at.astype(np.int32)), pa.array(x), pa.array(y)], ["doc_id", "at", "x", "y"])
+                ids = [pa.array(np.full(len(at), value, np.int64)) for value in (doc_id, key)]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(at.astype(np.int32)), pa.array(x), pa.array(y)], ["doc_id", "key", "at", "x", "y"])
 
     return run
 
@@ -110,12 +111,12 @@ def factors(starts: np.ndarray, block: int) -> list[tuple[int, int]]:
 
 
 def _trim(block: int):
-    """Task that removes the spans: doc_id, digest before, words removed, digest after, spans, and what is left."""
+    """Task that removes the spans: doc_id, key, words removed, and the digest of what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, starts in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, key, text, starts in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text.split()
                 spans = [s for s in factors(np.array(starts, np.int64), block) if s[1] <= len(words)]
                 kept, at = [], 0
@@ -124,9 +125,9 @@ def _trim(block: int):
                     at = after
                 kept += words[at:]
                 left = b" ".join(kept)
-                rows.append((doc_id, hashlib.sha256(b" ".join(words)).hexdigest(), len(words) - len(kept), hashlib.sha256(left).hexdigest()))
-            names = ["doc_id", "sha", "cut", "left_sha"]
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string()]
+                rows.append((doc_id, key, len(words) - len(kept), hashlib.sha256(left).hexdigest()))
+            names = ["doc_id", "key", "cut", "left_sha"]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     return run
@@ -142,30 +143,33 @@ def substring_dedup(docs: DataFrame, block: int = BLOCK, gram: int = GRAM) -> Da
     - every document is factored against the whole index, and factors owned by smaller ids become spans.
 
     Whole copies are settled by their digest beforehand. A null text has no words. Rows without id are left whole and are no reference;
-    rows that repeat an id are treated alike, and do not make each other go. Other columns are ignored; an empty table gives no rows.
+    rows that repeat an id are judged each by its own text, told apart by a 64-bit hash of it, and do not make each other go. Other
+    columns are ignored; an empty table gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    base = checkpointed(texts.mapInArrow(_scan(block, gram), "doc_id long, n_words long, sha string, signs array<long>"))
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    base = checkpointed(texts.mapInArrow(_scan(block, gram), "doc_id long, key long, n_words long, sha string, signs array<long>"))
     long = base.filter(f"n_words >= {block} and doc_id is not null")
     firsts = long.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     rows = checkpointed(join_hot(base, checkpointed(firsts), ["sha"], "n", "doc_id").withColumn("copy", F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))))
 
-    signed = rows.filter("not copy and doc_id is not null").select("doc_id", F.explode("signs").alias("sign"))
+    signed = rows.filter("not copy and doc_id is not null").select("doc_id", "key", F.explode("signs").alias("sign"))
     shared = signed.groupBy("sign").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).filter("a < b").select("sign", "n")
     shared = checkpointed(shared)
-    found = join_hot(maybe_in(signed, shared, "sign"), shared, ["sign"], "n", "doc_id").filter("n is not null")
-    suspects = checkpointed(found.groupBy("doc_id").agg(F.collect_set("sign").alias("signs")))
-    held = checkpointed(maybe_in(texts.filter("text is not null"), suspects, "doc_id").join(suspects, "doc_id"))
+    found = join_hot(maybe_in(signed, shared, "sign"), shared, ["sign"], "n", "key").filter("n is not null")
+    suspects = checkpointed(found.groupBy("doc_id", "key").agg(F.collect_set("sign").alias("signs")))
+    held = checkpointed(maybe_in(texts.filter("text is not null"), suspects, "key").join(suspects, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]))
 
-    blocks = checkpointed(held.select("doc_id", "text", "signs").mapInArrow(_blocks(block, gram), "doc_id long, at int, x long, y long"))
+    hashed = held.select("doc_id", "key", "text", "signs").mapInArrow(_blocks(block, gram), "doc_id long, key long, at int, x long, y long")
+    blocks = checkpointed(hashed)
     index = blocks.groupBy("x", "y").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
     index = checkpointed(index.filter("owner < last").select("x", "y", "owner", "n"))
-    owned = join_hot(maybe_in(blocks, index, "x"), index, ["x", "y"], "n", "doc_id").filter("owner < doc_id")
-    starts = owned.groupBy("doc_id").agg(F.collect_set("at").alias("starts"))
-    trimmed = held.select("doc_id", "text").join(starts, "doc_id").mapInArrow(_trim(block), "doc_id long, sha string, cut long, left_sha string").dropDuplicates(["doc_id", "sha"])
+    owned = join_hot(maybe_in(blocks, index, "x"), index, ["x", "y"], "n", "key").filter("owner < doc_id")
+    starts = owned.groupBy("doc_id", "key").agg(F.collect_set("at").alias("starts"))
+    trimmed = held.select("doc_id", "key", "text").join(starts, ["doc_id", "key"]).mapInArrow(_trim(block), "doc_id long, key long, cut long, left_sha string")
 
     nothing = hashlib.sha256(b"").hexdigest()
-    whole = rows.select("doc_id", "n_words", "sha", "copy").join(trimmed, ["doc_id", "sha"], "left")
+    whole = rows.select("doc_id", "key", "n_words", "sha", "copy").join(trimmed, ["doc_id", "key"], "left")
     return whole.select(
         "doc_id",
         "n_words",
