@@ -64,6 +64,49 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region before all others with a vertex per customer along its upper border, all within two degrees."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("key"))
+    ends = customers.agg((F.max("key") + 1).alias("n"))
+    upper = customers.select(
+        (F.col("key") + 1).alias("seq"),
+        (F.lit(-100.0) + F.col("key").cast("double") * 2 / ends.scalar()).alias("lon"),
+        (F.lit(37.5) + (F.col("key") * 7919 % 97).cast("double") / 97).alias("lat"),
+    )
+    corners = F.inline(
+        F.array(
+            F.struct(F.lit(0).cast("bigint").alias("seq"), F.lit(-100.5).alias("lon"), F.lit(36.875).alias("lat")),
+            F.struct((F.col("n") + 2).alias("seq"), F.lit(-97.5).alias("lon"), F.lit(36.875).alias("lat")),
+        )
+    )
+    border = upper.unionByName(ends.where("n is not null").select(corners))
+    return border.select(
+        F.lit(-1).cast("bigint").alias("ordinal"),
+        F.lit("Ridge").alias("region_name"),
+        F.lit("R").alias("region_code"),
+        F.lit(0).alias("ring_id"),
+        F.col("seq").cast("int").alias("seq"),
+        "lon",
+        "lat",
+    )
+
+
+def moved_regions(spark: SparkSession, sf_dir: str, degrees: int) -> DataFrame:
+    """The regions moved towards the east, with longitudes beyond 180 written as negative ones."""
+    lon = F.col("lon") + degrees
+    return regions(spark, sf_dir).withColumn("lon", F.when(lon > 180, lon - 360).otherwise(lon))
+
+
+def moved_locations(spark: SparkSession, sf_dir: str, degrees: int) -> DataFrame:
+    """The tweets' different locations moved in the same way; the texts of their numbers are made from whole hundredths."""
+    places = tweets(spark, sf_dir).select("location").distinct()
+    parts = F.split("location", ",")
+    east = F.round(F.get(parts, F.lit(1)).try_cast("decimal(10,2)") * 100).cast("bigint") + 100 * degrees
+    east = F.when(east > 18000, east - 36000).otherwise(east)
+    moved = F.concat(F.get(parts, F.lit(0)), F.lit(","), F.when(east < 0, F.lit("-")).otherwise(F.lit("")), _hundredths(F.abs(east)))
+    return places.select(F.coalesce(moved, F.col("location")).alias("location"))
+
+
 def _hundredths(number: Column) -> Column:
     """A non-negative count of hundredths as a decimal text."""
     whole = F.floor(number / 100).cast("string")
@@ -84,7 +127,8 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn(
         "doc_id", F.col("event_id") * 7919 % documents.select(F.count("*")).scalar()
     )
-    texts = documents.select("doc_id", "text")
+    # the documents are dealt out before they are copied, so that the work on texts takes all cores even where they are one file
+    texts = documents.select("doc_id", "text").repartition("doc_id")
     event = F.col("event_id")
     location = F.concat_ws(",", _latitude(event), _longitude(event))
     return events.join(texts, "doc_id").select(

@@ -34,6 +34,27 @@ def _clean(column: str) -> str:
     return f"trim(regexp_replace({_SIGNS.format(column)}, '{_SPACES}', ' ', 'g'))"
 
 
+def _located(points: str, edges: str, regions: str) -> str:
+    """Region of every point by testing it against every edge."""
+    return f"""select p.location, p.lat, p.lon, coalesce(r.region_name, 'Unknown') as region_name,
+                  coalesce(r.region_code, 'Unknown') as region_code
+           from {points} p
+           left join (
+             select location, min(ordinal) as ordinal from (
+               select p.location, e.ordinal from {points} p join {edges} e on p.lat is not null
+               group by p.location, e.ordinal
+               having count(*) filter ((y1 > lat) <> (y2 > lat)
+                        and (y2 > y1) = ((x2 - x1) * (lat - y1) - (lon - x1) * (y2 - y1) > 0)) % 2 = 1
+                  and count(*) filter (lon between least(x1, x2) and greatest(x1, x2)
+                        and lat between least(y1, y2) and greatest(y1, y2)
+                        and (x2 - x1) * (lat - y1) - (lon - x1) * (y2 - y1) = 0) = 0)
+             group by location) h on h.location = p.location
+           left join (select distinct ordinal, region_name, region_code from {regions}) r on r.ordinal = h.ordinal"""
+
+
+# degrees by which the regions are moved; the same number as in the queries
+MOVED_EAST = 275
+
 # name -> (common tables it needs, SQL)
 _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "lexicon": ((), f"select * from (values {_values(LEXICON_ROWS)}) as l(term, polarity)"),
@@ -84,22 +105,37 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                   try_cast(split_part(location, ',', 2) as double) as lon
            from (select distinct location from tweets)""",
     ),
-    "located": (
-        ("points", "edges", "vertices"),
-        """select p.location, p.lat, p.lon, coalesce(r.region_name, 'Unknown') as region_name,
-                  coalesce(r.region_code, 'Unknown') as region_code
-           from points p
-           left join (
-             select location, min(ordinal) as ordinal from (
-               select p.location, e.ordinal from points p join edges e on p.lat is not null
-               group by p.location, e.ordinal
-               having count(*) filter ((y1 > lat) <> (y2 > lat)
-                        and (y2 > y1) = ((x2 - x1) * (lat - y1) - (lon - x1) * (y2 - y1) > 0)) % 2 = 1
-                  and count(*) filter (lon between least(x1, x2) and greatest(x1, x2)
-                        and lat between least(y1, y2) and greatest(y1, y2)
-                        and (x2 - x1) * (lat - y1) - (lon - x1) * (y2 - y1) = 0) = 0)
-             group by location) h on h.location = p.location
-           left join (select distinct ordinal, region_name, region_code from vertices) r on r.ordinal = h.ordinal""",
+    "located": (("points", "edges", "vertices"), _located("points", "edges", "vertices")),
+    "ridge": (
+        (),
+        """select -1 as ordinal, 'Ridge' as region_name, 'R' as region_code, seq, lon, lat from (
+             select cast(c_custkey as bigint) + 1 as seq,
+                    cast(-100.0 as double) + cast(c_custkey as double) * 2 / (select max(c_custkey) + 1 from customer) as lon,
+                    cast(37.5 as double) + cast(cast(c_custkey as bigint) * 7919 % 97 as double) / 97 as lat from customer
+             union all select 0, -100.5, 36.875 union all select max(c_custkey) + 3, -97.5, 36.875 from customer)""",
+    ),
+    "crowded_vertices": (
+        ("vertices", "ridge"),
+        """select ordinal, region_name, region_code from vertices union all select ordinal, region_name, region_code from ridge""",
+    ),
+    "crowded_edges": (
+        ("edges", "ridge"),
+        """select * from edges union all
+           select ordinal, lon, lat, coalesce(lead(lon) over r, first(lon) over r), coalesce(lead(lat) over r, first(lat) over r)
+           from ridge window r as (order by seq)""",
+    ),
+    "moved_points": (
+        ("tweets",),
+        f"""select location, try_cast(split_part(location, ',', 1) as double) as lat, try_cast(split_part(location, ',', 2) as double) as lon
+            from (select case when location = 'n/a' then location else concat(split_part(location, ',', 1), ',',
+                    case when h < 0 then '-' else '' end, abs(h) // 100, '.', lpad(cast(abs(h) % 100 as varchar), 2, '0')) end as location
+                  from (select location, case when e > 18000 then e - 36000 else e end as h
+                        from (select distinct location,
+                                cast(round(try_cast(split_part(location, ',', 2) as decimal(10, 2)) * 100) as bigint) + {100 * MOVED_EAST} as e from tweets)))""",
+    ),
+    "moved_edges": (
+        ("edges",),
+        f"""select ordinal, x1 + {MOVED_EAST} + turn as x1, y1, x2 + {MOVED_EAST} + turn as x2, y2 from edges, (values (0), (-360)) as t(turn)""",
     ),
     "sentiment_located": (
         ("scored", "located"),
@@ -225,6 +261,10 @@ ORACLE_SQL: dict[str, str] = {
         ("located",),
         "select t.tweet_id, l.region_name, l.region_code from tweets t join located l on l.location = t.location",
     ),
+    "region_lookup_crowded": _with(("points", "crowded_edges", "crowded_vertices"), _located("points", "crowded_edges", "crowded_vertices")),
+    "region_lookup_antimeridian": _with(
+        ("moved_points", "moved_edges", "vertices"), _located("moved_points", "moved_edges", "vertices")
+    ),
     "facet_summary": _with(("sentiment_located",), _SUMMARY),
     "facet_previews": _with(
         ("sentiment_located",),
@@ -352,3 +392,41 @@ ORACLE_SQL: dict[str, str] = {
             where term not in ({', '.join(f"'{word}'" for word in STOP_WORDS)}) group by term""",
     ),
 }
+
+_LAST = "(select max(epoch_us(ts)) from windowed)"
+_MIDDLE = "(select (min(epoch_ms(ts)) + max(epoch_ms(ts))) // 2 from windowed)"
+
+ORACLE_SQL |= {
+    # other ways to the same rows
+    "tweet_sentiment_joined": ORACLE_SQL["tweet_sentiment_large_lexicon"],
+    "tweet_count_observed": ORACLE_SQL["tweet_count"],
+    "historical_incremental": ORACLE_SQL["historical_stores"],
+    "stream_pane_windows": ORACLE_SQL["stream_window_sentiment"],
+    "replay_stream": _with(
+        ("tweets",),
+        """select user_id, tweet_id, tweet, location, cast(1706745600000 + 10000 * send as varchar) as timestamp_logger
+           from (select * from tweets order by tweet_id limit 100), range(3) as s(send)""",
+    ),
+    "stream_large_lexicon": _with(
+        ("tweets", "word_scores"),
+        f"""select t.location, coalesce(s.score, 0.0) as sentiment, {_MS} as date_time
+            from tweets t left join word_scores s on s.doc_id = t.doc_id""",
+    ),
+    "stream_upsert": _with(
+        ("windowed",),
+        f"""select state, {_WINDOW_BOUNDS}, count(*) as count, {_MEAN_MAX_MIN}, round(sum(sentiment) + {_OFF_TIE}, 6) as total_sentiment,
+            round(sum(abs(sentiment)) + {_OFF_TIE}, 6) as absolute_sentiment, start_us + 20000000 > {_LAST} - 5000000 as is_open
+            from windowed where epoch_ms(ts) >= {_MIDDLE} or start_us + 20000000 > {_LAST} - 5000000 group by state, start_us""",
+        ts=_MS,
+    ),
+    "stream_late_quarantine": _with(
+        ("windowed",),
+        f"""select location, region_name as state, tweet_sentiment as sentiment, date_time, missed from (
+              select *, cast(case when date_time is null then 4
+                        when epoch_ms(date_time) >= {_MIDDLE} then 0
+                        else greatest(0, least(4, floor(({_LAST} // 1000 - 5000 - epoch_ms(date_time) // 5000 * 5000) / 5000))) end as integer) as missed
+              from (select *, {_MS} as date_time from sentiment_located))
+            where missed > 0""",
+        ts=_MS,
+    ),
+}

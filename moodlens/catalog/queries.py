@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodlens.catalog import fixtures
@@ -27,18 +27,39 @@ from moodlens.operators import (
     term_counts,
     write_index,
 )
-from moodlens.plans import prepare_feed, previews, process_tweets, replay_once, run_historical, run_live
+from moodlens.plans import (
+    prepare_feed,
+    previews,
+    process_tweets,
+    replay_once,
+    replay_stream,
+    run_historical,
+    run_incremental,
+    run_live,
+    run_live_store,
+)
 from moodlens.schemas import RESULT_KEYS
 from moodlens.session import discard, pin_session, scratch_path
 from moodlens.sinks import bulk_load, conform, publish_json, read_loaded, read_store, to_json_values, upsert_parquet, write_tsv
 from moodlens.sinks.files import unescaped
-from moodlens.sources import load_regions, parse_users, read_tweets, sample_for_replay, split_raw_tweets, tweets_of_user
+from moodlens.sources import across_antimeridian, load_regions, parse_users, read_tweets, sample_for_replay, split_raw_tweets, tweets_of_user
 from moodlens.sources.tweets import REJECTED
-from moodlens.streaming import decode_payload, enrich, event_time, malformed, read_value_stream, window_sentiment, write_stream
+from moodlens.streaming import (
+    WindowStore,
+    decode_payload,
+    enrich,
+    event_time,
+    malformed,
+    read_value_stream,
+    window_sentiment,
+    write_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 USER = "7"
+# degrees that bring the middle of the regions to the 180th meridian
+MOVED_EAST = 275
 
 
 def _naive(column: Column | str) -> Column:
@@ -123,11 +144,23 @@ def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def region_of_tweet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup for indexes too large to be broadcast."""
-    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_entries=0)
+    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_bytes=0)
     located = assign_region(_tweets(spark, sf_dir).select("tweet_id", "location"), index)
     return located.select("tweet_id", "region_name", "region_code")
 
 
+def region_lookup_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup where one region has so many edges in a few cells that these are cut up."""
+    regions = fixtures.regions(pin_session(spark), sf_dir).unionByName(fixtures.ridge(spark, sf_dir))
+    return assign_region(_tweets(spark, sf_dir).select("location").distinct(), region_index(regions, max_cell_entries=16))
+
+
+def region_lookup_antimeridian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup with regions and locations moved to both sides of the 180th meridian."""
+    regions = across_antimeridian(fixtures.moved_regions(pin_session(spark), sf_dir, MOVED_EAST))
+    return assign_region(fixtures.moved_locations(spark, sf_dir, MOVED_EAST), region_index(regions))
+
+
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(facet_summary(_scored(spark, sf_dir), _index(spark, sf_dir)))
 
@@ -143,6 +176,19 @@ def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("tweet_id", "tweet_sentiment")
 
 
+def sentiment_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores with a lexicon too large for a slot table, which is joined."""
+    scored = add_sentiment(_tweets(spark, sf_dir), fixtures.document_lexicon(spark, sf_dir), max_table_bytes=0)
+    return scored.select("tweet_id", "tweet_sentiment")
+
+
+def tweet_count_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tweets, taken from the pass that computes the facets."""
+    observation = Observation("tweets")
+    process_tweets(_tweets(spark, sf_dir), fixtures.lexicon(spark), _index(spark, sf_dir), observation)
+    return spark.createDataFrame([(observation.get["tweets"],)], "tweets bigint")
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tweets")
     _tweets(spark, sf_dir).write.parquet(path)
@@ -183,6 +229,21 @@ def historical_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "results")
     for _ in range(2):
         run_historical(spark, _tweets(spark, sf_dir), fixtures.lexicon(spark), _index(spark, sf_dir), path)
+    return _stores(spark, path)
+
+
+def historical_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stores filled part by part; the second part runs twice, as after a failure."""
+    path, states = scratch_path(spark, "results"), scratch_path(spark, "states")
+    tweets, lexicon, index = _tweets(spark, sf_dir), fixtures.lexicon(spark), _index(spark, sf_dir)
+    odd = F.col("tweet_id").cast("bigint") % 2 == 1
+    for part, rows in (("a", ~odd), ("b", odd), ("b", odd)):
+        run_incremental(spark, tweets.where(rows), lexicon, index, states, part, path)
+    discard(spark, states)
+    return _stores(spark, path)
+
+
+def _stores(spark: SparkSession, path: str) -> DataFrame:
     parts = []
     for target, key in RESULT_KEYS.items():
         kept = read_store(spark, f"{path}/{target}").unionByName(spark.read.parquet(f"{path}/{target}_unkeyed"))
@@ -289,6 +350,18 @@ def replay_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("user_id", "tweet_id", "tweet", "location", "timestamp_logger")
 
 
+def replay_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample after three sends, each by a run of the stream that goes on where the last one ended."""
+    topic, checkpoint = scratch_path(pin_session(spark), "topic"), scratch_path(spark, "stream")
+    for _ in range(3):
+        query = replay_stream(
+            fixtures.tweets(spark, sf_dir), "text", checkpoint, start_ms=1_706_745_600_000, path=topic, trigger={"availableNow": True}
+        )
+        query.awaitTermination()
+    discard(spark, checkpoint)
+    return decode_payload(spark.read.text(topic)).select("user_id", "tweet_id", "tweet", "location", "timestamp_logger")
+
+
 def _windows(df: DataFrame) -> DataFrame:
     bounds = {"window_start": _naive("window.start"), "window_end": _naive("window.end")}
     return _rounded(df.withColumns(bounds).drop("window"))
@@ -300,18 +373,21 @@ def window_sentiment_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(window_sentiment(enriched))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, measures: Sequence[str] | None) -> DataFrame:
+def _streamed(
+    spark: SparkSession, sf_dir: str, measures: Sequence[str] | None, panes: bool = False, lexicon: DataFrame | None = None
+) -> DataFrame:
     topic, out, checkpoint = (scratch_path(pin_session(spark), name) for name in ("topic", "out", "stream"))
     publish_json(fixtures.tweets(spark, sf_dir), "text", F.col("timestamp"), topic)
     query = run_live(
         read_value_stream(spark, "text", topic),
-        fixtures.lexicon(spark),
+        fixtures.lexicon(spark) if lexicon is None else lexicon,
         _index(spark, sf_dir),
         "parquet",
         checkpoint,
         out,
         {"availableNow": True},
         measures,
+        panes=panes,
     )
     query.awaitTermination()
     discard(spark, topic, checkpoint)
@@ -360,6 +436,43 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, None).withColumn("date_time", _naive("date_time"))
 
 
+def stream_pane_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(_streamed(spark, sf_dir, ("mean_sentiment", "max_sentiment", "min_sentiment"), panes=True))
+
+
+def stream_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream scored with every word of the documents as a term."""
+    scored = _streamed(spark, sf_dir, None, lexicon=fixtures.document_lexicon(pin_session(spark), sf_dir))
+    return scored.select("location", "sentiment", _naive("date_time").alias("date_time"))
+
+
+def _live_store(spark: SparkSession, sf_dir: str) -> WindowStore:
+    """A store fed with the later half of the tweets, then with the earlier half and those without a time, then with nothing."""
+    topic, checkpoint = scratch_path(pin_session(spark), "topic"), scratch_path(spark, "stream")
+    store = WindowStore(scratch_path(spark, "store"))
+    tweets, index = fixtures.tweets(spark, sf_dir), _index(spark, sf_dir)
+    millis = F.unix_millis("timestamp")
+    middle = tweets.agg(F.floor((F.min(millis) + F.max(millis)) / 2)).first()[0]
+    later = F.coalesce(millis >= F.lit(middle), F.lit(False))
+    for rows in (later, ~later, F.lit(False)):
+        publish_json(tweets.where(rows), "text", F.col("timestamp"), topic)
+        messages = read_value_stream(spark, "text", topic)
+        run_live_store(messages, fixtures.lexicon(spark), index, store, checkpoint, {"availableNow": True}).awaitTermination()
+    discard(spark, topic, checkpoint)
+    return store
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _live_store(spark, sf_dir).windows(spark)
+    bounds = {name: _naive(name) for name in ("window_start", "window_end")}
+    return _rounded(stored.withColumns(bounds))
+
+
+def stream_late_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late = _live_store(spark, sf_dir).late(spark)
+    return late.select("location", "state", "sentiment", _naive("date_time").alias("date_time"), "missed")
+
+
 def index_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_counts(_tweets(spark, sf_dir))
 
@@ -379,6 +492,8 @@ QUERIES: dict[str, Query] = {
     "sentiment_by_length": by_length,
     "region_lookup": region_lookup,
     "region_lookup_shuffled": region_of_tweet,
+    "region_lookup_crowded": region_lookup_crowded,
+    "region_lookup_antimeridian": region_lookup_antimeridian,
     "facet_summary": summary,
     "facet_previews": facet_previews,
     "user_tweet_join": user_tweet_join,
@@ -407,4 +522,12 @@ QUERIES: dict[str, Query] = {
     "replay_topic": replay_topic,
     "stream_malformed": stream_malformed,
     "stream_late_rows": stream_late_rows,
+    "tweet_sentiment_joined": sentiment_joined,
+    "tweet_count_observed": tweet_count_observed,
+    "historical_incremental": historical_incremental,
+    "replay_stream": replay_streamed,
+    "stream_pane_windows": stream_pane_windows,
+    "stream_large_lexicon": stream_large_lexicon,
+    "stream_upsert": stream_upsert,
+    "stream_late_quarantine": stream_late_quarantine,
 }

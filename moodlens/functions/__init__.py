@@ -1,14 +1,13 @@
 """Column expressions; all of them run inside the JVM."""
 
 from moodlens.functions.location import latitude, longitude
-from moodlens.functions.polarity import CompiledLexicon, compile_lexicon, polarity
+from moodlens.functions.polarity import SlotTable, polarity, slot_table
 from moodlens.functions.text import clean_text, index_terms, length_bucket, sentiment_tokens
 from moodlens.functions.timeparts import day_name, day_of_week
 
 __all__ = [
-    "CompiledLexicon",
+    "SlotTable",
     "clean_text",
-    "compile_lexicon",
     "day_name",
     "day_of_week",
     "index_terms",
@@ -17,4 +16,5 @@ __all__ = [
     "longitude",
     "polarity",
     "sentiment_tokens",
+    "slot_table",
 ]

@@ -103,12 +103,46 @@ def sentiment_by_length(scored: DataFrame, text: str = "tweet") -> DataFrame:
     return stats.select("tweet_length", *MEASURES).orderBy("tweet_length")
 
 
+#: The columns that tell the group of a row of a summary.
+FACET_KEYS = ["facet", "state_name", "state_code", "hour", "day_number", "tweet_length"]
+#: What is kept of a group so that it can be added to another part of the tweets.
+FACET_STATES = ["count", "total_sentiment", "absolute_sentiment", "scored"]
+
+
 def facet_summary(scored: DataFrame, index: RegionIndex, text: str = "tweet", timestamp: str = "timestamp") -> DataFrame:
     """All four facets in one pass over the scored tweets, in long form.
 
     A row names its ``facet`` and fills that facet's key columns. The tweets are read and scored once, and what is
     shuffled is a row per group and task.
     """
+    return summary_of(facet_states(scored, index, text, timestamp))
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """States of several parts of the tweets added up by group."""
+    return states.groupBy(*FACET_KEYS).agg(*[F.sum(name).alias(name) for name in FACET_STATES])
+
+
+def summary_of(states: DataFrame) -> DataFrame:
+    """The summary that the states of all groups stand for."""
+    mean = F.when(F.col("facet") == "state", F.try_divide("total_sentiment", "count")).otherwise(F.try_divide("total_sentiment", "scored"))
+    return states.select(
+        "facet",
+        "state_name",
+        "state_code",
+        "hour",
+        day_name("day_number").alias("day_name"),
+        "day_number",
+        "tweet_length",
+        "count",
+        "total_sentiment",
+        "absolute_sentiment",
+        mean.alias("mean_sentiment"),
+    )
+
+
+def facet_states(scored: DataFrame, index: RegionIndex, text: str = "tweet", timestamp: str = "timestamp") -> DataFrame:
+    """Count, sums and number of scored tweets of every group of all four facets, from one pass."""
     keyed = assign_region(scored, index).select(
         F.col("region_name").alias("state_name"),
         F.col("region_code").alias("state_code"),
@@ -133,26 +167,12 @@ def facet_summary(scored: DataFrame, index: RegionIndex, text: str = "tweet", ti
         .when(F.grouping("day_number") == 0, F.count("day_number"))
         .otherwise(F.count("tweet_length"))
     )
-    summed = keyed.groupingSets([[F.col(name) for name in group] for group in sets], *keys).agg(
+    return keyed.groupingSets([[F.col(name) for name in group] for group in sets], *keys).agg(
         facet.alias("facet"),
         counted.alias("count"),
         F.sum(SENTIMENT).alias("total_sentiment"),
         F.sum(F.abs(SENTIMENT)).alias("absolute_sentiment"),
-        F.avg(SENTIMENT).alias("average"),
-    )
-    mean = F.when(F.col("facet") == "state", F.try_divide("total_sentiment", "count")).otherwise(F.col("average"))
-    return summed.select(
-        "facet",
-        "state_name",
-        "state_code",
-        "hour",
-        day_name("day_number").alias("day_name"),
-        "day_number",
-        "tweet_length",
-        "count",
-        "total_sentiment",
-        "absolute_sentiment",
-        mean.alias("mean_sentiment"),
+        F.count(SENTIMENT).alias("scored"),
     )
 
 

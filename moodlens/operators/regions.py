@@ -7,11 +7,16 @@ The globe is cut into grid cells, and a location meets the regions of its cell i
 towards the east tells inside from outside by the parity of its crossings. A cell keeps the edges that come near it. Of
 the edges further east only their latitudes matter, where each end flips the parity; flips at the same latitude cancel in
 pairs, which leaves next to nothing. A cell that no edge comes near has no edges to test at all.
+
+A crowded cell is cut into four, and those again, until none is crowded: a quadtree below each cell of the grid. What a
+child needs follows from its parent's entries, so a dense city costs cells there and nowhere else. A location goes down
+the tree through the list of the cells that were cut, which is short, and meets one cell.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,23 +27,32 @@ from moodlens.session import checkpointed, salted_join
 UNKNOWN = "Unknown"
 EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
-# An index with more entries than this is shuffled instead of being broadcast; an entry is some 40 bytes and two names.
-MAX_BROADCAST_ENTRIES = 1_000_000
-# A cell with more entries than this is cut up further.
-MAX_CELL_ENTRIES = 50_000
-FINEST_CELLS_PER_DEGREE = 1024
+#: An index that takes more bytes than this is shuffled instead of being broadcast.
+MAX_BROADCAST_BYTES = 64 << 20
+#: A cell with more entries than this is cut up, at most so many times; the finest cells are some 10 cm wide.
+MAX_CELL_ENTRIES = 512
+FINEST_LEVEL = 20
+# what an edge, a flip and the rest of a candidate take
+_EDGE_BYTES, _FLIP_BYTES, _CANDIDATE_BYTES = 48, 8, 64
+# columns of a kept index besides the cells
+_ABOUT = ("cells_per_degree", "levels", "entries", "bytes")
 
 
 @dataclass(frozen=True)
 class RegionIndex:
-    """Grid cells with the regions that reach into them, one row per cell.
+    """The cells that are not cut up, with the regions that reach into them, and the list of those that are.
 
-    A cell holds its candidate regions by ordinal, each with the near edges and the flips of the far ones.
+    ``cells`` has a row per level, column and row of a cell, whose candidates are regions by ordinal, each with the near edges and the
+    flips of the far ones. Level 0 has ``cells_per_degree`` cells a degree, each further level twice as many. ``cuts`` names the cells
+    that were cut, on ``levels`` levels.
     """
 
     cells_per_degree: int
     cells: DataFrame
+    cuts: DataFrame
+    levels: int
     entries: int
+    bytes: int
     fits_broadcast: bool
 
 
@@ -138,49 +152,116 @@ def _entries(regions: DataFrame, n: int) -> DataFrame:
     return near.unionByName(flips)
 
 
+def _quarters(entries: DataFrame, n: int) -> DataFrame:
+    """Entries of the four children of each cell, from the cell's own; the children have ``n`` cells a degree.
+
+    An edge of the parent stays near the children it comes near; for the children west of it in the same rows only its flips are left.
+    Flips of the parent hold for all of it, so a child takes those below its top, none of them lower than its bottom.
+    """
+    child = F.explode(F.array(*[F.struct((F.col("cx") * 2 + dx).alias("cx"), (F.col("cy") * 2 + dy).alias("cy")) for dx in (0, 1) for dy in (0, 1)]))
+    region = ["ordinal", "region_name", "region_code"]
+    dealt = entries.select(child.alias("cell"), *region, "edge", "flip").select("cell.*", *region, "edge", "flip")
+    dealt = dealt.withColumns({"bottom": F.col("cy") / n, "top": (F.col("cy") + 1) / n})
+    first, last = (_cell(side("edge.x1", "edge.x2"), n) for side in (F.least, F.greatest))
+    rows = F.col("cy").between(_cell(F.least("edge.y1", "edge.y2"), n), _cell(F.greatest("edge.y1", "edge.y2"), n))
+    near = dealt.where(rows & F.col("cx").between(first, last)).select("cx", "cy", *region, "edge", F.lit(None).cast("double").alias("flip"))
+    ends = F.when(F.col("flip").isNotNull(), F.array("flip")).when(rows & (F.col("cx") < first), F.array("edge.y1", "edge.y2"))
+    flips = (
+        dealt.select("cx", "cy", "bottom", "top", *region, F.explode(ends).alias("end"))
+        .where("end < top")
+        .groupBy("cx", "cy", *region, F.greatest("end", "bottom").alias("flip"))
+        .count()
+        .where("count % 2 = 1")
+        .select("cx", "cy", *region, F.lit(None).cast(EDGE).alias("edge"), "flip")
+    )
+    return near.unionByName(flips)
+
+
 def region_index(
     regions: DataFrame,
     cells_per_degree: int = 1,
-    max_broadcast_entries: int = MAX_BROADCAST_ENTRIES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     max_cell_entries: int = MAX_CELL_ENTRIES,
 ) -> RegionIndex:
     """Index a region table. ``cells_per_degree`` is a power of two, so that cell borders are exact.
 
-    The entries are computed into the shared folder and counted; while one cell holds too many, the grid is made finer, down to a
-    thousandth of a degree. Edges that still crowd one cell are all kept there. The cells are computed once and kept too, so the
-    micro-batches of a stream read them as they are.
+    The entries of a level are computed into the shared folder and counted by cell. Those of crowded cells go on to the next level,
+    the others are settled. Only edges that meet at one spot can still crowd a cell of the finest level; they are kept there. The cells
+    are computed once and kept too, so the micro-batches of a stream read them as they are.
     """
     n = cells_per_degree
     if n < 1 or n & (n - 1):
         raise ValueError("cells_per_degree must be a power of two")
-    while True:
-        entries = checkpointed(_entries(regions, n))
-        counts = entries.groupBy("cx", "cy").count()
-        total, largest = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
-        if largest <= max_cell_entries or n >= FINEST_CELLS_PER_DEGREE:
+    entries = checkpointed(_entries(regions, n))
+    settled, cuts, level = [], [], 0
+    while level < FINEST_LEVEL:
+        # a crowded cell holds more than max_cell_entries entries, so there are few
+        crowded = checkpointed(entries.groupBy("cx", "cy").count().where(F.col("count") > max_cell_entries).select("cx", "cy"))
+        if crowded.isEmpty():
             break
-        n *= 2
-    candidates = entries.groupBy("cx", "cy", "ordinal", "region_name", "region_code").agg(
-        F.collect_list("edge").alias("edges"), F.collect_list("flip").alias("flips")
+        settled.append(entries.join(F.broadcast(crowded), ["cx", "cy"], "left_anti").select(F.lit(level).alias("level"), "*"))
+        cuts.append(crowded.select(F.lit(level).alias("level"), "cx", "cy"))
+        level += 1
+        entries = checkpointed(_quarters(entries.join(F.broadcast(crowded), ["cx", "cy"], "left_semi"), n << level))
+    settled.append(entries.select(F.lit(level).alias("level"), "*"))
+    candidates = (
+        reduce(DataFrame.unionByName, settled)
+        .groupBy("level", "cx", "cy", "ordinal", "region_name", "region_code")
+        .agg(F.collect_list("edge").alias("edges"), F.collect_list("flip").alias("flips"))
     )
-    cells = candidates.groupBy("cx", "cy").agg(
-        F.sort_array(F.collect_list(F.struct("ordinal", "region_name", "region_code", "edges", "flips"))).alias("candidates")
+    cells = checkpointed(
+        candidates.groupBy("level", "cx", "cy").agg(
+            F.sort_array(F.collect_list(F.struct("ordinal", "region_name", "region_code", "edges", "flips"))).alias("candidates")
+        )
     )
-    return RegionIndex(n, checkpointed(cells), total, total <= max_broadcast_entries)
+    region = F.explode("candidates").alias("c")
+    edges, flips = F.size("c.edges"), F.size("c.flips")
+    names = F.octet_length(F.coalesce("c.region_name", F.lit(""))) + F.octet_length(F.coalesce("c.region_code", F.lit("")))
+    total, size = (
+        cells.select(region)
+        .agg(
+            F.coalesce(F.sum(edges + flips), F.lit(0)),
+            F.coalesce(F.sum(edges * _EDGE_BYTES + flips * _FLIP_BYTES + names + _CANDIDATE_BYTES), F.lit(0)),
+        )
+        .first()
+    )
+    none = entries.select(F.lit(0).alias("level"), "cx", "cy").limit(0)
+    return RegionIndex(n, cells, reduce(DataFrame.unionByName, cuts, none), level, total, size, size <= max_broadcast_bytes)
 
 
 def write_index(index: RegionIndex, path: str, mode: str = "errorifexists") -> None:
-    """Keep an index as a table, for ``read_index``."""
-    about = {"cells_per_degree": F.lit(index.cells_per_degree), "entries": F.lit(index.entries)}
-    index.cells.withColumns(about).write.mode(mode).parquet(path)
+    """Keep an index as a table, for ``read_index``; the cells that were cut are rows without candidates."""
+    about = {name: F.lit(getattr(index, name)) for name in _ABOUT}
+    rows = index.cells.unionByName(index.cuts, allowMissingColumns=True)
+    rows.withColumns(about).write.mode(mode).parquet(path)
 
 
-def read_index(spark: SparkSession, path: str, max_broadcast_entries: int = MAX_BROADCAST_ENTRIES) -> RegionIndex:
+def read_index(spark: SparkSession, path: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> RegionIndex:
     """An index that ``write_index`` has kept; nothing is computed again."""
     kept = spark.read.parquet(path)
-    about = kept.select("cells_per_degree", "entries").first()
-    n, entries = (about["cells_per_degree"], about["entries"]) if about else (1, 0)
-    return RegionIndex(n, kept.drop("cells_per_degree", "entries"), entries, entries <= max_broadcast_entries)
+    n, levels, entries, size = kept.select(*_ABOUT).first() or (1, 0, 0, 0)
+    rows = kept.drop(*_ABOUT)
+    cells, cuts = rows.where("candidates is not null"), rows.where("candidates is null").drop("candidates")
+    return RegionIndex(n, cells, cuts, levels, entries, size, size <= max_broadcast_bytes)
+
+
+def _in_cell(located: DataFrame, index: RegionIndex) -> DataFrame:
+    """Add level, column and row of the cell that is not cut up and holds the location, as ``_level``, ``_cx`` and ``_cy``."""
+    n = index.cells_per_degree
+    placed = located.withColumns({"_level": F.lit(0), "_cx": _cell(F.col("lon"), n), "_cy": _cell(F.col("lat"), n)})
+    known = F.broadcast(_as_key(index.cuts).withColumn("_cut", F.lit(True)))
+    for level in range(1, index.levels + 1):
+        cut = F.col("_cut").isNotNull()
+        down = {name: F.when(cut, _cell(F.col(degrees), n << level)).otherwise(F.col(name)) for name, degrees in (("_cx", "lon"), ("_cy", "lat"))}
+        placed = placed.join(known, _KEY, "left").withColumns({**down, "_level": F.when(cut, F.lit(level)).otherwise(F.col("_level"))}).drop("_cut")
+    return placed
+
+
+_KEY = ["_level", "_cx", "_cy"]
+
+
+def _as_key(cells: DataFrame) -> DataFrame:
+    return cells.withColumnsRenamed({"level": "_level", "cx": "_cx", "cy": "_cy"})
 
 
 def assign_region(df: DataFrame, index: RegionIndex, location: str = "location") -> DataFrame:
@@ -188,16 +269,14 @@ def assign_region(df: DataFrame, index: RegionIndex, location: str = "location")
 
     With a small index this is a map-side join without any shuffle, for batches and streams alike. A larger one is
     joined by cell, every cell spread over salted partitions, as one city may hold a third of all rows; unreadable locations are
-    spread over all of them.
+    spread over all of them. The list of cut cells is broadcast in either case: each of them held more than the bound of a cell.
     """
-    n = index.cells_per_degree
-    located = df.withColumns({"lat": latitude(location), "lon": longitude(location)}).withColumns(
-        {"cx": _cell(F.col("lon"), n), "cy": _cell(F.col("lat"), n)}
-    )
+    located = _in_cell(df.withColumns({"lat": latitude(location), "lon": longitude(location)}), index)
     if index.fits_broadcast:
-        joined = located.join(F.broadcast(index.cells), ["cx", "cy"], "left")
+        joined = located.join(F.broadcast(_as_key(index.cells)), _KEY, "left")
     else:
-        joined = salted_join(located, index.cells, ["cx", "cy"], how="left")
+        joined = salted_join(located, _as_key(index.cells), _KEY, how="left")
+    added = ("lat", "lon", "region_name", "region_code")
     hits = F.filter(
         "candidates",
         lambda region: _inside(region["edges"], region["flips"], F.col("lon"), F.col("lat")),
@@ -210,5 +289,6 @@ def assign_region(df: DataFrame, index: RegionIndex, location: str = "location")
                 "region_code": F.coalesce("_region.region_code", F.lit(UNKNOWN)),
             }
         )
-        .drop("cx", "cy", "candidates", "_region")
+        .drop(*_KEY, "candidates", "_region")
+        .select(*[name for name in df.columns if name not in added], *added)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.functions.polarity import MAX_INLINE_BYTES, check_lexicon, compile_lexicon, polarity, usable_terms
+from moodlens.functions.polarity import MAX_TABLE_BYTES, check_lexicon, polarity, slot_table, usable_terms
 from moodlens.functions.text import sentiment_tokens
 from moodlens.session import checkpointed, salted_join
 
@@ -15,18 +15,21 @@ def add_sentiment(
     lexicon: DataFrame,
     text: str = "tweet",
     output: str = "tweet_sentiment",
-    max_inline_bytes: int = MAX_INLINE_BYTES,
+    max_table_bytes: int = MAX_TABLE_BYTES,
 ) -> DataFrame:
     """Add the mean polarity of each text's known terms as a double; 0.0 for none and for a null text.
 
-    The lexicon becomes part of the expression: no shuffle, and fit for streams. Only one whose terms take more than
-    ``max_inline_bytes`` is joined (batch only). Both ways refuse the same lexicon rows.
+    The lexicon becomes a slot table that goes along with the plan: no shuffle, and the same for batches and streams. Only one
+    whose table takes more than ``max_table_bytes`` is joined (batch only). Both ways refuse the same lexicon rows.
     """
-    compiled = compile_lexicon(lexicon, max_inline_bytes)
-    if compiled is not None:
-        return tweets.withColumn(output, polarity(text, compiled))
+    table = slot_table(lexicon, max_table_bytes)
+    if table is not None:
+        # a scalar subquery is read once and goes to the executors with the plan; the score is the one place that refers to
+        # it, so both projections become one and no row carries the table
+        with_table = tweets.withColumn("_slot_table", table.row.scalar())
+        return with_table.withColumn(output, polarity(text, "_slot_table", table.slots)).drop("_slot_table")
     if tweets.isStreaming:
-        raise ValueError(f"the terms of a stream's lexicon may take {max_inline_bytes} bytes")
+        raise ValueError(f"the table of a stream's lexicon may take {max_table_bytes} bytes")
     return score_by_join(tweets, lexicon, text, output)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from moodlens.operators.regions import RegionIndex
 from moodlens.streaming.payload import decode_payload
 from moodlens.streaming.sink import write_stream
-from moodlens.streaming.windows import enrich, window_sentiment
+from moodlens.streaming.store import WindowStore
+from moodlens.streaming.windows import enrich, pane_window_sentiment, window_sentiment
 
 
 def run_live(
@@ -23,9 +24,29 @@ def run_live(
     trigger: dict | None = None,
     measures: Sequence[str] | None = ("mean_sentiment", "max_sentiment", "min_sentiment"),
     event_time: str = "timestamp_logger",
+    panes: bool = False,
     **options: str,
 ) -> StreamingQuery:
-    """Decode, enrich and aggregate a message stream; ``measures=None`` writes the enriched rows themselves."""
+    """Decode, enrich and aggregate a message stream; ``measures=None`` writes the enriched rows themselves.
+
+    With ``panes`` the windows are put together from panes, which keeps the state a fourth as busy.
+    """
     enriched = enrich(decode_payload(messages), lexicon, index, event_time)
-    out = enriched if measures is None else window_sentiment(enriched, measures)
+    windows = pane_window_sentiment if panes else window_sentiment
+    out = enriched if measures is None else windows(enriched, measures)
     return write_stream(out, fmt, checkpoint, path, trigger, **options)
+
+
+def run_live_store(
+    messages: DataFrame,
+    lexicon: DataFrame,
+    index: RegionIndex,
+    store: WindowStore,
+    checkpoint: str,
+    trigger: dict | None = None,
+    event_time: str = "timestamp_logger",
+) -> StreamingQuery:
+    """Decode and enrich a message stream and keep its windows, open ones too, and its late rows in ``store``."""
+    enriched = enrich(decode_payload(messages), lexicon, index, event_time)
+    writer = enriched.writeStream.foreachBatch(store.apply).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()

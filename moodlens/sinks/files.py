@@ -42,14 +42,14 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def to_json_values(df: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+def to_json_values(df: DataFrame, ingest_time: Column | None = None, without: tuple[str, ...] = ()) -> DataFrame:
     """Each row as a JSON text in ``value``, stamped with its ingest time in epoch milliseconds.
 
-    ``ingest_time`` replaces the clock.
+    ``ingest_time`` replaces the clock; columns named in ``without`` stay out of the text.
     """
     stamp = F.unix_millis(F.current_timestamp() if ingest_time is None else ingest_time)
-    stamped = df.withColumn("timestamp_logger", stamp)
-    return stamped.select(F.to_json(F.struct("*"), {"timestampFormat": TIME_FORMAT}).alias("value"))
+    stamped = F.struct(*[F.col(name) for name in df.columns if name not in without], stamp.alias("timestamp_logger"))
+    return df.select(F.to_json(stamped, {"timestampFormat": TIME_FORMAT}).alias("value"))
 
 
 def publish_json(

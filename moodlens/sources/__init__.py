@@ -1,7 +1,7 @@
 """Readers of tweets, users, regions, lexicons and streams."""
 
 from moodlens.sources.lexicon import load_lexicon
-from moodlens.sources.regions import load_regions
+from moodlens.sources.regions import across_antimeridian, load_regions
 from moodlens.sources.tweets import (
     parse_users,
     read_raw_tweets,
@@ -17,6 +17,7 @@ from moodlens.sources.tweets import (
 )
 
 __all__ = [
+    "across_antimeridian",
     "load_lexicon",
     "load_regions",
     "parse_users",

@@ -70,3 +70,36 @@ def regions_from_geojson(
             F.get("point", F.lit(1)).alias("lat"),
         )
     )
+
+
+def across_antimeridian(regions: DataFrame) -> DataFrame:
+    """Regions whose rings cross the 180th meridian, made fit for a test in plain degrees.
+
+    Between two vertices more than 180 degrees apart a ring is taken to go the short way round the globe. Such a ring is drawn on beyond
+    180 or -180, and a copy of it is moved by 360 degrees, so each side of the meridian has its part. A ring around a pole, which does
+    not come back to where it began, is left as it is, and so is every other ring.
+    """
+    ring = Window.partitionBy("ordinal", "ring_id")
+    along = ring.orderBy("seq")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lon = F.col("lon")
+
+    def jump(before: Column) -> Column:
+        return F.when(lon - before > 180, F.lit(-360.0)).when(lon - before < -180, F.lit(360.0)).otherwise(F.lit(0.0))
+
+    # the first vertex follows the last one
+    stepped = regions.withColumn("_jump", jump(F.lag("lon").over(along)))
+    stepped = stepped.withColumns({"_turn": F.sum("_jump").over(along), "_back": F.first(jump(F.last("lon").over(whole))).over(whole)})
+    closed = F.last("_turn").over(whole) + F.col("_back") == 0
+    crossing = closed & (F.max(F.abs("_jump")).over(ring) > 0)
+    drawn = stepped.withColumn("_crosses", crossing).withColumn("lon", F.when(F.col("_crosses"), lon + F.col("_turn")).otherwise(lon))
+    drawn = drawn.withColumns({"_west": F.min("lon").over(ring), "_east": F.max("lon").over(ring)})
+    moves = F.filter(
+        F.array(F.lit(0.0), F.when(F.col("_crosses") & (F.col("_east") > 180), F.lit(-360.0)), F.when(F.col("_crosses") & (F.col("_west") < -180), F.lit(360.0))),
+        lambda move: move.isNotNull(),
+    )
+    copies = drawn.select("*", F.explode(moves).alias("_move"))
+    # copies take numbers beyond those of all rings of their region
+    beyond = F.max("ring_id").over(Window.partitionBy("ordinal")) + 1
+    copies = copies.withColumn("_beyond", beyond).withColumn("ring_id", F.when(F.col("_move") == 0, F.col("ring_id")).otherwise(F.col("ring_id") + F.col("_beyond")))
+    return copies.withColumn("lon", F.col("lon") + F.col("_move")).select(*regions.columns)

@@ -1,6 +1,7 @@
 """Region lookup against a brute-force test with exact fractions."""
 
 import json
+import math
 import random
 from fractions import Fraction
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from moodlens.operators import assign_region, read_index, region_index, write_index
 from moodlens.operators.regions import _entries
 from moodlens.schemas import REGION
-from moodlens.sources.regions import load_regions, regions_from_geojson
+from moodlens.sources.regions import across_antimeridian, load_regions, regions_from_geojson
 
 SQUARE = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
 HOLE = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]
@@ -59,10 +60,10 @@ def lookup(spark, index, locations):
     return [row["region_name"] for row in assign_region(df, index).orderBy("id").collect()]
 
 
-@pytest.mark.parametrize("max_broadcast_entries", [10**6, 0])
+@pytest.mark.parametrize("max_broadcast_bytes", [10**8, 0])
 @pytest.mark.parametrize("cells_per_degree", [1, 4])
-def test_fixed_points(spark, max_broadcast_entries, cells_per_degree):
-    index = region_index(spark.createDataFrame(region_rows(REGIONS), REGION), cells_per_degree, max_broadcast_entries)
+def test_fixed_points(spark, max_broadcast_bytes, cells_per_degree):
+    index = region_index(spark.createDataFrame(region_rows(REGIONS), REGION), cells_per_degree, max_broadcast_bytes)
     cases = {
         "0.5,0.5": "Holed",
         "1.5,1.5": "Unknown",  # in the hole
@@ -105,7 +106,7 @@ def test_random_polygons_equal_brute_force(spark, seed):
     assert len(set(expected)) > 3
     table = spark.createDataFrame(region_rows(regions), REGION)
     assert lookup(spark, region_index(table, 2), locations) == expected
-    assert lookup(spark, region_index(table, 1, max_broadcast_entries=0), locations) == expected
+    assert lookup(spark, region_index(table, 1, max_broadcast_bytes=0), locations) == expected
 
 
 def test_cell_size_must_be_exact(spark):
@@ -121,20 +122,88 @@ def test_inner_cells_carry_no_edges(spark):
     assert cells.count() == 21 * 21
 
 
-def test_crowded_cells_are_cut_up(spark, monkeypatch):
-    teeth = [(i / 64, 0.5 + (i % 2) / 4) for i in range(65)] + [(1.0, 2.0), (0.0, 2.0)]
-    comb = {("Comb", "C"): [teeth]}
+TEETH = [(i / 64, 0.5 + (i % 2) / 4) for i in range(65)] + [(1.0, 2.0), (0.0, 2.0)]
+
+
+def cell_sizes(index):
+    size = "aggregate(candidates, 0, (n, c) -> n + size(c.edges) + size(c.flips))"
+    return {(r["level"], r["cx"], r["cy"]): r["n"] for r in index.cells.selectExpr("level", "cx", "cy", f"{size} as n").collect()}
+
+
+@pytest.mark.parametrize("max_broadcast_bytes", [10**8, 0])
+def test_crowded_cells_are_cut_up(spark, monkeypatch, max_broadcast_bytes):
+    comb = {("Comb", "C"): [TEETH]}
     table = spark.createDataFrame(region_rows(comb), REGION)
-    index = region_index(table, max_cell_entries=20)
-    assert index.cells_per_degree > 2
-    largest = index.cells.selectExpr("max(aggregate(candidates, 0, (n, c) -> n + size(c.edges) + size(c.flips)))").first()[0]
-    assert largest <= 20
+    index = region_index(table, max_broadcast_bytes=max_broadcast_bytes, max_cell_entries=20)
+    assert index.levels >= 2 and max(cell_sizes(index).values()) <= 20
     locations = [f"{0.5 + y / 37},{x / 41}" for x in range(42) for y in range(12)]
-    assert lookup(spark, index, locations) == [brute_force(comb, location) for location in locations]
-    monkeypatch.setattr("moodlens.operators.regions.FINEST_CELLS_PER_DEGREE", 2)
+    locations += [f"{0.5 + y / 64},{x / 256}" for x in range(0, 257, 3) for y in range(18)]
+    expected = [brute_force(comb, location) for location in locations]
+    assert len(set(expected)) == 2
+    assert lookup(spark, index, locations) == expected
+    monkeypatch.setattr("moodlens.operators.regions.FINEST_LEVEL", 1)
     crowded = region_index(table, max_cell_entries=0)
-    assert crowded.cells_per_degree == 2
-    assert lookup(spark, crowded, locations) == [brute_force(comb, location) for location in locations]
+    assert crowded.levels == 1
+    assert lookup(spark, crowded, locations) == expected
+
+
+def test_a_dense_spot_costs_cells_there_alone(spark):
+    """A city of very many edges is cut up below its own cell; the cells elsewhere stay as they are."""
+    country = {("Land", "L"): [[(-20.5, -20.5), (20.5, -20.5), (20.5, 20.5), (-20.5, 20.5)]]}
+    before = cell_sizes(region_index(spark.createDataFrame(region_rows(country), REGION), max_cell_entries=500))
+    i = F.col("id")
+    border = spark.range(100_000).select(
+        F.lit(5).cast("bigint").alias("ordinal"), F.lit("City").alias("region_name"), F.lit("C").alias("region_code"),
+        F.lit(0).alias("ring_id"), i.cast("int").alias("seq"),
+        (3.5 + 0.25 * F.cos(i * 2 * math.pi / 100_000) * (1 + i % 2 / 100)).alias("lon"),
+        (4.5 + 0.25 * F.sin(i * 2 * math.pi / 100_000) * (1 + i % 2 / 100)).alias("lat"),
+    )
+    table = spark.createDataFrame(region_rows(country), REGION).unionByName(border)
+    index = region_index(table, max_cell_entries=500)
+    after = cell_sizes(index)
+    assert max(after.values()) <= 500 and index.levels >= 4
+    elsewhere = lambda cells: {c: n for c, n in cells.items() if c[0] == 0 and c[1:] != (3, 4)}
+    assert elsewhere(after) == elsewhere(before)
+    assert all((cx >> level, cy >> level) == (3, 4) for level, cx, cy in after if level)
+    names = lookup(spark, region_index(table.where("ordinal = 5"), max_cell_entries=500), ["4.5,3.5", "4.5,3.2", "4.5,3.9", "4.74,3.5", "4.7,3.7"])
+    assert names == ["City", "Unknown", "Unknown", "City", "Unknown"]
+
+
+def test_cut_index_reads_back(spark, tmp_path):
+    table = spark.createDataFrame(region_rows({("Comb", "C"): [TEETH]}), REGION)
+    index = region_index(table, max_cell_entries=10)
+    write_index(index, str(tmp_path / "index"))
+    again = read_index(spark, str(tmp_path / "index"))
+    assert (again.levels, again.entries, again.bytes) == (index.levels, index.entries, index.bytes) and index.levels
+    locations = [f"{0.5 + y / 37},{x / 41}" for x in range(42) for y in range(12)]
+    assert lookup(spark, again, locations) == lookup(spark, index, locations)
+
+
+def test_columns_named_like_those_of_the_index_stay(spark):
+    index = region_index(spark.createDataFrame(region_rows(REGIONS), REGION))
+    df = spark.createDataFrame([("0.5,0.5", 7, 8, "old")], "location string, level int, cx int, region_name string")
+    assert assign_region(df, index).select("level", "cx", "region_name").collect() == [(7, 8, "Holed")]
+
+
+def test_rings_across_the_180th_meridian(spark):
+    """Such rings equal the same rings drawn in degrees that run on, at every place on both sides."""
+    wrap = lambda x: x - 360 if x > 180 else x + 360 if x < -180 else x
+    through = {
+        ("East", "E"): [[(170.5, 1.5), (185.0, -3.0), (192.5, 8.0), (178.0, 12.5)], [(179.0, 2.0), (182.0, 2.0), (182.0, 4.0), (179.0, 4.0)]],
+        ("Far", "F"): [[(-186.5, 20.0), (-170.0, 20.0), (-175.5, 31.0)]],
+        ("Plain", "P"): [[(100.0, 0.0), (120.0, 0.0), (120.0, 10.0)]],
+        ("Pole", "O"): [[(-120.0, 70.0), (0.0, 70.0), (120.0, 70.0)]],
+    }
+    short = {key: [[(wrap(x), y) for x, y in ring] for ring in rings] for key, rings in through.items()}
+    both = {
+        key: rings if key[0] in ("Plain", "Pole") else [[(x + move, y) for x, y in ring] for ring in rings for move in (0, 360, -360)]
+        for key, rings in through.items()
+    }
+    index = region_index(across_antimeridian(spark.createDataFrame(region_rows(short), REGION)))
+    locations = [f"{y + 0.25},{x + 0.25}" for y in range(-5, 36, 2) for x in [*range(-180, -160), *range(95, 125, 5), *range(165, 180)]]
+    expected = [brute_force(both, location) for location in locations]
+    assert set(expected) == {"East", "Far", "Plain", "Unknown"}
+    assert lookup(spark, index, locations) == expected
 
 
 def test_wide_ring_has_few_flips(spark):

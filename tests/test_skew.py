@@ -74,7 +74,7 @@ def test_copies_of_a_hot_text_are_split(spark, small_partitions, tweets):
 def test_hot_location_is_spread(spark, small_partitions, tweets, sf_dir):
     regions = fixtures.regions(spark, sf_dir)
     columns = ["tweet_id", "user_id", "region_name"]
-    shuffled = assign_region(tweets, region_index(regions, max_broadcast_entries=0)).select(*columns)
+    shuffled = assign_region(tweets, region_index(regions, max_broadcast_bytes=0)).select(*columns)
     broadcast = assign_region(tweets, region_index(regions)).select(*columns)
     rows, plan = final_plan(shuffled.withColumn("task", F.spark_partition_id()))
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
@@ -113,7 +113,7 @@ def test_copies_without_an_id_are_spread_evenly(spark, no_adaptive, key):
 def test_text_alone_and_location_alone_are_spread(spark, no_adaptive, tweets, sf_dir):
     texts = score_by_join(tweets.select("tweet"), fixtures.lexicon(spark))
     assert max(per_task(texts.where("tweet = 'the best tweet'"))) < 0.6 * ROWS / 2
-    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_entries=0)
+    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_bytes=0)
     places = assign_region(tweets.select("location"), index)
     assert max(per_task(places.where("location = '27.5,-119.0'"))) < 4 * ROWS / 2 / 16
     unread = assign_region(spark.range(ROWS).select(F.concat(F.lit("n/a"), F.col("id") % 2).alias("location")), index)

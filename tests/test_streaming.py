@@ -133,7 +133,7 @@ def test_durable_sinks_need_a_checkpoint(spark, tmp_path):
 
 def test_large_index_on_a_stream(spark, tmp_path, sf_dir, dimensions):
     lexicon, _ = dimensions
-    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_entries=0)
+    index = region_index(fixtures.regions(spark, sf_dir), max_broadcast_bytes=0)
     batch = [json.dumps({"tweet": "x", "location": f"{24 + i / 4},-119.0", "timestamp_logger": i}) for i in range(60)]
     out = run_batches(spark, tmp_path, (lexicon, index), [batch], measures=None)
     expected = enrich(decode_payload(spark.createDataFrame([(m,) for m in batch], "value string")), *dimensions)
@@ -145,7 +145,7 @@ def test_lexicon_beyond_the_inline_bound_is_refused_on_a_stream(spark, tmp_path,
     (tmp_path / "topic").mkdir()
     stream = decode_payload(read_value_stream(spark, "text", str(tmp_path / "topic")))
     with pytest.raises(ValueError):
-        add_sentiment(stream, dimensions[0], max_inline_bytes=3)
+        add_sentiment(stream, dimensions[0], max_table_bytes=3)
 
 
 def test_large_lexicon_on_a_stream(spark, tmp_path, dimensions):

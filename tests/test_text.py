@@ -127,14 +127,14 @@ def test_bad_lexicon_is_refused_at_any_size(spark, row):
     lexicon = spark.createDataFrame([("fine", 0.5), row], LEXICON)
     for max_bytes in (1 << 20, 1):
         with pytest.raises(ValueError):
-            add_sentiment(texts_df(spark, ["fine"]), lexicon, max_inline_bytes=max_bytes)
+            add_sentiment(texts_df(spark, ["fine"]), lexicon, max_table_bytes=max_bytes)
 
 
 def test_lexicon_terms_match_in_any_case(spark):
     lexicon = spark.createDataFrame([("Good", 0.5), ("GOOD", 1.0)], LEXICON)
     df = texts_df(spark, ["good day"])
     for max_bytes in (1 << 20, 1):
-        assert values(add_sentiment(df, lexicon, max_inline_bytes=max_bytes), "tweet_sentiment") == [0.75]
+        assert values(add_sentiment(df, lexicon, max_table_bytes=max_bytes), "tweet_sentiment") == [0.75]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -165,7 +165,7 @@ def test_large_lexicon_is_joined(spark):
     )
     df = texts_df(spark, ["wb wcd", "wzz", "wejj wa wa"])
     inline = add_sentiment(df, lexicon)
-    joined = add_sentiment(df, lexicon, max_inline_bytes=100)
+    joined = add_sentiment(df, lexicon, max_table_bytes=100)
     assert "Join" not in inline._jdf.queryExecution().executedPlan().toString()
     assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
     assert values(inline, "tweet_sentiment") == values(joined, "tweet_sentiment") != [0.0] * 3
