@@ -95,9 +95,8 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array([zlib.crc32(s) % BUCKETS for s in names]), np.append(weight / np.linalg.norm(weight), 1.0)
 
 
-def fit(texts: list[str], targets: np.ndarray) -> np.ndarray:
-    """Weights of the logistic scorer, the last one for the constant, by gradient steps with a momentum."""
-    found = [features(t) for t in texts]
+def fit(found: list[tuple[np.ndarray, np.ndarray]], targets: np.ndarray) -> np.ndarray:
+    """Weights of the logistic scorer, the last one for the constant, by gradient steps with a momentum over hashed features."""
     rows = np.repeat(np.arange(len(found)), [len(a) for a, _ in found])
     at = np.concatenate([a for a, _ in found] or [np.empty(0, np.int64)]).astype(np.int64)
     value = np.concatenate([w for _, w in found] or [np.empty(0)])
@@ -111,6 +110,18 @@ def fit(texts: list[str], targets: np.ndarray) -> np.ndarray:
     return weights
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task that turns texts into their features, a number per bucket at most, beside the votes."""
+    for batch in batches:
+        sums = []
+        for text in batch.column(0).to_pylist():
+            at, value = features(text)
+            used, place = np.unique(at, return_inverse=True)
+            sums.append((used, np.bincount(place, value, len(used))))
+        lists = [pa.array([row[0].astype(np.int32) for row in sums], pa.list_(pa.int32())), pa.array([row[1] for row in sums], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays([*lists, *batch.columns[1:]], ["at", "value", *batch.schema.names[1:]])
+
+
 def _score(weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +136,7 @@ def _score(weights: np.ndarray):
 
 
 def train(docs: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndarray | None:
-    """Weights of the scorer, from the votes on all rows and the texts of about ``fit_rows`` sampled ones; None without rows."""
+    """Weights of the scorer, from the votes on all rows and the hashed features of about ``fit_rows`` sampled ones; None without rows."""
     text = F.coalesce(docs["text"], F.lit(""))
     voted = votes(text)
     patterns = docs.select(*[c.alias(n) for n, c in voted.items()]).groupBy(*voted).count().collect()
@@ -136,18 +147,20 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndarray | None:
     sample = docs.select(text.alias("text"), *[c.alias(n) for n, c in voted.items()])
     if rows > fit_rows:
         sample = sample.sample(fraction=fit_rows / rows, seed=5)
-    taken = sample.limit(2 * fit_rows).toArrow()
+    kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in sample.schema.fields[1:])
+    taken = sample.limit(2 * fit_rows).mapInArrow(_hashed, f"at array<int>, value array<double>, {kinds}").toArrow()
     if not taken.num_rows:
         return None
     seen = np.stack([taken.column(n).to_numpy() for n in voted], 1)
-    return fit(taken.column("text").to_pylist(), posterior(seen, share, chances))
+    lists = (taken.column(n).to_pylist() for n in ("at", "value"))
+    return fit([(np.array(at, np.int64), np.array(value, float)) for at, value in zip(*lists)], posterior(seen, share, chances))
 
 
 def classify_quality(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, score (chance of good quality) and kept (score of at least ``KEEP``).
 
-    All that reaches the driver is the table of vote patterns, at most three to the number of labellers, and the sample of ``fit_rows``
-    texts. A null text counts as empty and gets the score of a text without features. Repeated rows score alike; other columns are
+    All that reaches the driver is the table of vote patterns, at most three to the number of labellers, and of about ``fit_rows`` sampled
+    texts a number per hash bucket they use. A null text counts as empty and gets the score of a text without features. Repeated rows score alike; other columns are
     ignored; an empty table gives no rows.
     """
     weights = train(docs, fit_rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -74,7 +75,7 @@ def _is_aside(tag: str, classes: str, ident: str, inside: bool) -> bool:
 class Block:
     """A run of text between block-level tags."""
 
-    path: str
+    path: int
     home: int
     text: str
     linked: int
@@ -85,15 +86,24 @@ class Block:
 @dataclass
 class _Element:
     tag: str
-    label: str
+    path: int
     content: bool
     home: int
-    number: int = 0
+    #: Position of the innermost block-level element, itself included, its home, and the numbers of the last two of them.
+    block: int
+    block_home: int
+    within: tuple[int, ...]
+
+
+_OUTSIDE = _Element("", 0, True, 0, -1, 0, ())
 
 
 @dataclass
 class _Page:
-    """Open elements and the blocks found so far; text outside content is left out at once."""
+    """Open elements and the blocks found so far; text outside content is left out at once.
+
+    A tag path is a number for the number of the path above and a label, so a page takes no more for being deep.
+    """
 
     stack: list[_Element] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
@@ -102,12 +112,14 @@ class _Page:
     links: int = 0
     homes: int = 0
     elements: int = 0
+    paths: dict[tuple[int, str], int] = field(default_factory=dict)
+    open_tags: Counter = field(default_factory=Counter)
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            place = [e for e in self.stack if e.tag not in INLINE]
-            self.blocks.append(Block("/".join(e.label for e in place), place[-1].home if place else 0, text, self.linked, tuple(e.number for e in place[-2:])))
+            last = self.stack[-1] if self.stack else _OUTSIDE
+            self.blocks.append(Block(last.path, last.block_home, text, self.linked, last.within))
         self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
@@ -121,7 +133,7 @@ class _Page:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
         classes, ident = f"{found.get('class', '')} {found.get('role', '')}".lower(), found.get("id", "").lower()
         names = f"{found.get('class', '')} {ident} {found.get('role', '')}".lower()
-        above = self.stack[-1] if self.stack else _Element("", "", True, 0)
+        above = self.stack[-1] if self.stack else _OUTSIDE
         unseen = bool(found) and ("hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
         marked = names != "  " and tag not in ("html", "body", "main") and _is_aside(tag, classes, ident, above.home > 0)
         page_header = tag == "header" and not above.home
@@ -133,10 +145,17 @@ class _Page:
         first_name = names.split()[0] if names.strip() else ""
         self.links += tag == "a"
         self.elements += 1
-        self.stack.append(_Element(tag, f"{tag}.{first_name}" if first_name else tag, content, home, self.elements))
+        self.open_tags[tag] += 1
+        if tag in INLINE:
+            self.stack.append(_Element(tag, above.path, content, home, above.block, above.block_home, above.within))
+            return
+        path = self.paths.setdefault((above.path, f"{tag}.{first_name}" if first_name else tag), len(self.paths) + 1)
+        self.stack.append(_Element(tag, path, content, home, len(self.stack), home, (*above.within[-1:], self.elements)))
 
     def close_above(self, at: int) -> None:
-        self.links -= sum(e.tag == "a" for e in self.stack[at:])
+        for element in self.stack[at:]:
+            self.open_tags[element.tag] -= 1
+            self.links -= element.tag == "a"
         del self.stack[at:]
 
     def start(self, tag: str, attributes: str) -> None:
@@ -145,12 +164,12 @@ class _Page:
             return
         if tag not in INLINE:
             self.end_block()
-            at = next((k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k].tag == "p" or self.stack[k].tag not in INLINE), -1)
+            at = self.stack[-1].block if self.stack else -1
             if at >= 0 and self.stack[at].tag == "p" and tag not in VOID:
                 self.close_above(at)
             ends, stops = ENDS.get(tag, ((), ()))
-            for k in range(len(self.stack) - 1, -1, -1):
-                if not ends or self.stack[k].tag in stops:
+            for k in range(len(self.stack) - 1, -1, -1) if any(self.open_tags[t] for t in ends) else ():
+                if self.stack[k].tag in stops:
                     break
                 if self.stack[k].tag in ends:
                     self.close_above(k)
@@ -161,9 +180,12 @@ class _Page:
     def end(self, tag: str) -> None:
         if tag not in INLINE:
             self.end_block()
-        at = next((k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k].tag == tag), -1)
+        if not self.open_tags[tag]:
+            return
         # an inline end tag does not close block-level elements
-        if at >= 0 and (tag not in INLINE or all(e.tag in INLINE for e in self.stack[at:])):
+        least = self.stack[-1].block if tag in INLINE else -1
+        at = next((k for k in range(len(self.stack) - 1, least, -1) if self.stack[k].tag == tag), -1)
+        if at >= 0:
             self.close_above(at)
 
 
@@ -207,7 +229,7 @@ def select_blocks(blocks: list[Block]) -> list[Block]:
     """
     if not blocks:
         return []
-    totals: dict[str, np.ndarray] = {}
+    totals: dict[int, np.ndarray] = {}
     sizes = np.array([len(b.text) for b in blocks], float)
     for b in blocks:
         totals[b.path] = totals.get(b.path, np.zeros(4)) + (len(b.text), len(PUNCTUATION.findall(b.text)), 1, b.linked)

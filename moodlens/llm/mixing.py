@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.llm.shared import join_hot, ranked, row_key, rows_with, word_count
+from moodlens.llm.shared import global_rank, join_hot, ranked, row_key, rows_with, running, word_count
 from moodlens.session import checkpointed
 
 #: No document is taken more often than this.
@@ -23,17 +23,20 @@ def source_targets(sizes: DataFrame, weight: Column) -> DataFrame:
     A target stops at ``MAX_COPIES`` times the size of its source; what is above is shared again by weight among the rest. The sources
     that stop come first by limit per weight, so running sums over that order give the level at which the others share.
     """
-    limit = MAX_COPIES * F.col("source_size").cast("double")
-    rows = sizes.withColumn("_w", weight.cast("double")).withColumn("_c", limit)
-    order = Window.partitionBy(F.lit(0)).orderBy((F.col("_c") / F.col("_w")), "place")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    total = F.sum(F.col("source_size").cast("double")).over(Window.partitionBy(F.lit(0)))
-    level = (total - F.coalesce(F.sum("_c").over(before), F.lit(0.0))) / F.sum("_w").over(after)
-    levels = rows.withColumn("_level", level).withColumn("_stops", F.col("_level") * F.col("_w") > F.col("_c"))
+    size, limit = F.col("source_size").cast("double"), MAX_COPIES * F.col("source_size").cast("double")
+    rows = sizes.withColumns({"_w": weight.cast("double"), "_c": limit})
+    total, weights = rows.agg(F.sum(size), F.sum("_w")).first()
+    by_limit = F.col("_c") / F.col("_w")
+    levels = running(rows, [by_limit.asc(), F.col("place").asc()], {"_limits": F.col("_c"), "_weights": F.col("_w")})
+    # what the sources before leave, by weight among this one and those after
+    left = F.lit(total) - F.col("_limits") + F.col("_c")
+    levels = levels.withColumn("_level", left / (F.lit(weights) - F.col("_weights") + F.col("_w")))
+    levels = checkpointed(levels.withColumn("_stops", F.col("_level") * F.col("_w") > F.col("_c")))
     # the first source that does not stop sets the level of all that follow
-    shared = F.min(F.when(~F.col("_stops"), F.struct(F.col("_c") / F.col("_w"), F.col("place"), F.col("_level")))).over(Window.partitionBy(F.lit(0)))
-    target = F.when(F.col("_stops"), F.col("_c")).otherwise(F.least(F.col("_c"), shared["_level"] * F.col("_w")))
-    return levels.withColumn("target", target).drop("_w", "_c", "_level", "_stops")
+    first = levels.filter(~F.col("_stops")).agg(F.min(F.struct(by_limit, F.col("place"), F.col("_level").alias("level"))).alias("first")).first()["first"]
+    shared = F.lit(first["level"] if first else None).cast("double")
+    target = F.when(F.col("_stops"), F.col("_c")).otherwise(F.least(F.col("_c"), shared * F.col("_w")))
+    return levels.withColumn("target", target).drop("_w", "_c", "_level", "_stops", "_limits", "_weights")
 
 
 def _rate(tilt: Column, z: Column) -> Column:
@@ -104,9 +107,8 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], keyed: bool) -> DataFrame:
     key = row_key(docs, "source") if keyed else F.lit(None).cast("string")
     sized = checkpointed(docs.select(F.col("doc_id"), "source", word_count(docs["text"]).alias("size"), key.alias("_key")))
     sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    turn = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
-    places = sources.withColumn("place", F.row_number().over(turn) - 1)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(F.col("place"), F.lit(len(weights))) + 1)
+    places = global_rank(sources, [F.col("source").asc_nulls_last()], "place").withColumn("place", F.col("place") - 1)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("place"), F.lit(len(weights))) + 1).cast("int"))
     targets = checkpointed(source_targets(places, weight))
 
     counted = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
@@ -117,7 +119,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], keyed: bool) -> DataFrame:
     tilts = solve_tilts(dealt, targets.filter("target > 0"))
     rate = F.when(F.col("full"), F.lit(float(MAX_COPIES))).otherwise(_rate(F.col("tilt"), F.col("size") / F.col("mean")))
     rated = dealt.join(tilts.select("place", "tilt", "mean", "full"), "place").select("place", "size", "n", rate.alias("rate"))
-    rounded = rated.groupBy("place").applyInPandas(_round_sizes, "place int, size long, n long, copies long")
+    rounded = rated.groupBy("place").applyInPandas(_round_sizes, "place long, size long, n long, copies long")
     plan = groups.join(rounded.select("place", "size", "copies"), ["place", "size"], "left")
     plan = plan.select(F.col("source").alias("_source"), F.col("size").alias("_size"), "place", "source_size", "target", F.coalesce("copies", F.lit(0)).cast("long").alias("all_copies"), "n")
     return _deal(sized, checkpointed(plan))

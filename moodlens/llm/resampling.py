@@ -10,10 +10,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.llm.shared import sliced
+from moodlens.llm.shared import global_rank, sliced
 from moodlens.session import checkpointed
 
 #: Hash buckets of the features, words a drawn document has at least, percentage that is drawn, seed of the draw.
@@ -106,26 +106,6 @@ def score_documents(docs: DataFrame, gains: np.ndarray, seed: int = SEED) -> Dat
     return texts.mapInArrow(_score(gains, seed), "doc_id long, n_words long, n_features long, weight long, score long")
 
 
-def global_rank(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add ``name``, the rank from 1 of every row in ``order``, which must tell all rows apart.
-
-    Rows are dealt to ranges of the order and numbered within them by many tasks; a range starts where those before it end.
-    """
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    # the upper bits of this number are the partition, the lower ones the place in it
-    placed = checkpointed(sorted_rows.withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).collect()
-    starts, before = [], 0
-    for number, n in sorted((row["_part"], row["_n"]) for row in sizes):
-        starts.append((number, before))
-        before += n
-    offsets = placed.sparkSession.createDataFrame(starts, "_part long, _start long")
-    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    rank = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return joined.select(*rows.columns, rank.cast("long").alias(name))
-
-
 def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, least_words: int = LEAST_WORDS, percent: int = PERCENT, seed: int = SEED) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_features, weight, score, rank.
 

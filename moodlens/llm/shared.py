@@ -8,6 +8,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from moodlens.session import checkpointed
+
 # fixed values: the blanks that separate words, the word pattern, the letters that are lower-cased
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -130,3 +132,42 @@ def one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """One row of ``docs`` for each ``row_key`` in ``keys``, columns unchanged; only rows that have copies are compared with each other."""
     found = rows_with(docs, keys).select("_row", "_key", "_n")
     return found.filter("_n = 1").union(found.filter("_n > 1").dropDuplicates(["_key"])).select("_row.*")
+
+
+def _in_ranges(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """``rows`` dealt to ranges of ``order`` and sorted within them: ``_part`` numbers the ranges, ``_at`` rises along each."""
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # written once, so that every task sees the same places; the upper bits of the number are the partition, the lower ones the place
+    placed = checkpointed(placed.withColumn("_at", F.monotonically_increasing_id()))
+    return placed.withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+
+
+def _with_starts(placed: DataFrame, sums: list[str]) -> DataFrame:
+    """Add ``_start_<name>``, the sum of each column over all ranges before; a row per range reaches the driver."""
+    kinds = dict(placed.dtypes)
+    starts, before = [], {name: 0.0 if kinds[name] == "double" else 0 for name in sums}
+    for total in placed.groupBy("_part").agg(*[F.sum(name).alias(name) for name in sums]).orderBy("_part").collect():
+        starts.append((total["_part"], *before.values()))
+        before = {name: value + (total[name] or 0) for name, value in before.items()}
+    schema = "_part long, " + ", ".join(f"_start_{name} {kinds[name]}" for name in sums)
+    return placed.join(F.broadcast(placed.sparkSession.createDataFrame(starts, schema)), "_part")
+
+
+def global_rank(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add ``name``, the rank from 1 of every row in ``order``, which must tell all rows apart.
+
+    Rows are dealt to ranges of the order and numbered within them by many tasks; a range starts where those before it end.
+    """
+    placed = _with_starts(_in_ranges(rows, order).withColumn("_one", F.lit(1).cast("long")), ["_one"])
+    return placed.select(*rows.columns, (F.col("_start__one") + F.col("_at") + 1).cast("long").alias(name))
+
+
+def running(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Add the running totals ``sums`` (not null) of ``rows`` in ``order``, which must tell all rows apart; each includes the row itself.
+
+    The totals run within ranges of the order, by many tasks, on top of those of the ranges before.
+    """
+    placed = _with_starts(_in_ranges(rows.withColumns(sums), order), list(sums))
+    along = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = [(F.col(f"_start_{name}") + F.sum(name).over(along)).alias(name) for name in sums]
+    return placed.select(*[name for name in rows.columns if name not in sums], *totals)

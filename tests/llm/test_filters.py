@@ -293,3 +293,16 @@ def test_extraction_of_odd_rows(spark):
     got = extract_main_text(pages).collect()
     assert sorted(r["n_chars"] for r in got) == [0, 0, 0, 299_999]
     assert extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_deep_pages_take_linear_time():
+    """Pages of tens of thousands of open elements, as broken templates make them."""
+    import time
+
+    from moodlens.llm.extraction import main_text
+
+    start = time.perf_counter()
+    n = 32_000
+    for page in ("<div>text" * n, "<b>text" * n + "</i>" * n, "<div>" * n + "<p>text</p>" * n, "<b><div>text</b>" * n, "<b>" * n + "<hr>text" * n):
+        assert len(main_text(page)) >= 4 * n
+    assert time.perf_counter() - start < 30

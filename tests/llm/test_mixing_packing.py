@@ -12,7 +12,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from conftest import make_docs
-from moodlens.llm.mixing import mix, mix_documents
+from pyspark.sql import functions as F
+
+from moodlens.llm.mixing import mix, mix_documents, source_targets
 from moodlens.llm.packing import TextEncoder, pack, plan_packing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -161,3 +163,25 @@ def test_plans_use_every_piece_once(seed):
 
 def test_exact_complements_are_used():
     assert sorted(plan_packing({60: 2, 4: 2, 40: 1, 20: 1, 30: 1, 16: 1, 10: 1, 8: 1}, 64)) == sorted([((60, 4), 2), ((40, 16, 8), 1), ((30, 20, 10), 1)])
+
+
+def test_targets_of_many_sources(spark):
+    """Targets by water filling over ranges of the sources equal a plain loop."""
+    random.seed(6)
+    sizes = [random.choice((0, 1, 5, 40, 1000)) + random.random() for _ in range(3000)]
+    weights = [1 + k % 3 for k in range(3000)]
+    rows = spark.createDataFrame([(k, float(s)) for k, s in enumerate(sizes)], "place long, source_size double")
+    found = source_targets(rows, F.pmod(F.col("place"), F.lit(3)) + 1)
+    open_, left, wanted = set(range(3000)), sum(sizes), {}
+    while True:
+        level = left / sum(weights[k] for k in open_)
+        full = {k for k in open_ if level * weights[k] > 3 * sizes[k]}
+        if not full:
+            break
+        for k in full:
+            wanted[k] = 3 * sizes[k]
+        left -= sum(wanted[k] for k in full)
+        open_ -= full
+    wanted |= {k: level * weights[k] for k in open_}
+    got = {r["place"]: r["target"] for r in found.collect()}
+    assert all(abs(got[k] - wanted[k]) <= 1e-6 * max(1, wanted[k]) for k in wanted) and len(got) == 3000
