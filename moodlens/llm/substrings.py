@@ -158,7 +158,7 @@ def substring_dedup(docs: DataFrame, block: int = BLOCK, gram: int = GRAM) -> Da
     shared = checkpointed(shared)
     found = join_hot(maybe_in(signed, shared, "sign"), shared, ["sign"], "n", "key").filter("n is not null")
     suspects = checkpointed(found.groupBy("doc_id", "key").agg(F.collect_set("sign").alias("signs")))
-    held = checkpointed(maybe_in(texts.filter("text is not null"), suspects, "key").join(suspects, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]))
+    held = checkpointed(maybe_in(texts.filter("text is not null"), suspects, "key").join(suspects, ["doc_id", "key"]))
 
     hashed = held.select("doc_id", "key", "text", "signs").mapInArrow(_blocks(block, gram), "doc_id long, key long, at int, x long, y long")
     blocks = checkpointed(hashed)
@@ -167,6 +167,8 @@ def substring_dedup(docs: DataFrame, block: int = BLOCK, gram: int = GRAM) -> Da
     owned = join_hot(maybe_in(blocks, index, "x"), index, ["x", "y"], "n", "key").filter("owner < doc_id")
     starts = owned.groupBy("doc_id", "key").agg(F.collect_set("at").alias("starts"))
     trimmed = held.select("doc_id", "key", "text").join(starts, ["doc_id", "key"]).mapInArrow(_trim(block), "doc_id long, key long, cut long, left_sha string")
+    # copies of a row, text and id, were trimmed alike
+    trimmed = trimmed.dropDuplicates(["doc_id", "key"])
 
     nothing = hashlib.sha256(b"").hexdigest()
     whole = rows.select("doc_id", "key", "n_words", "sha", "copy").join(trimmed, ["doc_id", "key"], "left")
