@@ -6,6 +6,7 @@ Each query is put together from the common tables it needs.
 from __future__ import annotations
 
 from moodlens.catalog.fixtures import LEXICON_ROWS, RING_VERTICES
+from moodlens.functions.stem import STEP_2, STEP_3, STEP_4
 from moodlens.operators.terms import STOP_WORDS
 
 
@@ -430,3 +431,73 @@ ORACLE_SQL |= {
         ts=_MS,
     ),
 }
+
+
+def _count_of_runs(text: str) -> str:
+    """How often a consonant follows a run of vowels."""
+    kinds = f"regexp_replace(regexp_replace({text}, '[aeiouy]+', '1', 'g'), '[^1]+', '0', 'g')"
+    return f"(length({kinds}) - length(replace({kinds}, '10', ''))) // 2"
+
+
+def _rule(suffix: str, ending: str, least: int, more: str = "") -> str:
+    front = f"left(w, {-len(suffix)})"
+    return f"when suffix(w, '{suffix}') {more} then case when {_count_of_runs(front)} >= {least} then {front} || '{ending}' else w end"
+
+
+def _rules(rules, least: int) -> str:
+    return " ".join(_rule(suffix, ending, least) for suffix, ending in sorted(rules, key=lambda rule: -len(rule[0])))
+
+
+_FRONT = "left(w, -1)"
+_SHORT = f"regexp_matches({_FRONT}, '[^aeiouy][aeiouy][^aeiouywxY]$')"
+_TWICE = f"left(right({_FRONT}, 2), 1) = right({_FRONT}, 1) and length({_FRONT}) > 1"
+_HAS_VOWEL = "regexp_matches({}, '[aeiouy]')"
+
+# what each step makes of the word w; a trailing sign marks a word that lost -ed or -ing
+_STEM_STEPS = (
+    "case when suffix(w, 'sses') or suffix(w, 'ies') then left(w, -2) when suffix(w, 's') and not suffix(w, 'ss') then left(w, -1) else w end",
+    f"""case when suffix(w, 'eed') then case when {_count_of_runs("left(w, -3)")} > 0 then left(w, -1) else w end
+             when suffix(w, 'ed') then case when {_HAS_VOWEL.format("left(w, -2)")} then left(w, -2) || '+' else w end
+             when suffix(w, 'ing') and {_HAS_VOWEL.format("left(w, -3)")} then left(w, -3) || '+' else w end""",
+    f"""case when not suffix(w, '+') then w
+             when suffix(w, 'at+') or suffix(w, 'bl+') or suffix(w, 'iz+') then {_FRONT} || 'e'
+             when {_TWICE} and not regexp_matches({_FRONT}, '[aeiouylsz]$') then left(w, -2)
+             when {_count_of_runs(_FRONT)} = 1 and {_SHORT} then {_FRONT} || 'e' else {_FRONT} end""",
+    f"case when lower(right(w, 1)) = 'y' and {_HAS_VOWEL.format(_FRONT)} then {_FRONT} || 'i' else w end",
+    f"case {_rules(STEP_2, 1)} else w end",
+    f"case {_rules(STEP_3, 1)} else w end",
+    f"""case {_rule("ion", "", 2, "and regexp_matches(w, '[st]ion$')")}
+             {_rules([(suffix, "") for suffix in STEP_4 if suffix != "ion"], 2)} else w end""",
+    f"case when suffix(w, 'e') and ({_count_of_runs(_FRONT)} > 1 or {_count_of_runs(_FRONT)} = 1 and not {_SHORT}) then {_FRONT} else w end",
+    f"case when suffix(w, 'll') and {_count_of_runs('w')} > 1 then {_FRONT} else w end",
+)
+
+
+def _stems() -> str:
+    word = "case when regexp_full_match(term, '[a-z]{3,}') then regexp_replace(term, '(^|[aeiouy])y', '\\1Y', 'g') end"
+    query = f"select term, count, {word} as w from counted"
+    for step in _STEM_STEPS:
+        query = f"select term, count, {step} as w from ({query})"
+    return f"select coalesce(lower(w), term) as term, count from ({query})"
+
+
+_TERMS = r"""select term, count(*) as count from (
+               select unnest(regexp_extract_all(lower(tweet), '[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)*')) as term from tweets) group by term"""
+_REUSED = """select case when cast(tweet_id as bigint) % 3 = 0 then '7' when location <> 'n/a' then user_id end as user_id,
+                    tweet_id, tweet, "timestamp", location from tweets"""
+
+ORACLE_SQL |= {
+    "stemmed_term_counts": _with(
+        ("tweets",),
+        f"""select term, cast(sum(count) as bigint) as count from (with counted as ({_TERMS}) {_stems()})
+            where term not in ({', '.join(f"'{word}'" for word in STOP_WORDS)}) group by term""",
+    ),
+    "clustered_store": _with(("tweets",), _REUSED),
+    "clustered_tweets_of_user": _with(("tweets",), f"select * from ({_REUSED}) where user_id = '7'"),
+    "clustered_user_join": _with(
+        ("tweets",),
+        f"""select u.user_id, u.latitude, u.longitude, t.tweet_id, t.tweet, t."timestamp",
+            concat(cast(u.latitude as varchar), ',', cast(u.longitude as varchar)) as location
+            from ({_USERS}) u join ({_REUSED}) t on t.user_id = u.user_id""",
+    ),
+}

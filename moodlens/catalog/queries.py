@@ -24,6 +24,7 @@ from moodlens.operators import (
     sentiment_by_length,
     sentiment_by_location,
     sentiment_by_state,
+    stemmed_term_counts,
     term_counts,
     write_index,
 )
@@ -40,7 +41,19 @@ from moodlens.plans import (
 )
 from moodlens.schemas import RESULT_KEYS
 from moodlens.session import discard, pin_session, scratch_path
-from moodlens.sinks import bulk_load, conform, publish_json, read_loaded, read_store, to_json_values, upsert_parquet, write_tsv
+from moodlens.sinks import (
+    ClusteredStore,
+    bulk_load,
+    conform,
+    join_users_clustered,
+    publish_json,
+    read_loaded,
+    read_store,
+    to_json_values,
+    upsert_parquet,
+    write_clustered,
+    write_tsv,
+)
 from moodlens.sinks.files import unescaped
 from moodlens.sources import across_antimeridian, load_regions, parse_users, read_tweets, sample_for_replay, split_raw_tweets, tweets_of_user
 from moodlens.sources.tweets import REJECTED
@@ -60,6 +73,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 USER = "7"
 # degrees that bring the middle of the regions to the 180th meridian
 MOVED_EAST = 275
+# for 128 MB a bucket, as many as the table has blocks of that size
+STORE_BUCKETS = 16
 
 
 def _naive(column: Column | str) -> Column:
@@ -477,6 +492,31 @@ def index_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_counts(_tweets(spark, sf_dir))
 
 
+def index_stem_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stemmed_term_counts(_tweets(spark, sf_dir))
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> ClusteredStore:
+    """A store of the tweets by user; those of every third event are given to one user, and those of an error to none."""
+    event = F.col("tweet_id").cast("bigint")
+    user = F.when(event % 3 == 0, F.lit(USER)).when(F.col("location") != "n/a", F.col("user_id"))
+    tweets = _tweets(spark, sf_dir).withColumn("user_id", user)
+    return write_clustered(tweets, scratch_path(spark, "clustered"), STORE_BUCKETS)
+
+
+def clustered_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clustered(spark, sf_dir).all_rows().withColumn("timestamp", _naive("timestamp"))
+
+
+def clustered_tweets_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clustered(spark, sf_dir).of_key(USER).withColumn("timestamp", _naive("timestamp"))
+
+
+def clustered_user_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = join_users_clustered(parse_users(fixtures.user_lines(spark, sf_dir)), _clustered(spark, sf_dir))
+    return joined.withColumn("timestamp", _naive("timestamp"))
+
+
 QUERIES: dict[str, Query] = {
     "sentiment_by_state": by_state,
     "sentiment_by_state_two_level": by_state_two_level,
@@ -530,4 +570,8 @@ QUERIES: dict[str, Query] = {
     "stream_large_lexicon": stream_large_lexicon,
     "stream_upsert": stream_upsert,
     "stream_late_quarantine": stream_late_quarantine,
+    "stemmed_term_counts": index_stem_counts,
+    "clustered_store": clustered_store,
+    "clustered_tweets_of_user": clustered_tweets_of_user,
+    "clustered_user_join": clustered_user_join,
 }

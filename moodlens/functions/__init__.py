@@ -2,6 +2,7 @@
 
 from moodlens.functions.location import latitude, longitude
 from moodlens.functions.polarity import SlotTable, polarity, slot_table
+from moodlens.functions.stem import stem
 from moodlens.functions.text import clean_text, index_terms, length_bucket, sentiment_tokens
 from moodlens.functions.timeparts import day_name, day_of_week
 
@@ -17,4 +18,5 @@ __all__ = [
     "polarity",
     "sentiment_tokens",
     "slot_table",
+    "stem",
 ]

@@ -15,7 +15,7 @@ from moodlens.operators.facets import (
 from moodlens.operators.joins import join_users_tweets
 from moodlens.operators.regions import RegionIndex, assign_region, read_index, region_index, write_index
 from moodlens.operators.sentiment import add_sentiment
-from moodlens.operators.terms import term_counts
+from moodlens.operators.terms import stemmed_term_counts, term_counts
 
 __all__ = [
     "FACETS",
@@ -34,6 +34,7 @@ __all__ = [
     "sentiment_by_location",
     "sentiment_by_state",
     "split_summary",
+    "stemmed_term_counts",
     "term_counts",
     "write_index",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodlens.functions.stem import stem
 from moodlens.functions.text import index_terms
 
 # The English stop words of the text index.
@@ -25,3 +26,13 @@ def term_counts(tweets: DataFrame, text: str = "tweet") -> DataFrame:
         .groupBy("term")
         .agg(F.count("*").alias("count"))
     )
+
+
+def stemmed_term_counts(tweets: DataFrame, text: str = "tweet") -> DataFrame:
+    """How often each stem occurs. As in the text index, stop words are looked for after stemming, so ``this`` stays as ``thi``.
+
+    Terms are counted before they are stemmed: each distinct term is stemmed once, however often it occurs.
+    """
+    terms = tweets.select(F.explode(index_terms(text)).alias("term")).groupBy("term").agg(F.count("*").alias("count"))
+    stems = terms.select(stem("term").alias("term"), "count").groupBy("term").agg(F.sum("count").alias("count"))
+    return stems.where(~F.col("term").isin(*STOP_WORDS))
