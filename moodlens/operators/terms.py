@@ -34,5 +34,6 @@ def stemmed_term_counts(tweets: DataFrame, text: str = "tweet") -> DataFrame:
     Terms are counted before they are stemmed: each distinct term is stemmed once, however often it occurs.
     """
     terms = tweets.select(F.explode(index_terms(text)).alias("term")).groupBy("term").agg(F.count("*").alias("count"))
-    stems = terms.select(stem("term").alias("term"), "count").groupBy("term").agg(F.sum("count").alias("count"))
+    # exploded, as the filter below would otherwise be pushed down with a second copy of the stemming
+    stems = terms.select(F.explode(F.array(stem("term"))).alias("term"), "count").groupBy("term").agg(F.sum("count").alias("count"))
     return stems.where(~F.col("term").isin(*STOP_WORDS))
