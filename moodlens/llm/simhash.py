@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 TILE = 8192
 #: Numbers in a block of the comparison, so that it stays in the processor's cache.
 BLOCK = 1 << 16
+#: Blocks that a fingerprint is put in at most, if the radius allows.
+MOST_MASKS = 64
 
 
 def fingerprint(body: bytes, shingle: int = SHINGLE) -> int:
@@ -60,17 +63,24 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -
 def tile_links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
     """Links between the fingerprints of two tiles, as many as it takes to connect all that are within the radius.
 
-    All pairs are compared, a block at a time; of the links found only those are kept that join parts not yet connected.
+    Both tiles are sorted by population count, and a block of one meets only those of the other whose counts are within the radius.
+    Of the links found only those are kept that join parts not yet connected.
     """
+    a = a[np.argsort(np.bitwise_count(a), kind="stable")]
+    b = a if same else b[np.argsort(np.bitwise_count(b), kind="stable")]
+    ones_a, ones_b = np.bitwise_count(a).astype(np.int64), np.bitwise_count(b).astype(np.int64)
     part = np.arange(len(a) if same else len(a) + len(b))
     shift = 0 if same else len(a)
     links = []
     step = max(1, BLOCK // max(1, len(b)))
     for at in range(0, len(a), step):
-        near = np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius
+        mine_ones = ones_a[at : at + step]
+        low, high = np.searchsorted(ones_b, (mine_ones[0] - radius, mine_ones[-1] + radius + 1))
+        low = max(low, at) if same else low
+        near = np.bitwise_count(a[at : at + step, None] ^ b[None, low:high]) <= radius
         hit = near.sum(axis=1) > (1 if same else 0)
         for i in np.flatnonzero(hit):
-            found = np.flatnonzero(near[i])
+            found = np.flatnonzero(near[i]) + low
             mine = part[at + i]
             others = part[found + shift]
             for other in np.unique(others[others != mine]):
@@ -83,43 +93,61 @@ def tile_links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tu
 def _compare(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            links = []
             for k in range(batch.num_rows):
-                a, b = (batch.column(c)[k].values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in (0, 1))
-                links = tile_links(a, b, batch.column(2)[k].as_py(), radius)
-                if links:
-                    u, v = np.array(links, np.uint64).T.copy().view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                a, b = (batch.column(c)[k].values for c in (0, 1))
+                a, b = (None if x is None else x.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for x in (a, b))
+                links += tile_links(a, a if b is None else b, b is None, radius)
+            if links:
+                u, v = np.array(links, np.uint64).T.copy().view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return run
 
 
+def block_masks(n: int, radius: int, tile: int = TILE) -> list[int]:
+    """Masks of which fingerprints within ``radius`` bits agree under one at least.
+
+    Of ``radius + k`` parts of the 64 bits, ``radius`` differing bits leave ``k`` alike, so there is a mask for every choice of ``k``. With
+    a larger ``k`` there are more masks of more bits each; the smallest one is taken for which ``n`` evenly spread fingerprints come to a
+    tile a block, as long as there are at most ``MOST_MASKS``.
+    """
+    masks = [0]
+    for k in range(1, 65 - radius):
+        if math.comb(radius + k, k) > MOST_MASKS and k > 1:
+            break
+        ends = [64 * i // (radius + k) for i in range(radius + k + 1)]
+        parts = [(1 << high) - (1 << low) for low, high in zip(ends, ends[1:])]
+        masks = [sum(chosen) for chosen in combinations(parts, k)]
+        if n <= tile << min(m.bit_count() for m in masks):
+            break
+    return masks
+
+
 def close_pairs(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Links (u, v) that connect all distinct fingerprints of ``prints`` within ``radius`` bits of each other.
 
-    A tile holds fingerprints with the same population counts of both halves, in chunks of about ``tile``. Two fingerprints differ in at
-    least as many bits as their population counts do, half by half, so a tile meets only tiles whose counts differ by no more than the
-    radius in all; the other tile pairs are skipped. The table of tiles has at most 33 x 33 rows.
+    Fingerprints meet only in blocks, one for each mask of ``block_masks`` and value under it; two within the radius share one. A block
+    of up to ``tile`` fingerprints is a tile. A crowded one is cut by population count, and each count in chunks of about ``tile``; its
+    tiles meet those whose counts differ by no more than the radius, the other tile pairs are skipped.
     """
-    half = lambda x: F.bit_count(x).cast("int")
-    low, high = half(F.col("print").bitwiseAND(F.lit(0xFFFFFFFF))), half(F.shiftrightunsigned("print", 32))
-    counted = prints.select("print", low.alias("low"), high.alias("high"))
-    sizes = {(r["low"], r["high"]): math.ceil(r["count"] / tile) for r in counted.groupBy("low", "high").count().collect()}
-    if not sizes:
-        return prints.select(F.col("print").alias("u"), F.col("print").alias("v")).limit(0)
-    pairs_of_literals = [F.lit(x) for (p, q), n in sorted(sizes.items()) for x in (p * 64 + q, n)]
-    chunks = F.create_map(*pairs_of_literals)
-    cell = F.col("low") * 64 + F.col("high")
-    dealt = counted.select("print", "low", "high", F.pmod(F.xxhash64("print"), F.element_at(chunks, cell)).cast("int").alias("chunk"))
-    tiles = checkpointed(dealt.groupBy("low", "high", "chunk").agg(F.collect_list("print").alias("prints")))
-    steps = [(p, q) for p in range(-radius, radius + 1) for q in range(-radius, radius + 1) if abs(p) + abs(q) <= radius and (p, q) >= (0, 0)]
-    step = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in steps]))
-    left = tiles.select("low", "high", F.col("chunk").alias("own"), F.col("prints").alias("a"), step.alias("step"))
-    other = left.select((F.col("low") + F.col("step.p")).alias("low"), (F.col("high") + F.col("step.q")).alias("high"), "own", "a", ((F.col("step.p") == 0) & (F.col("step.q") == 0)).alias("home"))
-    other = other.withColumn("chunks", F.try_element_at(chunks, cell)).filter("chunks is not null")
-    other = other.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("not home or chunk >= own")
-    met = other.join(tiles.withColumnRenamed("prints", "b"), ["low", "high", "chunk"])
-    met = met.select("a", "b", (F.col("home") & (F.col("chunk") == F.col("own"))).alias("same"))
-    return met.mapInArrow(_compare(radius), "u long, v long")
+    masks = [m - (1 << 64) if m >> 63 else m for m in block_masks(prints.count(), radius, tile)]
+    shared = F.explode(F.array(*[F.struct(F.lit(k).alias("part"), F.col("print").bitwiseAND(F.lit(m).cast("long")).alias("value")) for k, m in enumerate(masks)]))
+    blocks = prints.select("print", F.bit_count("print").cast("int").alias("ones"), shared.alias("block")).select("print", "ones", "block.*")
+    sizes = blocks.groupBy("part", "value", "ones").agg(F.count("*").alias("n"))
+    chunks = F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("chunks"))))
+    crowded = sizes.groupBy("part", "value").agg(F.sum("n").alias("n"), chunks.alias("chunks")).filter(F.col("n") > tile)
+    dealt = join_hot(blocks, checkpointed(crowded), ["part", "value"], "n", "print")
+    cut = lambda column, whole: F.when(F.col("n").isNull(), whole).otherwise(column).cast("int")
+    chunk = F.pmod(F.xxhash64("print"), F.try_element_at("chunks", F.col("ones")))
+    dealt = dealt.select("part", "value", cut(F.col("ones"), -1).alias("ones"), cut(chunk, 0).alias("chunk"), "chunks", "print")
+    tiles = checkpointed(dealt.groupBy("part", "value", "ones", "chunk").agg(F.collect_list("print").alias("prints"), F.first("chunks").alias("chunks")).filter("chunks is not null or size(prints) > 1"))
+    alone = tiles.filter("size(prints) > 1").select(F.col("prints").alias("a"), F.lit(None).cast("array<bigint>").alias("b"))
+    left = tiles.filter("chunks is not null").select("part", "value", "ones", F.col("chunk").alias("own"), F.col("prints").alias("a"), "chunks", F.explode(F.sequence(F.lit(0), F.lit(radius))).alias("step"))
+    left = left.withColumn("ones", F.col("ones") + F.col("step")).withColumn("chunks", F.try_element_at("chunks", F.col("ones"))).filter("chunks is not null")
+    left = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("step > 0 or chunk > own").select("part", "value", "ones", "chunk", "a")
+    met = left.join(tiles.select("part", "value", "ones", "chunk", F.col("prints").alias("b")), ["part", "value", "ones", "chunk"])
+    return alone.union(met.select("a", "b")).mapInArrow(_compare(radius), "u long, v long")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:

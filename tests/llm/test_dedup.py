@@ -13,7 +13,7 @@ import xxhash
 from conftest import make_docs, odd_rows  # noqa: F401
 from moodlens.llm.components import connected
 from moodlens.llm.exact import RadixTrie, drop_copies, exact_groups
-from moodlens.llm.simhash import drop_near_copies, near_groups, tile_links
+from moodlens.llm.simhash import block_masks, close_pairs, drop_near_copies, near_groups, tile_links
 from moodlens.llm.substrings import substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,6 +155,52 @@ def test_tiles_link_what_is_close():
                     assert find(("a", int(x))) == find(("a" if same else "b", int(y)))
 
 
+@pytest.mark.parametrize("n, radius", [(0, 4), (10**5, 4), (10**8, 4), (10**11, 4), (100, 0), (10**9, 14), (5, 63), (5, 64)])
+def test_close_fingerprints_share_a_block(n, radius):
+    random.seed(8)
+    masks = block_masks(n, radius)
+    for _ in range(300):
+        x = y = random.getrandbits(64)
+        for bit in random.sample(range(64), radius):
+            y ^= 1 << bit
+        assert any((x ^ y) & m == 0 for m in masks)
+
+
+@pytest.mark.parametrize("radius, tile", [(4, 8192), (4, 24), (0, 24), (14, 100)])
+def test_crowded_blocks_lose_no_link(spark, radius, tile):
+    random.seed(9)
+    prints = {random.getrandbits(64) for _ in range(300)} | {0, (1 << 64) - 1}
+    for _ in range(3):  # groups around one fingerprint, far more than a tile holds
+        centre = random.getrandbits(64)
+        prints |= {centre ^ sum(1 << b for b in random.sample(range(64), random.randrange(9))) for _ in range(150)}
+    prints = sorted(prints)
+    signed = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "print long")
+    parent = {p: p for p in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def groups():
+        found = defaultdict(set)
+        for p in prints:
+            found[find(p)].add(p)
+        return sorted(map(sorted, found.values()))
+
+    for r in close_pairs(signed, radius, tile).collect():
+        x, y = r["u"] % (1 << 64), r["v"] % (1 << 64)
+        assert (x ^ y).bit_count() <= radius
+        parent[find(x)] = find(y)
+    got = groups()
+    parent = {p: p for p in prints}
+    for x in prints:
+        for y in prints:
+            if (x ^ y).bit_count() <= radius:
+                parent[find(x)] = find(y)
+    assert got == groups()
+
+
 def test_connected_finds_long_chains(spark):
     random.seed(6)
     order = random.sample(range(300), 300)
