@@ -28,7 +28,9 @@ def feature_buckets(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray
     Features are the words and the runs of two words. The words are dictionary-encoded, so a run is a pair of neighbouring indices, and
     only distinct words and distinct pairs are hashed; every feature takes its bucket from them.
     """
-    split = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")), SEPARATORS)
+    # the kernels that follow misread a slice whose bytes do not start where its buffer does, so its rows are copied out
+    rows = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
+    split = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(rows, "")), SEPARATORS)
     words, owner = pc.list_flatten(split), pc.list_parent_indices(split).to_numpy()
     real = pc.not_equal(words, "")
     encoded = pc.dictionary_encode(words.filter(real))

@@ -72,6 +72,23 @@ def test_features_of_a_batch():
         assert sorted(found[owner == k].tolist()) == sorted(features(text)[1])
 
 
+def test_features_of_a_slice():
+    texts = [f"Ä{k} word-{k % 7} " * (k % 5) for k in range(600)]
+    whole = pa.array(texts)
+    for at in (0, 256, 512):
+        n_words, found, owner = feature_buckets(whole.slice(at, 256))
+        for k, text in enumerate(texts[at : at + 256]):
+            assert n_words[k] == features(text)[0] and sorted(found[owner == k].tolist()) == sorted(features(text)[1])
+
+
+def test_batches_of_many_rows(spark):
+    """No text is null and a task has more rows than it turns into objects at a time."""
+    rows = [(k, f"Étage {k % 11} of house-{k % 13} " * (k % 9), "a") for k in range(700)]
+    docs = make_docs(spark, rows).coalesce(1)
+    target = ["étage of houses", "house 3"]
+    assert shown(resample(docs, spark.createDataFrame([(t,) for t in target], "text string"))) == brute_draw([(i, t) for i, t, _ in rows], target)
+
+
 def test_global_rank_counts_through(spark):
     rows = spark.range(5000).select(F.col("id"), (F.col("id") * 7919 % 13).alias("x"))
     ranks = global_rank(rows, [F.col("x").desc(), F.col("id").asc()], "rank").collect()
