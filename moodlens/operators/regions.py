@@ -8,9 +8,11 @@ towards the east tells inside from outside by the parity of its crossings. A cel
 the edges further east only their latitudes matter, where each end flips the parity; flips at the same latitude cancel in
 pairs, which leaves next to nothing. A cell that no edge comes near has no edges to test at all.
 
-A crowded cell is cut into four, and those again, until none is crowded: a quadtree below each cell of the grid. What a
-child needs follows from its parent's entries, so a dense city costs cells there and nowhere else. A location goes down
-the tree through the list of the cells that were cut, which is short, and meets one cell.
+A crowded cell is cut into four, and those again, until none is crowded: a quadtree below each cell of the grid. Where many
+edges cross the line that would part the rows, and few the one that parts the columns, a cell is cut into two columns alone, or
+the other way round, so long edges side by side are dealt to cells without being repeated. What a child needs follows from its
+parent's entries, so a dense city costs cells there and nowhere else. A location goes down the tree through the list of the
+cells that were cut, which is short, and meets one cell.
 """
 
 from __future__ import annotations
@@ -34,6 +36,10 @@ MAX_CELL_ENTRIES = 512
 FINEST_LEVEL = 20
 # what an edge, a flip and the rest of a candidate take
 _EDGE_BYTES, _FLIP_BYTES, _CANDIDATE_BYTES = 48, 8, 64
+# a line that more than one in so many of a cell's near edges cross is no place for a cut
+_CROSSED_SHARE = 4
+# how a cell was cut: columns and rows of its level that it spans, and what its children have half of
+_CUT = ("wide", "tall", "columns", "rows")
 # columns of a kept index besides the cells
 _ABOUT = ("cells_per_degree", "levels", "entries", "bytes")
 
@@ -43,8 +49,9 @@ class RegionIndex:
     """The cells that are not cut up, with the regions that reach into them, and the list of those that are.
 
     ``cells`` has a row per level, column and row of a cell, whose candidates are regions by ordinal, each with the near edges and the
-    flips of the far ones. Level 0 has ``cells_per_degree`` cells a degree, each further level twice as many. ``cuts`` names the cells
-    that were cut, on ``levels`` levels.
+    flips of the far ones. Level 0 has ``cells_per_degree`` cells a degree, each further level twice as many. A cell that was cut in one
+    direction alone leaves children that span several columns or rows of their level and go by the first of them. ``cuts`` names the cells
+    that were cut, on ``levels`` levels, how many columns and rows they span, and in which directions they were cut.
     """
 
     cells_per_degree: int
@@ -152,27 +159,49 @@ def _entries(regions: DataFrame, n: int) -> DataFrame:
     return near.unionByName(flips)
 
 
-def _quarters(entries: DataFrame, n: int) -> DataFrame:
-    """Entries of the four children of each cell, from the cell's own; the children have ``n`` cells a degree.
+def _crowded(entries: DataFrame, n: int, max_cell_entries: int) -> DataFrame:
+    """The cells with more than ``max_cell_entries`` entries, and how to cut them; their children have ``n`` cells a degree."""
+
+    def crosses(a: str, b: str, first: str, span: str) -> Column:
+        middle = F.col(first) * 2 + F.col(span)
+        return F.count_if((_cell(F.least(a, b), n) < middle) & (_cell(F.greatest(a, b), n) >= middle)) * _CROSSED_SHARE > F.count("edge")
+
+    across_columns, across_rows = crosses("edge.x1", "edge.x2", "cx", "wide"), crosses("edge.y1", "edge.y2", "cy", "tall")
+    return (
+        entries.groupBy("cx", "cy", "wide", "tall")
+        .agg(F.count(F.lit(1)).alias("n"), across_columns.alias("across_columns"), across_rows.alias("across_rows"))
+        .where(F.col("n") > max_cell_entries)
+        .select("cx", "cy", "wide", "tall", F.expr("not across_columns or across_rows").alias("columns"), F.expr("not across_rows or across_columns").alias("rows"))
+    )
+
+
+def _children(entries: DataFrame, crowded: DataFrame, n: int) -> DataFrame:
+    """Entries of the children of each crowded cell, from the cell's own; the children have ``n`` cells a degree.
 
     An edge of the parent stays near the children it comes near; for the children west of it in the same rows only its flips are left.
     Flips of the parent hold for all of it, so a child takes those below its top, none of them lower than its bottom.
     """
-    child = F.explode(F.array(*[F.struct((F.col("cx") * 2 + dx).alias("cx"), (F.col("cy") * 2 + dy).alias("cy")) for dx in (0, 1) for dy in (0, 1)]))
-    region = ["ordinal", "region_name", "region_code"]
-    dealt = entries.select(child.alias("cell"), *region, "edge", "flip").select("cell.*", *region, "edge", "flip")
-    dealt = dealt.withColumns({"bottom": F.col("cy") / n, "top": (F.col("cy") + 1) / n})
+
+    def halves(first: str, span: str, cut: str) -> Column:
+        begins = F.col(first) * 2
+        whole = F.array(F.struct(begins.alias(first), (F.col(span) * 2).alias(span)))
+        return F.explode(F.when(F.col(cut), F.array(*[F.struct((begins + k * F.col(span)).alias(first), F.col(span)) for k in (0, 1)])).otherwise(whole))
+
+    cell, region = ["cx", "cy", "wide", "tall"], ["ordinal", "region_name", "region_code"]
+    dealt = entries.join(F.broadcast(crowded), cell).withColumn("_x", halves("cx", "wide", "columns")).withColumn("_y", halves("cy", "tall", "rows"))
+    dealt = dealt.select("_x.*", "_y.*", *region, "edge", "flip").withColumns({"bottom": F.col("cy") / n, "top": (F.col("cy") + F.col("tall")) / n})
     first, last = (_cell(side("edge.x1", "edge.x2"), n) for side in (F.least, F.greatest))
-    rows = F.col("cy").between(_cell(F.least("edge.y1", "edge.y2"), n), _cell(F.greatest("edge.y1", "edge.y2"), n))
-    near = dealt.where(rows & F.col("cx").between(first, last)).select("cx", "cy", *region, "edge", F.lit(None).cast("double").alias("flip"))
-    ends = F.when(F.col("flip").isNotNull(), F.array("flip")).when(rows & (F.col("cx") < first), F.array("edge.y1", "edge.y2"))
+    low, high = (_cell(side("edge.y1", "edge.y2"), n) for side in (F.least, F.greatest))
+    rows, beyond = (low < F.col("cy") + F.col("tall")) & (high >= F.col("cy")), F.col("cx") + F.col("wide")
+    near = dealt.where(rows & (first < beyond) & (last >= F.col("cx"))).select(*cell, *region, "edge", F.lit(None).cast("double").alias("flip"))
+    ends = F.when(F.col("flip").isNotNull(), F.array("flip")).when(rows & (first >= beyond), F.array("edge.y1", "edge.y2"))
     flips = (
-        dealt.select("cx", "cy", "bottom", "top", *region, F.explode(ends).alias("end"))
+        dealt.select(*cell, "bottom", "top", *region, F.explode(ends).alias("end"))
         .where("end < top")
-        .groupBy("cx", "cy", *region, F.greatest("end", "bottom").alias("flip"))
+        .groupBy(*cell, *region, F.greatest("end", "bottom").alias("flip"))
         .count()
         .where("count % 2 = 1")
-        .select("cx", "cy", *region, F.lit(None).cast(EDGE).alias("edge"), "flip")
+        .select(*cell, *region, F.lit(None).cast(EDGE).alias("edge"), "flip")
     )
     return near.unionByName(flips)
 
@@ -192,17 +221,17 @@ def region_index(
     n = cells_per_degree
     if n < 1 or n & (n - 1):
         raise ValueError("cells_per_degree must be a power of two")
-    entries = checkpointed(_entries(regions, n))
+    entries = checkpointed(_entries(regions, n).withColumns({span: F.lit(1).cast("bigint") for span in ("wide", "tall")}))
     settled, cuts, level = [], [], 0
     while level < FINEST_LEVEL:
         # a crowded cell holds more than max_cell_entries entries, so there are few
-        crowded = checkpointed(entries.groupBy("cx", "cy").count().where(F.col("count") > max_cell_entries).select("cx", "cy"))
+        crowded = checkpointed(_crowded(entries, n << level + 1, max_cell_entries))
         if crowded.isEmpty():
             break
         settled.append(entries.join(F.broadcast(crowded), ["cx", "cy"], "left_anti").select(F.lit(level).alias("level"), "*"))
-        cuts.append(crowded.select(F.lit(level).alias("level"), "cx", "cy"))
+        cuts.append(crowded.select(F.lit(level).alias("level"), "cx", "cy", *_CUT))
         level += 1
-        entries = checkpointed(_quarters(entries.join(F.broadcast(crowded), ["cx", "cy"], "left_semi"), n << level))
+        entries = checkpointed(_children(entries, crowded, n << level))
     settled.append(entries.select(F.lit(level).alias("level"), "*"))
     candidates = (
         reduce(DataFrame.unionByName, settled)
@@ -225,8 +254,8 @@ def region_index(
         )
         .first()
     )
-    none = entries.select(F.lit(0).alias("level"), "cx", "cy").limit(0)
-    return RegionIndex(n, cells, reduce(DataFrame.unionByName, cuts, none), level, total, size, size <= max_broadcast_bytes)
+    none = _crowded(entries.limit(0), n, 0).select(F.lit(0).alias("level"), "cx", "cy", *_CUT)
+    return RegionIndex(n, cells, checkpointed(reduce(DataFrame.unionByName, cuts)) if cuts else none, level, total, size, size <= max_broadcast_bytes)
 
 
 def write_index(index: RegionIndex, path: str, mode: str = "errorifexists") -> None:
@@ -241,7 +270,7 @@ def read_index(spark: SparkSession, path: str, max_broadcast_bytes: int = MAX_BR
     kept = spark.read.parquet(path)
     n, levels, entries, size = kept.select(*_ABOUT).first() or (1, 0, 0, 0)
     rows = kept.drop(*_ABOUT)
-    cells, cuts = rows.where("candidates is not null"), rows.where("candidates is null").drop("candidates")
+    cells, cuts = rows.where("candidates is not null").drop(*_CUT), rows.where("candidates is null").drop("candidates")
     return RegionIndex(n, cells, cuts, levels, entries, size, size <= max_broadcast_bytes)
 
 
@@ -249,11 +278,16 @@ def _in_cell(located: DataFrame, index: RegionIndex) -> DataFrame:
     """Add level, column and row of the cell that is not cut up and holds the location, as ``_level``, ``_cx`` and ``_cy``."""
     n = index.cells_per_degree
     placed = located.withColumns({"_level": F.lit(0), "_cx": _cell(F.col("lon"), n), "_cy": _cell(F.col("lat"), n)})
-    known = F.broadcast(_as_key(index.cuts).withColumn("_cut", F.lit(True)))
+    known = F.broadcast(_as_key(index.cuts).withColumnsRenamed({name: f"_{name}" for name in _CUT}).withColumn("_cut", F.lit(True)))
     for level in range(1, index.levels + 1):
-        cut = F.col("_cut").isNotNull()
-        down = {name: F.when(cut, _cell(F.col(degrees), n << level)).otherwise(F.col(name)) for name, degrees in (("_cx", "lon"), ("_cy", "lat"))}
-        placed = placed.join(known, _KEY, "left").withColumns({**down, "_level": F.when(cut, F.lit(level)).otherwise(F.col("_level"))}).drop("_cut")
+        # both spans and what is cut are the parent's, so a half begins at its first column or row or one span later
+        down = {}
+        for name, degrees, span, halved in (("_cx", "lon", "_wide", "_columns"), ("_cy", "lat", "_tall", "_rows")):
+            begins = F.col(name) * 2
+            later = F.col(halved) & (_cell(F.col(degrees), n << level) >= begins + F.col(span))
+            down[name] = F.when(F.col("_cut"), F.when(later, begins + F.col(span)).otherwise(begins)).otherwise(F.col(name))
+        down["_level"] = F.when(F.col("_cut"), F.lit(level)).otherwise(F.col("_level"))
+        placed = placed.join(known, _KEY, "left").withColumns(down).drop("_cut", *[f"_{name}" for name in _CUT])
     return placed
 
 

@@ -169,6 +169,21 @@ def test_a_dense_spot_costs_cells_there_alone(spark):
     assert names == ["City", "Unknown", "Unknown", "City", "Unknown"]
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_long_edges_side_by_side_are_not_repeated(spark, turned):
+    """Each edge of this border crosses half a degree while hundreds of them lie side by side, so cuts along the edges only repeat them."""
+    sizes = []
+    for n in (400, 1600):
+        ring = [(0.125 + 0.75 * k / n, 0.25 + k * 37 % 64 / 128) for k in range(n)] + [(0.9, 0.1), (0.1, 0.1)]
+        comb = {("Comb", "C"): [[(y, x) if turned else (x, y) for x, y in ring]]}
+        index = region_index(spark.createDataFrame(region_rows(comb), REGION), max_cell_entries=16)
+        locations = [f"{i / 97},{k / 89}" for i in range(3, 97, 12) for k in range(5, 89, 9)]
+        assert lookup(spark, index, locations) == [brute_force(comb, location) for location in locations]
+        assert max(cell_sizes(index).values()) <= 16
+        sizes.append(index.entries)
+    assert sizes[0] < 8 * 400 and sizes[1] < 6 * sizes[0]
+
+
 def test_cut_index_reads_back(spark, tmp_path):
     table = spark.createDataFrame(region_rows({("Comb", "C"): [TEETH]}), REGION)
     index = region_index(table, max_cell_entries=10)
