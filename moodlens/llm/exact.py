@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from moodlens.llm.shared import join_hot, lowered, one_of_each, row_key, sliced
 from moodlens.session import checkpointed
 
-#: Bytes of text a task holds in its trie before it hands on the largest subtree.
+#: Bytes a task's trie takes before it hands on the largest subtree.
 TRIE_BYTES = 24 << 20
+#: What a node takes besides its bytes: a list, a dictionary and its place in that of its parent.
+NODE_BYTES = 400
 #: Bytes of text in an Arrow batch that a task hands on.
 BATCH_BYTES = 4 << 20
 
@@ -24,7 +26,7 @@ class RadixTrie:
     def __init__(self, smallest: bool):
         self.better = min if smallest else max
         self.root = [b"", {}, None, 0]
-        self.held: dict[int, int] = {}  # bytes below each child of the root
+        self.held: dict[int, int] = {}  # what each child of the root takes, with all below it
 
     def insert(self, body: bytes, owner: int | None, rows: int) -> None:
         node, at = self.root, 0
@@ -32,7 +34,7 @@ class RadixTrie:
             child = node[1].get(body[at])
             if child is None:
                 child = node[1][body[at]] = [body[at:], {}, None, 0]
-                self.held[body[0]] = self.held.get(body[0], 0) + len(body) - at
+                self.held[body[0]] = self.held.get(body[0], 0) + len(body) - at + NODE_BYTES
                 node, at = child, len(body)
                 continue
             edge = child[0]
@@ -41,6 +43,7 @@ class RadixTrie:
                 middle = [edge[:shared], {edge[shared]: child}, None, 0]
                 child[0] = edge[shared:]
                 node[1][body[at]] = child = middle
+                self.held[body[0]] += NODE_BYTES
             node, at = child, at + len(child[0])
         node[2] = owner if node[2] is None else node[2] if owner is None else self.better(node[2], owner)
         node[3] += rows

@@ -67,6 +67,16 @@ def test_a_hot_group_is_joined_whole(spark):
     assert got.filter("kept").count() == 3001
 
 
+def test_trie_counts_its_nodes():
+    """Short texts take more for their nodes than for their bytes."""
+    trie = RadixTrie(smallest=True)
+    for k in range(1000):
+        trie.insert(b"%03d" % k, k, 1)
+    assert trie.bytes_held() > 1000 * 200
+    list(trie.take_largest())
+    assert trie.bytes_held() < 1000 * 450
+
+
 def test_trie_against_a_dictionary():
     random.seed(2)
     trie, want = RadixTrie(smallest=True), {}
