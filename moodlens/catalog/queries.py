@@ -28,6 +28,7 @@ from moodlens.operators import (
     term_counts,
     write_index,
 )
+from moodlens.operators.joins import MAX_BROADCAST_BYTES
 from moodlens.plans import (
     prepare_feed,
     previews,
@@ -289,7 +290,7 @@ def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_tweet_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     tweets = _tweets(spark, sf_dir).drop("location").withColumn("timestamp", _naive("timestamp"))
-    return join_users_tweets(parse_users(fixtures.user_lines(spark, sf_dir)), tweets)
+    return join_users_tweets(parse_users(fixtures.user_lines(spark, sf_dir)), tweets, max_broadcast_bytes=MAX_BROADCAST_BYTES)
 
 
 def users_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

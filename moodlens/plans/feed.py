@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from moodlens.operators.joins import join_users_tweets
+from moodlens.operators.joins import MAX_BROADCAST_BYTES, join_users_tweets
 from moodlens.session import checkpointed
 from moodlens.sinks.files import publish_json, to_json_values, write_tsv
 from moodlens.sources.tweets import RAW_FIELDS, REJECTED, read_raw_tweets, read_users, sample_for_replay
@@ -24,7 +24,7 @@ def prepare_feed(spark: SparkSession, users_path: str, tweets_path: str, out_pat
     raw = read_raw_tweets(spark, tweets_path)
     raw.where(F.col(REJECTED).isNotNull()).write.parquet(rejects_path or f"{out_path.rstrip('/')}_rejects")
     tweets = raw.where(F.col(REJECTED).isNull()).select(*RAW_FIELDS)
-    write_tsv(join_users_tweets(read_users(spark, users_path), tweets), out_path)
+    write_tsv(join_users_tweets(read_users(spark, users_path), tweets, max_broadcast_bytes=MAX_BROADCAST_BYTES), out_path)
 
 
 def replay_once(

@@ -62,6 +62,14 @@ def test_hot_user_is_split(spark, small_partitions, tweets, salts):
     assert salts or "skew=true" in plan
 
 
+def test_few_users_are_broadcast(spark, small_partitions, tweets):
+    users = spark.createDataFrame([("hot", 1.5, 2.5), ("hot", 0.0, 0.0), (None, 1.0, 1.0)], "user_id string, latitude double, longitude double")
+    rows, plan = final_plan(join_users_tweets(users, tweets.drop("location"), max_broadcast_bytes=1 << 20))
+    wanted = join_users_tweets(users, tweets.drop("location"), max_broadcast_bytes=1)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, wanted.collect())) and len(rows) == ROWS
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_copies_of_a_hot_text_are_split(spark, small_partitions, tweets):
     scored = score_by_join(tweets, fixtures.lexicon(spark)).withColumn("task", F.spark_partition_id())
     rows = scored.select("tweet", "tweet_sentiment", "task").collect()
