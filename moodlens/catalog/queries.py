@@ -44,6 +44,7 @@ from moodlens.schemas import RESULT_KEYS
 from moodlens.session import discard, pin_session, scratch_path
 from moodlens.sinks import (
     ClusteredStore,
+    buckets_for,
     bulk_load,
     conform,
     join_users_clustered,
@@ -74,7 +75,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 USER = "7"
 # degrees that bring the middle of the regions to the 180th meridian
 MOVED_EAST = 275
-# for 128 MB a bucket, as many as the table has blocks of that size
+# of a small table; a larger one has a bucket for every 128 MB
 STORE_BUCKETS = 16
 
 
@@ -502,7 +503,7 @@ def _clustered(spark: SparkSession, sf_dir: str) -> ClusteredStore:
     event = F.col("tweet_id").cast("bigint")
     user = F.when(event % 3 == 0, F.lit(USER)).when(F.col("location") != "n/a", F.col("user_id"))
     tweets = _tweets(spark, sf_dir).withColumn("user_id", user)
-    return write_clustered(tweets, scratch_path(spark, "clustered"), STORE_BUCKETS)
+    return write_clustered(tweets, scratch_path(spark, "clustered"), buckets_for(tweets, STORE_BUCKETS))
 
 
 def clustered_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,10 @@ SPREAD = "spread"
 MAX_HOT_USERS = 100_000
 
 
+# What a bucket holds of the rows as they come; a task reads one bucket.
+BUCKET_BYTES = 128 << 20
+
+
 @dataclass(frozen=True)
 class ClusteredStore:
     """``rows`` of the store with the column ``spread``, and the hot keys, fewer than there are buckets."""
@@ -40,6 +45,13 @@ class ClusteredStore:
         return self.rows.where(F.col(self.key) == value).drop(SPREAD)
 
 
+def buckets_for(df: DataFrame, at_least: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """How many buckets a store of ``df`` needs for ``bucket_bytes`` a bucket, ``at_least`` for a small one; reads the rows once."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind in ("string", "binary")]
+    row = sum(texts, F.lit(8 * len(df.columns)).cast("bigint"))
+    return max(at_least, math.ceil((df.agg(F.sum(row)).first()[0] or 0) / bucket_bytes))
+
+
 def write_clustered(df: DataFrame, path: str, buckets: int, key: str = "user_id") -> ClusteredStore:
     """Write ``df`` as a new store at ``path``; a store that is there already is an error.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moodlens.schemas import TWEET
 from moodlens.session import scratch_path
-from moodlens.sinks import join_users_clustered, open_clustered, write_clustered
+from moodlens.sinks import buckets_for, join_users_clustered, open_clustered, write_clustered
 
 BUCKETS = 8
 
@@ -148,3 +148,9 @@ def test_own_columns_and_existing_stores_are_refused(spark, tweets):
     write_clustered(tweets.limit(5), path, BUCKETS)
     with pytest.raises(Exception, match="already exists"):
         write_clustered(tweets.limit(5), path, BUCKETS)
+
+
+def test_a_larger_table_has_more_buckets(tweets):
+    assert buckets_for(tweets, 8) == 8
+    some, twice = (buckets_for(df, 8, bucket_bytes=4096) for df in (tweets, tweets.unionByName(tweets)))
+    assert some > 8 and twice in (2 * some - 1, 2 * some)
