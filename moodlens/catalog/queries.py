@@ -77,6 +77,8 @@ USER = "7"
 MOVED_EAST = 275
 # of a small table; a larger one has a bucket for every 128 MB
 STORE_BUCKETS = 16
+# messages with whole texts are kept compressed, in files that can be split
+TOPIC = "parquet"
 
 
 def _naive(column: Column | str) -> Column:
@@ -394,9 +396,9 @@ def _streamed(
     spark: SparkSession, sf_dir: str, measures: Sequence[str] | None, panes: bool = False, lexicon: DataFrame | None = None
 ) -> DataFrame:
     topic, out, checkpoint = (scratch_path(pin_session(spark), name) for name in ("topic", "out", "stream"))
-    publish_json(fixtures.tweets(spark, sf_dir), "text", F.col("timestamp"), topic)
+    publish_json(fixtures.tweets(spark, sf_dir), TOPIC, F.col("timestamp"), topic)
     query = run_live(
-        read_value_stream(spark, "text", topic),
+        read_value_stream(spark, TOPIC, topic),
         fixtures.lexicon(spark) if lexicon is None else lexicon,
         _index(spark, sf_dir),
         "parquet",
@@ -417,8 +419,8 @@ def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tweets = fixtures.tweets(spark, sf_dir)
     broken = F.when(F.col("location") == "n/a", F.concat(F.lit("{broken "), F.col("tweet_id")))
     whole = F.to_json(F.struct("user_id", "tweet_id", "tweet", "location"))
-    tweets.select(F.coalesce(broken, whole).alias("value")).write.text(topic)
-    unread = malformed(read_value_stream(spark, "text", topic))
+    tweets.select(F.coalesce(broken, whole).alias("value")).write.format(TOPIC).save(topic)
+    unread = malformed(read_value_stream(spark, TOPIC, topic))
     write_stream(unread, "parquet", checkpoint, out, {"availableNow": True}).awaitTermination()
     discard(spark, topic, checkpoint)
     return spark.read.parquet(out)
@@ -433,8 +435,8 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     if bounds["a"] is not None:
         middle = (bounds["a"] + bounds["b"]) // 2
         for half in (millis >= middle, millis < middle):
-            publish_json(tweets.where(half), "text", F.col("timestamp"), topic)
-            messages = read_value_stream(spark, "text", topic)
+            publish_json(tweets.where(half), TOPIC, F.col("timestamp"), topic)
+            messages = read_value_stream(spark, TOPIC, topic)
             live = run_live(messages, fixtures.lexicon(spark), index, "parquet", checkpoint, out, {"availableNow": True})
             live.awaitTermination()
     discard(spark, topic, checkpoint)
@@ -472,8 +474,8 @@ def _live_store(spark: SparkSession, sf_dir: str) -> WindowStore:
     middle = tweets.agg(F.floor((F.min(millis) + F.max(millis)) / 2)).first()[0]
     later = F.coalesce(millis >= F.lit(middle), F.lit(False))
     for rows in (later, ~later, F.lit(False)):
-        publish_json(tweets.where(rows), "text", F.col("timestamp"), topic)
-        messages = read_value_stream(spark, "text", topic)
+        publish_json(tweets.where(rows), TOPIC, F.col("timestamp"), topic)
+        messages = read_value_stream(spark, TOPIC, topic)
         run_live_store(messages, fixtures.lexicon(spark), index, store, checkpoint, {"availableNow": True}).awaitTermination()
     discard(spark, topic, checkpoint)
     return store

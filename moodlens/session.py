@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # splits the partitions of a hot user, text or location at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # tables of texts take a third less than with the default
+    "spark.sql.parquet.compression.codec": "zstd",
     # keeps the state of a stream on disk instead of the executors' heap
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

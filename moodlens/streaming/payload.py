@@ -11,10 +11,13 @@ from moodlens.schemas import STREAM_PAYLOAD
 def read_value_stream(spark: SparkSession, fmt: str, path: str | None = None, **options: str) -> DataFrame:
     """A stream with the message text in ``value``.
 
-    ``fmt="kafka"`` takes the servers and the topic (``subscribe``) in ``options``; ``"text"`` reads a folder.
+    ``fmt="kafka"`` takes the servers and the topic (``subscribe``) in ``options``; ``"text"`` reads a folder, and ``"parquet"`` one of
+    compressed tables.
     """
-    stream = spark.readStream.format(fmt).options(**options).load(path)
-    return stream.select(F.col("value").cast("string").alias("value"))
+    reader = spark.readStream.format(fmt).options(**options)
+    if fmt == "parquet":
+        reader = reader.schema("value string")
+    return reader.load(path).select(F.col("value").cast("string").alias("value"))
 
 
 def decode_payload(messages: DataFrame) -> DataFrame:

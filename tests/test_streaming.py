@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from moodlens.catalog import fixtures
 from moodlens.operators import add_sentiment, region_index
 from moodlens.plans import run_live
+from moodlens.sinks import publish_json
 from moodlens.streaming import decode_payload, enrich, event_time, read_value_stream, window_sentiment, write_stream
 
 SENTIMENTS = "date_time timestamp, state string, sentiment double"
@@ -155,3 +156,16 @@ def test_large_lexicon_on_a_stream(spark, tmp_path, dimensions):
     batch = [json.dumps({"tweet": "wf wbccdd none", "location": "1,2", "timestamp_logger": 1})]
     out = run_batches(spark, tmp_path, (lexicon, dimensions[1]), [batch], measures=None).collect()
     assert [row["sentiment"] for row in out] == [((5 % 9 - 4) / 4 + (12233 % 9 - 4) / 4) / 2]
+
+
+def test_messages_kept_in_tables_are_those_of_a_text_topic(spark, tmp_path):
+    tweets = spark.range(30).select(F.col("id").cast("string").alias("tweet_id"), F.repeat(F.lit("two\nlines, "), 200).alias("tweet"))
+    read = {}
+    for fmt in ("text", "parquet"):
+        publish_json(tweets, fmt, F.lit("2024-01-01").cast("timestamp"), str(tmp_path / fmt))
+        stream = read_value_stream(spark, fmt, str(tmp_path / fmt))
+        write_stream(stream, "memory", query_name=f"kept_{fmt}", trigger={"availableNow": True}).awaitTermination()
+        read[fmt] = sorted(row["value"] for row in spark.table(f"kept_{fmt}").collect())
+    assert read["parquet"] == read["text"] and len(read["text"]) == 30
+    size = {fmt: sum(f.stat().st_size for f in (tmp_path / fmt).glob("part-*")) for fmt in read}
+    assert size["parquet"] < size["text"] / 2
