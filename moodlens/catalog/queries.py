@@ -275,8 +275,8 @@ def _feed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Folders of the export and the rejects of the feed job."""
     users, raw, feed = (scratch_path(pin_session(spark), name) for name in ("users", "raw", "feed"))
     fixtures.user_lines(spark, sf_dir).write.text(users)
-    fixtures.tweet_lines(spark, sf_dir).write.text(raw)
-    prepare_feed(spark, users, raw, feed, f"{feed}_rejects")
+    fixtures.tweet_lines(spark, sf_dir).write.options(**{"zlib.compress.level": "BEST_SPEED"}).text(raw, compression="gzip")
+    prepare_feed(spark, users, raw, feed, f"{feed}_rejects", compression="gzip")
     discard(spark, users, raw)
     return feed, f"{feed}_rejects"
 
@@ -315,7 +315,7 @@ def raw_tweets_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bulk_loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     exported, loaded = scratch_path(spark, "tsv"), scratch_path(spark, "loaded")
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    write_tsv(_tweets(spark, sf_dir).withColumn("timestamp", F.coalesce(stamp, F.lit("no time"))), exported)
+    write_tsv(_tweets(spark, sf_dir).withColumn("timestamp", F.coalesce(stamp, F.lit("no time"))), exported, compression="gzip")
     bulk_load(spark, exported, loaded, escapes=True)
     discard(spark, exported)
     return read_loaded(spark, loaded)

@@ -16,15 +16,17 @@ from moodlens.streaming.sink import write_stream
 PAUSE_MS = 10_000
 
 
-def prepare_feed(spark: SparkSession, users_path: str, tweets_path: str, out_path: str, rejects_path: str | None = None) -> None:
+def prepare_feed(
+    spark: SparkSession, users_path: str, tweets_path: str, out_path: str, rejects_path: str | None = None, compression: str = "none"
+) -> None:
     """Join the users file with the tweets file and export the result as tab-separated rows.
 
-    Tweets that do not fit are written to ``rejects_path``, by default beside the export.
+    Tweets that do not fit are written to ``rejects_path``, by default beside the export. ``compression`` is that of ``write_tsv``.
     """
     raw = read_raw_tweets(spark, tweets_path)
     raw.where(F.col(REJECTED).isNotNull()).write.parquet(rejects_path or f"{out_path.rstrip('/')}_rejects")
     tweets = raw.where(F.col(REJECTED).isNull()).select(*RAW_FIELDS)
-    write_tsv(join_users_tweets(read_users(spark, users_path), tweets, max_broadcast_bytes=MAX_BROADCAST_BYTES), out_path)
+    write_tsv(join_users_tweets(read_users(spark, users_path), tweets, max_broadcast_bytes=MAX_BROADCAST_BYTES), out_path, compression=compression)
 
 
 def replay_once(

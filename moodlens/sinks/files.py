@@ -9,6 +9,8 @@ from moodlens.sources.tweets import REJECTED, read_tweets_tsv, rejected_rows, va
 
 OUTCOME = "outcome"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+#: Rows of a file that one task has to read as a whole.
+ROWS_PER_FILE = 50_000
 
 
 # What stands for a sign that would break a line or a field.
@@ -34,10 +36,15 @@ def unescaped(column: Column) -> Column:
     return F.array_join(F.transform(F.split(column, r"\\\\", -1), part), "\\")
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tab-separated with header. Tabs, line breaks and backslashes in a text are escaped, so a row stays one line and nothing is lost."""
+def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    """Tab-separated with header. Tabs, line breaks and backslashes in a text are escaped, so a row stays one line and nothing is lost.
+
+    ``compression="gzip"`` writes compressed files. These cannot be split, so each of them holds at most ``ROWS_PER_FILE`` rows.
+    """
     flat = [escaped(F.col(name)).alias(name) if kind == "string" else F.col(name) for name, kind in df.dtypes]
     writer = df.select(*flat).write.mode(mode).option("sep", "\t").option("header", True).option("escape", '"')
+    if compression != "none":
+        writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", ROWS_PER_FILE)
     # the writer trims texts unless told otherwise
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
@@ -55,7 +62,7 @@ def to_json_values(df: DataFrame, ingest_time: Column | None = None, without: tu
 def publish_json(
     df: DataFrame, fmt: str, ingest_time: Column | None = None, path: str | None = None, **options: str
 ) -> None:
-    """Send rows as JSON messages: ``fmt="kafka"`` with the topic in ``options``, or ``"text"`` with a path."""
+    """Send rows as JSON messages: ``fmt="kafka"`` with the topic in ``options``, or ``"text"`` or ``"parquet"`` with a path."""
     to_json_values(df, ingest_time).write.format(fmt).mode("append").options(**options).save(path)
 
 

@@ -162,3 +162,19 @@ def test_tsv_round_trip(spark, tmp_path):
     want = {text or None for text, in texts}
     assert {row["t"] for row in back.select(unescaped(F.col("tweet")).alias("t")).collect()} == want
     assert all("\t" not in line["value"].removesuffix("\tk").removesuffix("\tk") for line in spark.read.text(str(tmp_path / "out")).collect() if line["value"] != "tweet\tk")
+
+
+def test_compressed_export_is_small_and_loads_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("moodlens.sinks.files.ROWS_PER_FILE", 20)
+    text = F.concat(F.repeat(F.lit("many words\tand a\\line\n"), 50), F.col("id").cast("string"))
+    rows = spark.range(0, 70, 1, 1).select(
+        F.lit("u").alias("user_id"), F.col("id").cast("string").alias("tweet_id"), text.alias("tweet"),
+        F.when(F.col("id") % 7 == 0, "no time").otherwise("2024-01-01T00:00:00").alias("timestamp"), F.lit("1,2").alias("location"),
+    )
+    write_tsv(rows, str(tmp_path / "out"), compression="gzip")
+    files = list((tmp_path / "out").glob("*.gz"))
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) < 70 * 1000 / 2
+    bulk_load(spark, str(tmp_path / "out"), str(tmp_path / "table"), escapes=True)
+    valid, rejected = read_loaded(spark, str(tmp_path / "table"))
+    back = valid.select("tweet_id", "tweet").union(rejected.select("tweet_id", "tweet")).collect()
+    assert sorted(back) == sorted(rows.select("tweet_id", "tweet").collect()) and rejected.count() == 10
