@@ -31,6 +31,9 @@ RING_VERTICES = (
     (2, 0, -9.0, 0.5), (2, 1, -6.0, 0.5), (2, 2, -6.0, 2.0), (2, 3, -9.0, 2.0),
 )
 
+#: Beyond as many tasks as there are cores, a task makes about this many tweets.
+TWEETS_PER_TASK = 20_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -127,8 +130,11 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn(
         "doc_id", F.col("event_id") * 7919 % documents.select(F.count("*")).scalar()
     )
-    # the documents are dealt out before they are copied, so that the work on texts takes all cores even where they are one file
-    texts = documents.select("doc_id", "text").repartition("doc_id")
+    # the documents are dealt out before they are copied, so that the work on texts takes all cores even where they are one file.
+    # Tweets are far larger than the rows that are exchanged for them, so their number and not those bytes says how many tasks they take
+    tasks = events.count() // TWEETS_PER_TASK
+    texts = documents.select("doc_id", "text")
+    texts = texts.repartition(tasks, "doc_id") if tasks > spark.sparkContext.defaultParallelism else texts.repartition("doc_id")
     event = F.col("event_id")
     location = F.concat_ws(",", _latitude(event), _longitude(event))
     return events.join(texts, "doc_id").select(

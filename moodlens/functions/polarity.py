@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.functions.text import SENTIMENT_TOKEN_PATTERN, sentiment_tokens
+from moodlens.functions.text import SENTIMENT_TOKEN_PATTERN, split_tokens
 from moodlens.session import checkpointed
 
 #: Bytes that the slot table of a lexicon may take, some eight million terms. It goes to every executor with the plan, so
@@ -77,11 +77,10 @@ def polarity(text: Column | str, table: Column | str, slots: int) -> Column:
     with the lexicon.
     """
     known = F.col(table) if isinstance(table, str) else table
-    found = F.transform(sentiment_tokens(text), lambda token: F.try_element_at(F.get(known, _slot(token, slots)), token))
-    mean = F.aggregate(
-        F.filter(found, lambda value: value.isNotNull()),
-        F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n")),
-        lambda acc, value: F.struct((acc["total"] + value).alias("total"), (acc["n"] + 1).alias("n")),
-        lambda acc: F.try_divide(acc["total"], acc["n"]),
+    found = F.transform(split_tokens(text), lambda token: F.try_element_at(F.get(known, _slot(token, slots)), token))
+    # an array of one array names the polarities found, so that they are looked up once for both sum and number
+    mean = F.transform(
+        F.array(F.filter(found, lambda value: value.isNotNull())),
+        lambda values: F.try_divide(F.aggregate(values, F.lit(0.0), lambda total, value: total + value), F.size(values)),
     )
-    return F.coalesce(mean, F.lit(0.0))
+    return F.coalesce(F.get(mean, F.lit(0)), F.lit(0.0))

@@ -21,6 +21,7 @@ URL_PATTERN = r"(?U)\w+://\S+"
 # whitespace that is not a single blank already
 WHITESPACE_PATTERN = r"(?U) [\s\x1c-\x1f]+|[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*"
 SENTIMENT_TOKEN_PATTERN = "[a-z]+"
+SENTIMENT_GAP_PATTERN = "[^a-z]+"
 INDEX_TERM_PATTERN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"
 
 
@@ -53,12 +54,18 @@ def clean_text(text: Column | str, strip_urls: bool = False) -> Column:
 _WORDS_NEED_CLEANING = ("@", ADDRESS_MARK, "\u212a", "\u0130")
 
 
-def sentiment_tokens(text: Column | str) -> Column:
-    """Lower-case ASCII words of the cleaned text, in order."""
+def split_tokens(text: Column | str) -> Column:
+    """The tokens of ``sentiment_tokens``, with an empty one where a text begins or ends with another sign."""
     column = _as_column(text)
     needed = reduce(or_, [F.contains(column, F.lit(part)) for part in _WORDS_NEED_CLEANING])
     cleaned = F.when(needed, _without_signs(column)).otherwise(column)
-    return F.regexp_extract_all(F.lower(cleaned), F.lit(SENTIMENT_TOKEN_PATTERN), F.lit(0))
+    # splitting at what is no token takes half the time of extracting the tokens
+    return F.split(F.lower(cleaned), SENTIMENT_GAP_PATTERN)
+
+
+def sentiment_tokens(text: Column | str) -> Column:
+    """Lower-case ASCII words of the cleaned text, in order."""
+    return F.array_remove(split_tokens(text), "")
 
 
 def index_terms(text: Column | str) -> Column:

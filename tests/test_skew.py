@@ -126,3 +126,13 @@ def test_text_alone_and_location_alone_are_spread(spark, no_adaptive, tweets, sf
     assert max(per_task(places.where("location = '27.5,-119.0'"))) < 4 * ROWS / 2 / 16
     unread = assign_region(spark.range(ROWS).select(F.concat(F.lit("n/a"), F.col("id") % 2).alias("location")), index)
     assert max(per_task(unread)) < 4 * ROWS / 64
+
+
+def test_tweets_take_tasks_by_their_number(spark, sf_dir, monkeypatch):
+    """A row that is exchanged for a tweet is far smaller than the tweet, so bytes gave as many tasks as cores for any number of tweets."""
+    before = fixtures.tweets(spark, sf_dir)
+    rows = before.count()
+    monkeypatch.setattr(fixtures, "TWEETS_PER_TASK", rows // 100)
+    dealt = fixtures.tweets(spark, sf_dir)
+    assert dealt.rdd.getNumPartitions() >= 100
+    assert dealt.exceptAll(before).count() == 0 and dealt.count() == rows

@@ -175,3 +175,11 @@ def test_sentiment_needs_no_shuffle(spark):
     scored = add_sentiment(texts_df(spark, ["good"]), spark.createDataFrame(LEXICON_ROWS, LEXICON))
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_scores_do_not_extract_tokens(spark):
+    """Extraction of every token took most of the time of a score."""
+    scored = add_sentiment(texts_df(spark, ["  Good, bad day", "bad "]), spark.createDataFrame(LEXICON_ROWS, LEXICON))
+    assert "regexp_extract_all" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert values(scored, "tweet_sentiment") == [-0.125, -0.75]
+    assert values(texts_df(spark, [" a b ", "", "1", None]), sentiment_tokens("tweet")) == [["a", "b"], [], [], None]
