@@ -21,6 +21,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # tables of texts take a third less than with the default
     "spark.sql.parquet.compression.codec": "zstd",
+    # and give as much work to a task as four times the bytes would uncompressed
+    "spark.sql.files.maxPartitionBytes": "33554432",
     # keeps the state of a stream on disk instead of the executors' heap
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -169,3 +169,8 @@ def test_messages_kept_in_tables_are_those_of_a_text_topic(spark, tmp_path):
     assert read["parquet"] == read["text"] and len(read["text"]) == 30
     size = {fmt: sum(f.stat().st_size for f in (tmp_path / fmt).glob("part-*")) for fmt in read}
     assert size["parquet"] < size["text"] / 2
+
+
+def test_compressed_tables_are_read_in_small_parts(spark):
+    """Compressed messages gave too few tasks to fill the cores evenly."""
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) <= 32 << 20
