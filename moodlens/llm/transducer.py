@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from moodlens.llm.shared import fresh, sliced
 
 #: States, remembered pieces and remembered pairs a worker keeps; beyond that it drops them and makes those it meets anew.
-MAX_STATES, MAX_PIECES, MAX_PAIRS = 300_000, 150_000, 300_000
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 300_000, 300_000, 300_000
 #: Characters of a piece that may be remembered.
 PIECE_CHARS = 32
 #: Rank of a pair that does not merge.
@@ -55,18 +55,27 @@ class MergeTransducer:
         self.ranks = ranks
         self.max_states = max_states
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # beginnings of tokens, with the token if it is a whole one
-        self.starts = {token[:n]: -1 for token in ranks for n in range(1, len(token) + 1)} | ranks
-        self.follows: dict[tuple[int, int], bool] = {}
+        # beginnings of tokens by number, 0 being the empty one: what the next byte makes of them, and the token if it is a whole one
+        self.longer: dict[int, int] = {}
+        self.ending = [-1]
+        for token, rank in ranks.items():
+            at = 0
+            for byte in token:
+                at = self.longer.setdefault(at << 8 | byte, len(self.ending))
+                if at == len(self.ending):
+                    self.ending.append(-1)
+            self.ending[at] = rank
+        self.follows: dict[int, bool] = {}
         self.edges: dict[tuple[int, int], list[bytes]] = {}
         self.whole: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        start = ((b"", -1, ()),)
+        start = ((0, -1, ()),)
         self.known = {start: 0}
         self.states = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        # by state and byte; a step that settles nothing is only the next state
+        self.steps: dict[int, int | tuple[int, tuple[int, ...]]] = {}
 
     def _reachable(self, token: int) -> bool:
         """Whether the merges make this token of its own bytes."""
@@ -91,7 +100,9 @@ class MergeTransducer:
         """
         if first < 0:
             return True
-        if (first, second) not in self.follows:
+        pair = first << 32 | second
+        parted = self.follows.get(pair)
+        if parted is None:
             if len(self.follows) >= MAX_PAIRS:
                 self.follows.clear()
             left, right, ranks = self._edge(first, -1), self._edge(second, 0), self.ranks
@@ -107,33 +118,35 @@ class MergeTransducer:
                     i += 1
                 else:
                     j += 1
-            self.follows[first, second] = parted
-        return self.follows[first, second]
+            self.follows[pair] = parted
+        return parted
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The state after ``byte`` and the ids that it settles."""
-        sign, still_open, token, path = bytes((byte,)), [], -1, ()
+        longer, ending, still_open, token, path = self.longer, self.ending, [], -1, ()
         for after, last, way in self.states[state]:
-            after += sign
-            ending = self.starts.get(after)
-            if ending is None:
+            after = longer.get(after << 8 | byte)
+            if after is None:
                 continue
             still_open.append((after, last, way))
-            if token < 0 <= ending and self._reachable(ending) and self._may_follow(last, ending):
-                token, path = ending, (*way, ending)
-        still_open.append((b"", token, path))
+            if token < 0 <= ending[after] and self._reachable(ending[after]) and self._may_follow(last, ending[after]):
+                token, path = ending[after], (*way, ending[after])
+        still_open.append((0, token, path))
         shared, first = 0, still_open[0][2]
-        while shared < len(first) and all(way[shared : shared + 1] == first[shared : shared + 1] for _, _, way in still_open):
-            shared += 1
-        if shared:
-            still_open = [(after, last, way[shared:]) for after, last, way in still_open]
+        if first:
+            # what the first and the last of all in order share, all share
+            ways = [way for _, _, way in still_open]
+            low, high = min(ways), max(ways)
+            while shared < len(low) and low[shared] == high[shared]:
+                shared += 1
+            if shared:
+                still_open = [(after, last, way[shared:]) for after, last, way in still_open]
         key = tuple(still_open)
         number = self.known.setdefault(key, len(self.states))
         if number == len(self.states):
             self.states.append(key)
-            self.steps.append({})
-        self.steps[state][byte] = step = (number, first[:shared])
-        return step
+        self.steps[state << 8 | byte] = (number, first[:shared]) if shared else number
+        return number, first[:shared]
 
     def run(self, piece: bytes) -> list[int]:
         """The ids of one piece."""
@@ -143,38 +156,47 @@ class MergeTransducer:
             return [token]
         if len(self.states) > self.max_states:
             self._forget()
-        state, out = 0, []
+        state, out, known = 0, [], self.steps.get
         for byte in piece:
-            step = self.steps[state].get(byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            step = known(state << 8 | byte)
+            if step.__class__ is int:
+                state = step
+            else:
+                state, settled = step or self._step(state, byte)
+                out += settled
         return [*out, *self.states[state][-1][2]]
 
 
+class _Pieces(dict):
+    """Ids of pieces as bytes of 32-bit numbers; one that is missing is looked up among those met before the present ones, or made."""
+
+    def __init__(self, transducer: MergeTransducer):
+        self.transducer = transducer
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.transducer.run(piece.encode()), np.int32).tobytes()
+        if len(piece) <= PIECE_CHARS:
+            if len(self) >= MAX_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class ByteEncoder:
     """Ids of whole texts: every match of ``pattern`` runs through the transducer by itself."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = MergeTransducer(ranks)
         self.split = regex.compile(pattern).findall
-        # pieces met lately and those met before them; a piece that is met again moves over
-        self.pieces: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        # a piece that is met again is found without a line of Python
+        self.pieces = _Pieces(self.transducer)
 
     def encode(self, text: str) -> np.ndarray:
-        known, out = self.pieces, []
-        for piece in self.split(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.older.get(piece) or self.transducer.run(piece.encode())
-                if len(piece) <= PIECE_CHARS:
-                    if len(known) >= MAX_PIECES:
-                        self.older, self.pieces = known, {}
-                        known = self.pieces
-                    known[piece] = ids
-            out += ids
-        return np.array(out, np.int32)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), np.int32)
 
 
 class Utf8Machine:

@@ -63,6 +63,16 @@ def test_tables_are_dropped_and_made_anew():
         assert small.run(word.encode()) == list(merge_bytes(word.encode(), RANK))
 
 
+def test_pieces_met_again_are_not_run_again(monkeypatch):
+    """Corpora have more different words than half of this, and those that were dropped took most of the time."""
+    own, runs = ByteEncoder(RANK, PATTERN), []
+    monkeypatch.setattr(own.transducer, "run", lambda piece: runs.append(piece) or [len(piece), 70_000])
+    text = "".join(f" {n}" for n in range(300_000))
+    first = own.encode(text).tolist()
+    assert own.encode(text).tolist() == first == [i for n in range(300_000) for i in (len(str(n)) + 1, 70_000)]
+    assert len(runs) == 300_000
+
+
 def test_token_that_merges_cannot_make():
     ranks = {bytes([b]): b for b in range(256)} | {b"abc": 300, b"xy": 301}
     library = tiktoken.Encoding("small", pat_str=r"\w+|\W+", mergeable_ranks=ranks, special_tokens={})
