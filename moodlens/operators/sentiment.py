@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.functions.polarity import MAX_TABLE_BYTES, check_lexicon, polarity, slot_table, usable_terms
-from moodlens.functions.text import sentiment_tokens
+from moodlens.functions.text import split_tokens
 from moodlens.session import checkpointed, salted_join
 
 
@@ -40,10 +40,11 @@ def score_by_join(tweets: DataFrame, lexicon: DataFrame, text: str = "tweet", ou
     salted partitions. The scores come back by digest: there the rows of ``tweets``, texts included, are shuffled once.
     """
     check_lexicon(lexicon)
-    keyed = tweets.withColumn("_digest", F.sha2(F.col(text).cast("binary"), 256))
-    counted = (
-        keyed.select("_digest", F.explode(sentiment_tokens(text)).alias("term")).groupBy("_digest", "term").agg(F.count("*").alias("n"))
-    )
+    # 128 bits as bytes: a quarter of what 64 digits take in every pair, and Spark's small map for texts, which pairs overflow, stays out
+    keyed = tweets.withColumn("_digest", F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16))
+    # empty tokens are left out after they are exploded, which spares a copy of each array
+    terms = keyed.select("_digest", F.explode(split_tokens(text)).alias("term")).where("term != ''")
+    counted = terms.groupBy("_digest", "term").agg(F.count("*").alias("n"))
     scores = (
         salted_join(counted, usable_terms(lexicon), ["term"])
         .groupBy("_digest")

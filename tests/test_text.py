@@ -8,9 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from moodlens.functions import clean_text, index_terms, length_bucket, sentiment_tokens
-from moodlens.operators import add_sentiment, term_counts
+from moodlens.operators import add_sentiment, sentiment, term_counts
 from moodlens.operators.sentiment import score_by_join
 from moodlens.schemas import LEXICON
+from moodlens.session import salted_join
 
 ALPHABET = "abyzAZ019@@::// \t\n.,!?#'\"éßñ中  \x1c\x85_-"
 
@@ -171,6 +172,19 @@ def test_large_lexicon_is_joined(spark):
     assert values(inline, "tweet_sentiment") == values(joined, "tweet_sentiment") != [0.0] * 3
 
 
+def test_pairs_of_a_join_are_short(spark, monkeypatch):
+    """A pair of text and term took the 64 digits of the text's digest, and each array of tokens was copied."""
+    pairs = []
+    monkeypatch.setattr(sentiment, "salted_join", lambda left, *rest, **how: (pairs.append(left), salted_join(left, *rest, **how))[1])
+    lexicon = spark.createDataFrame(LEXICON_ROWS, LEXICON)
+    scored = score_by_join(texts_df(spark, [" Good, bad day. ", "  ", "", None, "1 good", "Good bad day"]), lexicon)
+    assert values(scored, "tweet_sentiment") == [-0.125, 0.0, 0.0, 0.0, 0.5, -0.125]
+    counted = pairs[0]
+    assert {(row["term"], row["n"]) for row in counted.collect()} == {("good", 1), ("bad", 1), ("day", 1)} and counted.count() == 7
+    assert {row["size"] for row in counted.select(F.octet_length("_digest").alias("size")).collect()} == {16}
+    assert "array_remove" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sentiment_needs_no_shuffle(spark):
     scored = add_sentiment(texts_df(spark, ["good"]), spark.createDataFrame(LEXICON_ROWS, LEXICON))
     plan = scored._jdf.queryExecution().executedPlan().toString()
