@@ -51,13 +51,13 @@ def _slot(term: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(slots)).cast("int")
 
 
-def slot_table(lexicon: DataFrame, max_bytes: int = MAX_TABLE_BYTES) -> SlotTable | None:
-    """The slot table of a lexicon that takes at most ``max_bytes``; None for a larger one.
+def slot_table(lexicon: DataFrame, max_bytes: int = MAX_TABLE_BYTES, checked: tuple[int, int] | None = None) -> SlotTable | None:
+    """The slot table of a lexicon that takes at most ``max_bytes``; None for a larger one. ``checked`` is what ``check_lexicon`` found.
 
     Spark groups the terms by slot and puts the slots in order; the table is written once to the shared folder, so every
     plan and every micro-batch that scores reads that one row.
     """
-    size, rows = check_lexicon(lexicon)
+    size, rows = checked or check_lexicon(lexicon)
     if size > max_bytes:
         return None
     slots = max(1, rows // _TERMS_PER_SLOT)

@@ -9,6 +9,11 @@ from moodlens.functions.polarity import MAX_TABLE_BYTES, check_lexicon, polarity
 from moodlens.functions.text import split_tokens
 from moodlens.session import checkpointed, salted_join
 
+#: Bytes of terms and polarities that a task of the join with the lexicon may hold; a lexicon of fewer than the least is small
+#: enough for Spark to broadcast.
+LEAST_HASHED_BYTES, MAX_HASHED_BYTES = 16 << 20, 64 << 20
+TERM_SALTS = 16
+
 
 def add_sentiment(
     tweets: DataFrame,
@@ -22,7 +27,8 @@ def add_sentiment(
     The lexicon becomes a slot table that goes along with the plan: no shuffle, and the same for batches and streams. Only one
     whose table takes more than ``max_table_bytes`` is joined (batch only). Both ways refuse the same lexicon rows.
     """
-    table = slot_table(lexicon, max_table_bytes)
+    checked = check_lexicon(lexicon)
+    table = slot_table(lexicon, max_table_bytes, checked)
     if table is not None:
         # a scalar subquery is read once and goes to the executors with the plan; the score is the one place that refers to
         # it, so both projections become one and no row carries the table
@@ -30,23 +36,35 @@ def add_sentiment(
         return with_table.withColumn(output, polarity(text, "_slot_table", table.slots)).drop("_slot_table")
     if tweets.isStreaming:
         raise ValueError(f"the table of a stream's lexicon may take {max_table_bytes} bytes")
-    return score_by_join(tweets, lexicon, text, output)
+    return score_by_join(tweets, lexicon, text, output, checked)
 
 
-def score_by_join(tweets: DataFrame, lexicon: DataFrame, text: str = "tweet", output: str = "tweet_sentiment") -> DataFrame:
+def score_by_join(
+    tweets: DataFrame,
+    lexicon: DataFrame,
+    text: str = "tweet",
+    output: str = "tweet_sentiment",
+    checked: tuple[int, int] | None = None,
+) -> DataFrame:
     """The same score through a join with a lexicon of any size.
 
     Digests of the texts and their terms are shuffled for the join with the lexicon, in which a frequent term is spread over
     salted partitions. The scores come back by digest: there the rows of ``tweets``, texts included, are shuffled once.
+    ``checked`` is what ``check_lexicon`` found if it has been called. Pairs are sorted only for a lexicon whose copies a task
+    cannot hold.
     """
-    check_lexicon(lexicon)
+    size, _ = checked or check_lexicon(lexicon)
+    terms_in_task = size * TERM_SALTS // int(tweets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    polarities = usable_terms(lexicon)
+    if size >= LEAST_HASHED_BYTES and terms_in_task <= MAX_HASHED_BYTES:
+        polarities = polarities.hint("shuffle_hash")
     # 128 bits as bytes: a quarter of what 64 digits take in every pair, and Spark's small map for texts, which pairs overflow, stays out
     keyed = tweets.withColumn("_digest", F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16))
     # empty tokens are left out after they are exploded, which spares a copy of each array
     terms = keyed.select("_digest", F.explode(split_tokens(text)).alias("term")).where("term != ''")
     counted = terms.groupBy("_digest", "term").agg(F.count("*").alias("n"))
     scores = (
-        salted_join(counted, usable_terms(lexicon), ["term"])
+        salted_join(counted, polarities, ["term"], TERM_SALTS)
         .groupBy("_digest")
         .agg((F.sum(F.col("polarity") * F.col("n")) / F.sum("n")).alias("_score"))
     )

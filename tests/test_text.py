@@ -1,5 +1,6 @@
 """Cleaning, tokens, length buckets and sentiment."""
 
+import importlib
 import re
 
 import pytest
@@ -13,6 +14,8 @@ from moodlens.operators.sentiment import score_by_join
 from moodlens.schemas import LEXICON
 from moodlens.session import salted_join
 
+# the package has a function of the same name
+polarity_module = importlib.import_module("moodlens.functions.polarity")
 ALPHABET = "abyzAZ019@@::// \t\n.,!?#'\"éßñ中  \x1c\x85_-"
 
 
@@ -185,6 +188,23 @@ def test_pairs_of_a_join_are_short(spark, monkeypatch):
     assert "array_remove" not in counted._jdf.queryExecution().executedPlan().toString()
 
 
+def test_joined_lexicon_is_checked_once_and_hashed(spark, monkeypatch):
+    """The lexicon was checked twice, and all pairs of text and term were sorted to meet it."""
+    checks, check = [], sentiment.check_lexicon
+    for module in (sentiment, polarity_module):
+        monkeypatch.setattr(module, "check_lexicon", lambda lexicon: (checks.append(1), check(lexicon))[1])
+    joins = []
+    monkeypatch.setattr(sentiment, "LEAST_HASHED_BYTES", 1)
+    monkeypatch.setattr(sentiment, "salted_join", lambda *sides, **how: (joins.append(salted_join(*sides, **how)), joins[-1])[1])
+    lexicon, df = spark.createDataFrame(LEXICON_ROWS, LEXICON), texts_df(spark, ["Good, bad day", "fine", None])
+    assert values(add_sentiment(df, lexicon, max_table_bytes=1), "tweet_sentiment") == [-0.125, 0.5, 0.0]
+    assert len(checks) == 1
+    assert "ShuffledHashJoin" in joins[0]._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(sentiment, "MAX_HASHED_BYTES", -1)
+    assert values(score_by_join(df, lexicon), "tweet_sentiment") == [-0.125, 0.5, 0.0]
+    assert "ShuffledHashJoin" not in joins[2]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sentiment_needs_no_shuffle(spark):
     scored = add_sentiment(texts_df(spark, ["good"]), spark.createDataFrame(LEXICON_ROWS, LEXICON))
     plan = scored._jdf.queryExecution().executedPlan().toString()
