@@ -119,6 +119,16 @@ class Templates:
         self.longest = 2 * max(len(terms) for _, terms in notices)
         self.keys = self._keys(self.vectors, threshold)
         self.full_keys = self._keys(self.full, FULL_COSINE)
+        self.vector_terms, self.full_terms = self._by_term(self.vectors), self._by_term(self.full)
+
+    @staticmethod
+    def _by_term(vectors: list[tuple[str, dict[str, float]]]) -> dict[str, list[tuple[int, float]]]:
+        """The vectors that hold a term, with its weight there."""
+        holders: dict[str, list[tuple[int, float]]] = {}
+        for k, (_, vector) in enumerate(vectors):
+            for term, w in vector.items():
+                holders.setdefault(term, []).append((k, w))
+        return holders
 
     def _keys(self, vectors: list[tuple[str, dict[str, float]]], threshold: float) -> set[str]:
         """Rare and long terms come first, as they seldom stand in other texts or within other words."""
@@ -141,16 +151,24 @@ class Templates:
 
     def best(self, terms: list[str]) -> tuple[float, str | None]:
         """Largest cosine to a notice and its licence, the cosine negated; ties go to the first name."""
-        return self._nearest(self.unit(terms), self.vectors)
+        return self._nearest(self.unit(terms), self.vectors, self.vector_terms)
 
     def best_full(self, terms: list[str]) -> tuple[float, str | None]:
         """The same for the full texts."""
-        return self._nearest(self.unit(terms, True), self.full)
+        return self._nearest(self.unit(terms, True), self.full, self.full_terms)
 
     @staticmethod
-    def _nearest(unit: dict[str, float], vectors: list[tuple[str, dict[str, float]]]) -> tuple[float, str | None]:
-        scored = [(sum(w * vector.get(t, 0.0) for t, w in unit.items()), name) for name, vector in vectors]
-        return min(((-s, n) for s, n in scored), default=(0.0, None)) if unit else (0.0, None)
+    def _nearest(unit: dict[str, float], vectors: list[tuple[str, dict[str, float]]], holders: dict[str, list[tuple[int, float]]]) -> tuple[float, str | None]:
+        """Only the terms that a vector shares with the text are multiplied; most terms of a text are in no vector."""
+        if not unit:
+            return 0.0, None
+        shared: dict[int, list[float]] = {}
+        for t, w in unit.items():
+            for k, v in holders.get(t, ()):
+                shared.setdefault(k, []).append(w * v)
+        if not shared:
+            return 0.0, min((name for name, _ in vectors), default=None)
+        return min((-sum(products), vectors[k][0]) for k, products in shared.items())
 
 
 def _pieces(low: str, longest: int) -> list[tuple[int, int, list[str]]]:

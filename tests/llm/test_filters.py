@@ -192,6 +192,31 @@ def test_wrapped_and_embedded_headers(spark):
     assert got == {name: (name, "header") for name in words}
 
 
+def test_terms_of_no_notice_meet_no_notice():
+    """Each term of a text is looked up once for all notices, not in every notice."""
+    looked_up = []
+
+    class Watched(dict):
+        def get(self, term, other=None):
+            looked_up.append(term)
+            return super().get(term, other)
+
+    templates = Templates({}, 1.0, FILE_COSINE)
+    notice = "licensed under cc by 4.0".split()
+    want = {name: 0.0 for name, _ in templates.vectors}
+    unit = templates.unit(notice + ["map"] * 3)
+    for name, vector in templates.vectors:
+        want[name] = max(want[name], sum(w * vector.get(t, 0.0) for t, w in unit.items()))
+    templates.vectors = [(name, Watched(vector)) for name, vector in templates.vectors]
+    templates.full = [(name, Watched(vector)) for name, vector in templates.full]
+    cosine, name = templates.best(notice + ["map"] * 3)
+    assert -cosine == max(want.values()) and want[name] == -cosine
+    unknown = [f"word{k}" for k in range(1000)]
+    first = min(name for name, _ in templates.vectors)
+    assert templates.best(unknown) == (0.0, first) and templates.best([]) == (0.0, None)
+    assert templates.best_full(unknown)[0] == 0.0 and not looked_up
+
+
 def test_licences_of_odd_rows(odd, empty):
     assert scan_licences(odd, F.col("source")).count() == odd.count()
     assert scan_licences(empty, F.col("source")).count() == 0
