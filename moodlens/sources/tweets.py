@@ -107,8 +107,12 @@ def parse_users(lines: DataFrame) -> DataFrame:
 
 
 def sample_for_replay(tweets: DataFrame, n: int = REPLAY_SIZE) -> DataFrame:
-    """The first ``n`` tweets by id, the same ones on every call."""
-    return tweets.orderBy("tweet_id").limit(n)
+    """The first ``n`` tweets by id, the same ones on every call.
+
+    The rows are in one partition anyway. Saying so keeps what is made of them above the limit; expressions that the optimizer moves
+    between limit and order would turn the top-k into an exchange and sort of all tweets.
+    """
+    return tweets.orderBy("tweet_id").limit(n).coalesce(1)
 
 
 def read_tweets_if_present(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:

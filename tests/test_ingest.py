@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from moodlens.operators import join_users_tweets
 from moodlens.plans import prepare_feed, replay_once
-from moodlens.sinks import bulk_load, publish_json, read_loaded, write_tsv
+from moodlens.sinks import bulk_load, publish_json, read_loaded, to_json_values, write_tsv
 from moodlens.sinks.files import unescaped
 from moodlens.sources import (
     parse_users,
@@ -22,6 +22,7 @@ from moodlens.sources import (
     tweets_of_user,
     valid_tweets,
 )
+from moodlens.streaming import decode_payload
 
 TSV = "\n".join(
     [
@@ -139,6 +140,14 @@ def test_sample_is_the_same_every_time(spark):
     assert "TakeOrderedAndProject" in sample_for_replay(tweets)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sample_stays_a_top_k_below_expressions(spark):
+    tweets = spark.range(500).select(F.col("id").cast("string").alias("tweet_id"), F.lit("text").alias("tweet")).repartition(7)
+    decoded = decode_payload(to_json_values(sample_for_replay(tweets), F.timestamp_millis(F.lit(5))))
+    plan = decoded.select("tweet_id", "timestamp_logger")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert sorted(row["tweet_id"] for row in decoded.collect()) == sorted(map(str, range(500)))[:100]
+
+
 def test_replay_stamps_and_sends(spark, tmp_path):
     tweets = spark.createDataFrame([("1", "10", 'say "hi"\n')], "user_id string, tweet_id string, tweet string")
     replay_once(tweets, "text", ingest_time=F.timestamp_millis(F.lit(1617000000123)), path=str(tmp_path / "topic"))
