@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -83,6 +84,12 @@ def discard(spark: SparkSession, *paths: str) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def free_exchanges(spark: SparkSession) -> None:
+    """Have Spark delete the files of exchanges that no plan refers to any more, as it does whenever the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder and forget its lineage."""
     shared_dir(df.sparkSession)

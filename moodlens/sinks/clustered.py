@@ -17,15 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodlens.operators.joins import join_users_tweets
-from moodlens.session import checkpointed
+from moodlens.session import checkpointed, discard, free_exchanges, scratch_path
 
 SPREAD = "spread"
+# A row's bucket takes the place of its key's number of files, its group that of its hot key.
+_BUCKET, _GROUP = "_files", "_hot"
 # A hot user is joined by broadcast while the users of hot ids are no more than this.
 MAX_HOT_USERS = 100_000
 
 
 # What a bucket holds of the rows as they come; a task reads one bucket.
 BUCKET_BYTES = 128 << 20
+# A store of more buckets is written by groups of at most so many, so that the exchange of one group is all that lies beside the rows.
+GROUP_BUCKETS = 128
+# Neighbouring rows that a hot key's files get together, which leaves rows alike beside each other.
+RUN_ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -52,11 +58,13 @@ def buckets_for(df: DataFrame, at_least: int, bucket_bytes: int = BUCKET_BYTES)
     return max(at_least, math.ceil((df.agg(F.sum(row)).first()[0] or 0) / bucket_bytes))
 
 
-def write_clustered(df: DataFrame, path: str, buckets: int, key: str = "user_id") -> ClusteredStore:
+def write_clustered(df: DataFrame, path: str, buckets: int, key: str = "user_id", group_buckets: int = GROUP_BUCKETS) -> ClusteredStore:
     """Write ``df`` as a new store at ``path``; a store that is there already is an error.
 
     A key is hot if it holds more than a bucket's even share of the rows. The rows are read twice, the first time for their keys
-    alone, and exchanged once. The layout is written last, so a store whose writer failed cannot be opened.
+    alone, and exchanged once. With more than ``group_buckets`` buckets they are first kept, compressed, in a folder for each group of
+    buckets; a group is exchanged from its folder, which is then deleted. The layout is written last, so a store whose writer failed
+    cannot be opened.
     """
     spark = df.sparkSession
     taken = {SPREAD, "_files", "_hot"} & {name.lower() for name in df.columns}
@@ -72,21 +80,49 @@ def write_clustered(df: DataFrame, path: str, buckets: int, key: str = "user_id"
     )
     # the hash of a bucketed table, so that a task writes one bucket; rows of a hot key go to as many tasks as it fills, by a hash
     # of the row number, as hot rows may come at regular distances
-    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("_files", F.lit(1))).cast("int")
-    dealt = marked.repartitionById(buckets, F.pmod(F.pmod(F.hash(key), F.lit(buckets)) + turn, F.lit(buckets)))
+    run = F.floor(F.monotonically_increasing_id() / RUN_ROWS)
+    turn = F.pmod(F.xxhash64(run), F.coalesce("_files", F.lit(1))).cast("int")
+    bucket = F.pmod(F.pmod(F.hash(key), F.lit(buckets)) + turn, F.lit(buckets))
+    placed = marked.withColumn(_BUCKET, bucket)
+    if buckets <= group_buckets:
+        _write_buckets(placed, path, buckets, key, 0, buckets)
+    else:
+        _write_groups(placed, path, buckets, key, group_buckets)
+    hot.where(F.col(key).isNotNull()).select(key).write.parquet(f"{path}/hot")
+    layout = [(key, buckets, df.schema.json())]
+    spark.createDataFrame(layout, "key string, buckets int, columns string").write.parquet(f"{path}/layout")
+    return open_clustered(spark, path)
+
+
+def _write_groups(placed: DataFrame, path: str, buckets: int, key: str, group_buckets: int) -> None:
+    """Write the buckets group by group; the rows are computed once, so that a row's turn is drawn once."""
+    spark, staged = placed.sparkSession, scratch_path(placed.sparkSession, "groups")
+    schema = T.StructType([*placed.schema.fields, T.StructField(_GROUP, T.IntegerType())])
+    try:
+        free_exchanges(spark)
+        placed.withColumn(_GROUP, F.floor(F.col(_BUCKET) / group_buckets).cast("int")).write.partitionBy(_GROUP).parquet(staged)
+        for group, first in enumerate(range(0, buckets, group_buckets)):
+            free_exchanges(spark)
+            rows = spark.read.schema(schema).parquet(staged).where(F.col(_GROUP) == group).drop(_GROUP)
+            _write_buckets(rows, path, buckets, key, first, min(group_buckets, buckets - first), "append" if group else "errorifexists")
+            discard(spark, f"{staged}/{_GROUP}={group}")
+    finally:
+        discard(spark, staged)
+    free_exchanges(spark)
+
+
+def _write_buckets(rows: DataFrame, path: str, buckets: int, key: str, first: int, count: int, mode: str = "errorifexists") -> None:
+    """Exchange rows of ``count`` buckets from ``first`` on, numbered in ``_files``, and write each bucket by a task."""
+    dealt = rows.repartitionById(count, F.col(_BUCKET) - first).drop(_BUCKET)
     (
-        dealt.drop("_files")
-        .write.partitionBy(SPREAD)
+        dealt.write.mode(mode)
+        .partitionBy(SPREAD)
         .bucketBy(buckets, key)
         .sortBy(key)
         .option("path", f"{path}/rows")
         .option(f"parquet.bloom.filter.enabled#{key}", "true")
         .saveAsTable(_table_name(path))
     )
-    hot.where(F.col(key).isNotNull()).select(key).write.parquet(f"{path}/hot")
-    layout = [(key, buckets, df.schema.json())]
-    spark.createDataFrame(layout, "key string, buckets int, columns string").write.parquet(f"{path}/layout")
-    return open_clustered(spark, path)
 
 
 def open_clustered(spark: SparkSession, path: str) -> ClusteredStore:

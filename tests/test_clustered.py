@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moodlens.schemas import TWEET
 from moodlens.session import scratch_path
-from moodlens.sinks import buckets_for, join_users_clustered, open_clustered, write_clustered
+from moodlens.sinks import buckets_for, clustered, join_users_clustered, open_clustered, write_clustered
 
 BUCKETS = 8
 
@@ -154,3 +154,32 @@ def test_a_larger_table_has_more_buckets(tweets):
     assert buckets_for(tweets, 8) == 8
     some, twice = (buckets_for(df, 8, bucket_bytes=4096) for df in (tweets, tweets.unionByName(tweets)))
     assert some > 8 and twice in (2 * some - 1, 2 * some)
+
+
+def test_a_large_store_is_written_by_groups(spark, tweets, users, monkeypatch):
+    """Three groups of three buckets at most, each exchanged alone; the store is the one that a single exchange gives."""
+    counts = []
+    write = clustered._write_buckets
+    monkeypatch.setattr(clustered, "_write_buckets", lambda rows, *more: (counts.append(rows.count()), write(rows, *more)))
+    store = write_clustered(tweets, scratch_path(spark, "clustered"), BUCKETS, group_buckets=3)
+    assert len(counts) == 3 and sum(counts) == 3000 and max(counts) < 2000
+    assert _same(store.all_rows(), tweets) and _same(store.of_key("hot"), tweets.where("user_id = 'hot'"))
+    assert _same(join_users_clustered(users, store), _expected(users, tweets))
+    files = store.rows.where("spread").groupBy(F.input_file_name(), "user_id").count().collect()
+    assert len([r for r in files if r["user_id"] == "hot"]) == 3
+    cold = store.rows.where(~F.col("spread")).select("user_id", F.input_file_name().alias("f")).distinct()
+    assert cold.groupBy("user_id").count().where("count > 1").isEmpty()
+    empty = write_clustered(tweets.limit(0), scratch_path(spark, "clustered"), BUCKETS, group_buckets=3)
+    assert empty.all_rows().count() == 0
+
+
+def test_neighbours_among_hot_rows_stay_together(spark, tweets, store):
+    """Rows of a hot user that come together lie together, so that those alike are compressed as one."""
+    ids = [[int(r["tweet_id"]) for r in rows] for rows in _files_of(store, "hot")]
+    near = sum(abs(b - a) == 3 for part in ids for a, b in zip(part, part[1:]))
+    assert near > sum(map(len, ids)) // 2
+
+
+def _files_of(store, user):
+    rows = store.rows.where(F.col("spread") & (F.col("user_id") == user)).select("tweet_id", F.input_file_name().alias("f")).collect()
+    return [[r for r in rows if r["f"] == f] for f in sorted({r["f"] for r in rows})]
