@@ -205,6 +205,28 @@ def test_joined_lexicon_is_checked_once_and_hashed(spark, monkeypatch):
     assert "ShuffledHashJoin" not in joins[2]._jdf.queryExecution().executedPlan().toString()
 
 
+def test_joined_texts_are_scored_in_rounds(spark, monkeypatch):
+    """All pairs of text and term lay in exchanges at once, and were exchanged before they were counted."""
+    pairs = []
+    monkeypatch.setattr(sentiment, "salted_join", lambda left, *rest, **how: (pairs.append(left), salted_join(left, *rest, **how))[1])
+    words = ["good", "bad", "the", "day", "fine", "none", "x"]
+    texts = [" ".join(words[i % min(k, 7)] for i in range(k + 2)) + f" w{k}" for k in range(1, 60)] + [None, "", "good day"] * 3
+    df, lexicon = texts_df(spark, texts), spark.createDataFrame(LEXICON_ROWS, LEXICON)
+    wanted = values(add_sentiment(df, lexicon), "tweet_sentiment")
+    assert values(score_by_join(df, lexicon), "tweet_sentiment") == wanted and len(pairs) == 2
+    plan = pairs[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(_digest" in plan
+    monkeypatch.setattr(sentiment, "ROUND_ROWS", 0)
+    monkeypatch.setattr(sentiment, "ROUND_BYTES", 1000)
+    pairs.clear()
+    assert values(score_by_join(df, lexicon), "tweet_sentiment") == wanted and len(set(wanted)) > 5
+    assert len(pairs) > 3
+    empty = spark.createDataFrame([], df.schema)
+    assert values(score_by_join(empty, lexicon), "tweet_sentiment") == []
+    nothing = texts_df(spark, [None, None])
+    assert values(score_by_join(nothing, lexicon), "tweet_sentiment") == [0.0, 0.0]
+
+
 def test_sentiment_needs_no_shuffle(spark):
     scored = add_sentiment(texts_df(spark, ["good"]), spark.createDataFrame(LEXICON_ROWS, LEXICON))
     plan = scored._jdf.queryExecution().executedPlan().toString()
