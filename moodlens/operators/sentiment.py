@@ -22,6 +22,10 @@ ROUND_ROWS, ROUND_BYTES = 1_000_000, 2 << 30
 TEXT_GROUPS = 32
 
 
+class LexiconTooLarge(ValueError):
+    """A stream's lexicon that takes more bytes than its slot table may."""
+
+
 def add_sentiment(
     tweets: DataFrame,
     lexicon: DataFrame,
@@ -42,7 +46,7 @@ def add_sentiment(
         with_table = tweets.withColumn("_slot_table", table.row.scalar())
         return with_table.withColumn(output, polarity(text, "_slot_table", table.slots)).drop("_slot_table")
     if tweets.isStreaming:
-        raise ValueError(f"the table of a stream's lexicon may take {max_table_bytes} bytes")
+        raise LexiconTooLarge(f"the table of a stream's lexicon may take {max_table_bytes} bytes")
     return score_by_join(tweets, lexicon, text, output, checked)
 
 

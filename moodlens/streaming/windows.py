@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodlens.functions.polarity import MAX_TABLE_BYTES
 from moodlens.operators.regions import RegionIndex, assign_region
 from moodlens.operators.sentiment import add_sentiment
 from moodlens.streaming.payload import event_time as event_time_of
@@ -26,11 +27,15 @@ MEASURES = {
 
 
 def enrich(
-    tweets: DataFrame, lexicon: DataFrame, index: RegionIndex, event_time: str = "timestamp_logger"
+    tweets: DataFrame,
+    lexicon: DataFrame,
+    index: RegionIndex,
+    event_time: str = "timestamp_logger",
+    max_table_bytes: int = MAX_TABLE_BYTES,
 ) -> DataFrame:
     """Location, state, text, sentiment and event time of decoded messages; stateless."""
     located = assign_region(tweets, index).withColumnRenamed("region_name", "state")
-    scored = add_sentiment(located, lexicon, output="sentiment")
+    scored = add_sentiment(located, lexicon, output="sentiment", max_table_bytes=max_table_bytes)
     return scored.select("location", "state", "tweet", "sentiment", event_time_of(event_time).alias("date_time"))
 
 

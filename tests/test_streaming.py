@@ -158,6 +158,26 @@ def test_large_lexicon_on_a_stream(spark, tmp_path, dimensions):
     assert [row["sentiment"] for row in out] == [((5 % 9 - 4) / 4 + (12233 % 9 - 4) / 4) / 2]
 
 
+def test_lexicon_beyond_the_inline_bound_is_joined_batch_by_batch(spark, tmp_path, dimensions):
+    """Rows written as they are were refused too, though they need no state."""
+    lexicon, index = dimensions
+    topic, checkpoint, out = (str(tmp_path / name) for name in ("topic", "c", "out"))
+    sent = []
+    for batch in range(2):
+        rows = [(json.dumps({"tweet": f"the best day of {k}" if k % 3 else "", "location": f"{24 + k},-119.0", "timestamp_logger": 1000 * k}),) for k in range(batch, 9)]
+        sent += rows
+        spark.createDataFrame(rows, "value string").write.mode("append").text(topic)
+        messages = read_value_stream(spark, "text", topic)
+        run_live(messages, lexicon, index, "parquet", checkpoint, out, {"availableNow": True}, measures=None, max_table_bytes=3).awaitTermination()
+    expected = enrich(decode_payload(spark.createDataFrame(sent, "value string")), *dimensions)
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() == 2 and expected.select("sentiment").distinct().count() > 1
+    rows = got.drop("batch").select(expected.columns)
+    assert rows.count() == len(sent) and rows.exceptAll(expected).count() == 0 and expected.exceptAll(rows).count() == 0
+    with pytest.raises(ValueError):
+        run_live(messages, lexicon, index, "parquet", checkpoint, out, {"availableNow": True}, max_table_bytes=3)
+
+
 def test_messages_kept_in_tables_are_those_of_a_text_topic(spark, tmp_path):
     tweets = spark.range(30).select(F.col("id").cast("string").alias("tweet_id"), F.repeat(F.lit("two\nlines, "), 200).alias("tweet"))
     read = {}
